@@ -39,7 +39,7 @@ def lookup(
         left, right = F.col(f"{name}f"), F.col(name)
         match = left.eqNullSafe(right) if i in null_safe else left == right
         condition = match if condition is None else condition & match
-    return probe.join(keyed, condition, "left").select(*facts.columns, output)
+    return probe.join(keyed, condition, "left").drop(*names, *[f"{n}f" for n in names])
 
 
 def prefix_lookup(

@@ -7,15 +7,16 @@ a catalog, staging each intermediate result once as a written table.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions.dates import cell_date
 from dayledger.functions.numbers import zero_if_null
-from dayledger.functions.text import key_text, trim_all
+from dayledger.functions.text import key_text, padded_count, trim_all
 from dayledger.operators.incremental import append_if_absent, append_if_changed
 from dayledger.operators.lookup import lookup, prefix_lookup
 from dayledger.operators.meters import check_meters
@@ -57,6 +58,8 @@ WELL_FACTS = (
     "gas_well_tests",
     "laboratory_results",
 )
+# A new row of these is reported as a change of the well.
+REPORTED_CHANGES = ("well_stock", "completions", "well_downtime_reasons")
 
 
 @dataclass
@@ -300,55 +303,97 @@ def _remark(rows: DataFrame, level: str, code: str, message: str, qc: bool) -> D
     )
 
 
-def all_findings(
-    files: DataFrame, records: DataFrame, meters: DataFrame, inserted: Mapping[str, DataFrame]
+def outcomes(
+    records: DataFrame, inserted: Mapping[str, DataFrame], names: Sequence[str] = WELL_FACTS
 ) -> DataFrame:
-    """Findings of files, rows and meters, and one line per inserted row."""
+    """One line per accepted record and target table: stored, changed or already
+    there. One join answers all tables."""
+    marks = None
+    for name in names:
+        mark = inserted[name].select(*ORDER, F.lit(name).alias("table"))
+        marks = mark if marks is None else marks.unionByName(mark)
+    marks = marks.groupBy(*ORDER).agg(F.collect_set("table").alias("tables"))
+    lines = records.select(*ORDER).join(marks, list(ORDER), "left")
+    each = F.explode(F.array(*[F.lit(n) for n in names])).alias("table")
+    lines = lines.select(*ORDER, "tables", each)
+    stored = F.coalesce(F.array_contains("tables", F.col("table")), F.lit(False))
+    return _outcome(lines, stored, F.col("table").isin(*REPORTED_CHANGES))
+
+
+def _outcome(lines: DataFrame, stored: Column, as_change: Column) -> DataFrame:
+    changed = stored & as_change
+    level = F.when(changed, WARNING).when(stored, SUCCESS).otherwise(INFO)
+    code = F.when(changed, "CHANGED").when(stored, "STORED").otherwise("ALREADY_STORED")
+    row_idx = F.col("row_idx").cast("int")
+    return lines.select(
+        "file",
+        row_idx.alias("row_idx"),
+        level.alias("level"),
+        code.alias("code"),
+        F.col("table").alias("message"),
+        changed.alias("qc"),
+    )
+
+
+def all_findings(files: DataFrame, records: DataFrame, meters: DataFrame) -> DataFrame:
+    """What was wrong with files, rows and meters."""
     no_row = F.lit(None).cast("int").alias("row_idx")
     row = F.col("row_idx").cast("int").alias("row_idx")
-    at_file = meters.withColumn("row_idx", F.lit(None).cast("int"))
+    accepted = files.where(~rejected())
     kept_back = files.where(rejected() & (F.col(FINDINGS)[0]["code"] != "FOOTER_ERROR"))
-    dropped = records.where(rejected()).select("file", "row_idx")
-    not_kept = "data is not stored"
     # The age of results is reported for kept rows only.
-    record_findings = findings_of(
-        records.withColumn(
-            FINDINGS,
-            F.when(rejected(), F.filter(FINDINGS, lambda f: f["level"] != WARNING)).otherwise(
-                F.col(FINDINGS)
-            ),
-        ),
-        ["file", row],
-    )
+    without_warnings = F.filter(FINDINGS, lambda f: f["level"] != WARNING)
+    reported = F.when(rejected(), without_warnings).otherwise(F.col(FINDINGS))
+    not_kept = "data is not stored"
+    incomplete = meters.where("incomplete")
     parts = [
         findings_of(files, ["file", no_row]),
-        record_findings,
+        findings_of(records.withColumn(FINDINGS, reported), ["file", row]),
         _remark(kept_back.select("file", no_row), WARNING, "NOT_STORED", not_kept, False),
-        _remark(dropped, WARNING, "NOT_STORED", not_kept, False),
+        _remark(records.where(rejected()), WARNING, "NOT_STORED", not_kept, False),
+        _remark(
+            accepted.join(meters.select("file"), "file", "left_anti").select("file", no_row),
+            INFO,
+            "METER_ABSENT",
+            "no flowmeter on the platform",
+            False,
+        ),
         _remark(
-            at_file.where("incomplete"), ERROR, "METER_INCOMPLETE", "a reading is missing", True
+            incomplete.select("file", no_row), ERROR, "METER_INCOMPLETE", "a reading is missing", True
         ),
-        _remark(at_file.where("incomplete"), WARNING, "NOT_STORED", not_kept, False),
+        _remark(incomplete.select("file", no_row), WARNING, "NOT_STORED", not_kept, False),
         _remark(
-            at_file.where("discontinuous"),
+            meters.where("discontinuous").select("file", no_row),
             ERROR,
             "METER_DISCONTINUOUS",
             "opening reading differs from the closing reading of the day before",
             True,
         ),
         _remark(
-            at_file.where("stale"), WARNING, "METER_STALE", "same reading as the day before", True
+            meters.where("stale").select("file", no_row),
+            WARNING,
+            "METER_STALE",
+            "same reading as the day before",
+            True,
         ),
     ]
-    for name, new in inserted.items():
-        changed = bool(S.FACTS[name].tracked) and name != "daily_general_comments"
-        level, code = (WARNING, "CHANGED") if changed else (SUCCESS, "STORED")
-        rows = new if "row_idx" in new.columns else new.withColumn("row_idx", F.lit(None))
-        parts.append(_remark(rows, level, code, name, changed))
-    findings = parts[0]
-    for part in parts[1:]:
-        findings = findings.unionByName(part)
-    return findings
+    return reduce(DataFrame.unionByName, parts)
+
+
+def all_outcomes(
+    files: DataFrame, records: DataFrame, meters: DataFrame, inserted: Mapping[str, DataFrame]
+) -> DataFrame:
+    """What happened to every candidate row of the nine facts."""
+    comment = outcomes(
+        comments(files, records), inserted, names=["daily_general_comments"]
+    )
+    no_row = F.lit(None).cast("int").alias("row_idx")
+    sound = meters.where("inserted or exists").select(
+        "file", no_row, F.lit("flowmeters").alias("table"), "inserted"
+    )
+    meter = _outcome(sound, F.col("inserted"), F.lit(False))
+    kept = records.where(~rejected())
+    return outcomes(kept, inserted).unionByName(comment).unionByName(meter)
 
 
 def load_summary(findings: DataFrame, inserted: Mapping[str, DataFrame]) -> DataFrame:
@@ -364,8 +409,6 @@ def load_summary(findings: DataFrame, inserted: Mapping[str, DataFrame]) -> Data
 
 def summary_lines(summary: DataFrame) -> DataFrame:
     """Right-aligned report lines of a summary."""
-    from dayledger.functions.text import padded_count
-
     tail = F.when(
         F.col("section") == "table", F.format_string("row(s) inserted into %s", F.col("name"))
     ).otherwise(F.lower("name"))
@@ -397,5 +440,6 @@ def load_reports(
 
     for name, new in inserted.items():
         catalog.append(new, name)
-    findings = all_findings(files, records, meters, inserted)
+    findings = all_findings(files, records, meters)
+    findings = findings.unionByName(all_outcomes(files, records, meters, inserted))
     return LoadResult(inserted, findings, load_summary(findings, inserted))

@@ -216,7 +216,9 @@ findings AS (
   UNION ALL SELECT file, NULL, 'ERROR', 'METER_INCOMPLETE', TRUE FROM meter_fates WHERE incomplete
   UNION ALL SELECT file, NULL, 'WARNING', 'NOT_STORED', FALSE FROM meter_fates WHERE incomplete
   UNION ALL SELECT file, NULL, 'ERROR', 'METER_DISCONTINUOUS', TRUE FROM meter_fates WHERE discontinuous
-  UNION ALL SELECT file, NULL, 'WARNING', 'METER_STALE', TRUE FROM meter_fates WHERE stale)
+  UNION ALL SELECT file, NULL, 'WARNING', 'METER_STALE', TRUE FROM meter_fates WHERE stale
+  UNION ALL SELECT file, NULL, 'INFO', 'METER_ABSENT', FALSE FROM file_codes
+    WHERE code IS NULL AND (own_field_id <> 1 OR p NOT IN (2, 3, 7, 13)))
 """
 )
 
@@ -310,6 +312,9 @@ FROM (VALUES ('well_stock'), ('completions'), ('well_downtime_reasons'), ('daily
 GROUP BY t.table_name
 UNION ALL SELECT 'level', level, count(*) FROM (
   SELECT level FROM findings
+  UNION ALL SELECT 'INFO' FROM range((SELECT 7 * count(*) FROM good_rows)
+    + (SELECT count(*) FROM comment_rows)
+    - (SELECT count(*) FROM inserted WHERE table_name <> 'flowmeters'))
   UNION ALL SELECT CASE WHEN table_name IN ('well_stock', 'completions', 'well_downtime_reasons')
     THEN 'WARNING' ELSE 'SUCCESS' END FROM inserted) x GROUP BY level""",
     "validate_files": SHEETS

@@ -222,7 +222,7 @@ class SheetLoad:
         return routed | {"daily_general_comments": L.comments(self.files, self.records)}
 
     def inserted(self) -> dict[str, DataFrame]:
-        new = {n: L.new_rows(n, df, None) for n, df in self.routed().items()}
+        new = {n: stage(L.new_rows(n, df, None)) for n, df in self.routed().items()}
         return new | {"flowmeters": self.meters().where("inserted")}
 
     def meters(self) -> DataFrame:
@@ -288,8 +288,7 @@ def route_records(s: Samples) -> DataFrame:
 @query
 def sheet_findings(s: Samples) -> DataFrame:
     load = SheetLoad(s)
-    files, records, meters = load.files, load.records, load.meters()
-    findings = L.all_findings(files, records, meters, {})
+    findings = L.all_findings(load.files, load.records, load.meters())
     return findings.select("file", "row_idx", "level", "code", "qc")
 
 
@@ -297,7 +296,8 @@ def sheet_findings(s: Samples) -> DataFrame:
 def load_summary(s: Samples) -> DataFrame:
     load = SheetLoad(s)
     inserted = load.inserted()
-    findings = L.all_findings(load.files, load.records, load.meters(), inserted)
+    frames = (load.files, load.records, stage(load.meters()))
+    findings = L.all_findings(*frames).unionByName(L.all_outcomes(*frames, inserted))
     return L.load_summary(findings, inserted)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dayledger.operators.picks import number_rows
 from dayledger.sources import schemas as S
-from dayledger.sources.samples import Samples, _shaped
+from dayledger.sources.samples import Samples, shaped
 
 # Region names of the sample tables by id, used as category names.
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -45,8 +45,7 @@ class SampleSheets:
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
-        mart = self.samples.mart_tables
-        dims = {n: _shaped(mart[n], S.DIMENSIONS[n]) for n in S.DIMENSIONS if n in mart}
+        dims = {n: shaped(df, S.DIMENSIONS[n]) for n, df in self.samples.mart_dimensions.items()}
         return dims | {"platforms": self.platforms}
 
     @cached_property

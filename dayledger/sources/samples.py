@@ -221,14 +221,7 @@ class Samples:
     # The same in the shape of the stored tables.
 
     @cached_property
-    def mart_tables(self) -> dict[str, DataFrame]:
-        day = day_number(F.col("d"), CALENDAR_START).alias("report_date_id")
-
-        def fact(name: str, df: DataFrame, **renamed: str) -> DataFrame:
-            have = df.withColumns({new: F.col(old) for old, new in renamed.items()})
-            have = have.withColumn("report_date_id", day)
-            return _shaped(have, S.TABLES[name])
-
+    def mart_dimensions(self) -> dict[str, DataFrame]:
         names = self.fields.select("id", "name")
         return {
             "fields": names,
@@ -240,6 +233,18 @@ class Samples:
             "production_methods": names,
             "production_sub_skins_activities": names,
             "report_dates": self.calendar,
+        }
+
+    @cached_property
+    def mart_tables(self) -> dict[str, DataFrame]:
+        day = day_number(F.col("d"), CALENDAR_START).alias("report_date_id")
+
+        def fact(name: str, df: DataFrame, **renamed: str) -> DataFrame:
+            have = df.withColumns({new: F.col(old) for old, new in renamed.items()})
+            have = have.withColumn("report_date_id", day)
+            return shaped(have, S.TABLES[name])
+
+        return self.mart_dimensions | {
             "well_stock": fact(
                 "well_stock",
                 self.well_stock_raw,
@@ -258,7 +263,7 @@ class Samples:
             "well_tests": fact("well_tests", self.well_tests),
             "gas_well_tests": fact("gas_well_tests", self.gas_well_tests),
             "laboratory_results": fact("laboratory_results", self.lab, lab_date="last_lab_date"),
-            "monthly_reported": _shaped(
+            "monthly_reported": shaped(
                 self.monthly.withColumn(
                     "report_date_id", day_number(F.col("report_date"), CALENDAR_START)
                 ),
@@ -267,7 +272,7 @@ class Samples:
         }
 
 
-def _shaped(df: DataFrame, ddl: str) -> DataFrame:
+def shaped(df: DataFrame, ddl: str) -> DataFrame:
     """Columns of a stored table; those the sample does not have are null."""
     have = set(df.columns)
     columns = [c.strip().split(" ") for c in ddl.split(",")]
