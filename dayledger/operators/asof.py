@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from dayledger.operators.picks import last_per_key
 
 _SRC = "__src"
+_LEFT = "__left"
 _DAY_TYPES = (T.DateType, T.IntegerType, T.LongType, T.ShortType)
 
 
@@ -97,15 +98,20 @@ def _sweep(
     on: str,
     inclusive: bool,
 ) -> DataFrame:
+    # Each side travels as one struct: a row of another side then costs one null
+    # field in the shuffle instead of one per column.
     left_src, state_src = (1, 0) if inclusive else (0, 1)
-    rows = left.withColumn(_SRC, F.lit(left_src))
+    keys = [*by, on]
+    rest = [c for c in left.columns if c not in keys]
+    rows = left.select(
+        *keys, F.lit(left_src).alias(_SRC), F.struct(F.lit(True).alias(_SRC), *rest).alias(_LEFT)
+    )
     order: list[Column] = [F.col(on), F.col(_SRC)]
     for name, state in states.items():
         columns = [
-            *by,
-            on,
+            *keys,
             F.lit(state_src).alias(_SRC),
-            F.struct(*state.payload([*by, on])).alias(name),
+            F.struct(*state.payload(keys)).alias(name),
         ]
         if state.ties:
             tie = f"__tie_{name}"
@@ -114,7 +120,8 @@ def _sweep(
         rows = rows.unionByName(state.frame.select(*columns), allowMissingColumns=True)
     upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = rows.withColumns({n: F.last(n, ignorenulls=True).over(upto) for n in states})
-    return filled.where(F.col(_SRC) == left_src).select(*left.columns, *states)
+    own = [F.col(_LEFT)[c].alias(c) if c in rest else F.col(c) for c in left.columns]
+    return filled.where(F.col(_SRC) == left_src).select(*own, *states)
 
 
 def densify(

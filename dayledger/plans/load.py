@@ -107,37 +107,20 @@ def checked_files(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame
     return check(files, R.file_rules(), first_only=True)
 
 
+# Columns that lookups read or set; the rest of a record rides along packed.
+_LOOKUP_COLUMNS = (
+    *ORDER, "is_lts", "platform_by_file", "field_id", "platform", "platform_id", "row_platform",
+    "square", "well_name", "category_name", "sub_category_name", "method_name", "horizon_name",
+    "activity_name",
+)
+
+
 def resolve_rows(body: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Body records with field, platform, well and dimension keys."""
-    lts_field = F.lit(LTS_OTHER_FIELD)
-    for platform, name in LTS_FIELDS.items():
-        lts_field = F.when(key_text(F.col("row_platform")) == platform, F.lit(name)).otherwise(
-            lts_field
-        )
-    rows = body.withColumns(
-        {
-            "__lts_field": F.when(F.col("is_lts"), lts_field),
-            "platform": F.when(F.col("is_lts"), key_text(F.col("row_platform"))).otherwise(
-                F.col("platform")
-            ),
-        }
-    )
-    rows = lookup(rows, tables["fields"], [(F.col("__lts_field"), F.col("name"))], "__lts_field_id")
-    rows = rows.withColumn(
-        "field_id", F.when(F.col("is_lts"), F.col("__lts_field_id")).otherwise(F.col("field_id"))
+    packed = [c for c in body.columns if c not in _LOOKUP_COLUMNS]
+    rows = _resolve_places(
+        body.select(*_LOOKUP_COLUMNS, F.struct(*packed).alias("__rest")), tables
     )
-    by_square = [
-        (F.when(~F.col("platform_by_file"), F.col("platform")), key_text(F.col("name"))),
-        (F.col("field_id"), F.col("field_id")),
-        (key_text(F.col("square")), key_text(F.col("square"))),
-    ]
-    rows = lookup(rows, tables["platforms"], by_square, "__row_platform_id", null_safe=[2])
-    rows = rows.withColumn("platform_id", F.coalesce("platform_id", "__row_platform_id"))
-    on_platform = [
-        (key_text(F.col("well_name")), key_text(F.col("name"))),
-        (F.col("platform_id"), F.col("platform_id")),
-    ]
-    rows = lookup(rows, tables["wells"], on_platform, "well_id")
     for column, table, output in (
         ("category_name", "well_stock_categories", "well_stock_category_id"),
         (
@@ -157,7 +140,40 @@ def resolve_rows(body: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
         "name",
         "production_sub_skins_activity_id",
     )
-    return rows.drop("__lts_field", "__lts_field_id", "__row_platform_id")
+    return rows.select("*", "__rest.*").drop("__rest")
+
+
+def _resolve_places(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Field, platform and well; an LTS sheet names field and platform per row."""
+    lts_field = F.lit(LTS_OTHER_FIELD)
+    for platform, name in LTS_FIELDS.items():
+        is_platform = key_text(F.col("row_platform")) == platform
+        lts_field = F.when(is_platform, F.lit(name)).otherwise(lts_field)
+
+    def own(row_value: Column, file_value: str) -> Column:
+        return F.when(F.col("is_lts"), row_value).otherwise(F.col(file_value))
+
+    rows = rows.withColumns(
+        {
+            "__lts_field": F.when(F.col("is_lts"), lts_field),
+            "platform": own(key_text(F.col("row_platform")), "platform"),
+        }
+    )
+    rows = lookup(rows, tables["fields"], [(F.col("__lts_field"), F.col("name"))], "__lts_id")
+    rows = rows.withColumn("field_id", own(F.col("__lts_id"), "field_id"))
+    by_square = [
+        (F.when(~F.col("platform_by_file"), F.col("platform")), key_text(F.col("name"))),
+        (F.col("field_id"), F.col("field_id")),
+        (key_text(F.col("square")), key_text(F.col("square"))),
+    ]
+    rows = lookup(rows, tables["platforms"], by_square, "__row_platform_id", null_safe=[2])
+    rows = rows.withColumn("platform_id", F.coalesce("platform_id", "__row_platform_id"))
+    on_platform = [
+        (key_text(F.col("well_name")), key_text(F.col("name"))),
+        (F.col("platform_id"), F.col("platform_id")),
+    ]
+    rows = lookup(rows, tables["wells"], on_platform, "well_id")
+    return rows.drop("__lts_field", "__lts_id", "__row_platform_id")
 
 
 def checked_records(

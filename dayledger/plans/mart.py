@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,29 +100,37 @@ def measures(wt: Column, lr: Column, gwt: Column, uptime: Column) -> dict[str, C
     }
 
 
-def states_as_of(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Daily parameters with the six states as structs: one shuffle by well.
+def states_as_of(
+    tables: Mapping[str, DataFrame],
+    base: Sequence[str] | None = None,
+    states: Sequence[str] = tuple(STATES),
+) -> DataFrame:
+    """Daily parameters (or their ``base`` columns) with the states as structs:
+    one shuffle by well.
 
     The base holds one row per well and day and every state one per well and
     day or test date, so a well's group is bounded by the calendar.
     """
-    states = {
-        short: State(
-            tables[name],
-            [c for c in tables[name].columns if c not in ("well_id", "report_date_id", "created_at")],
-            TIES.get(short, ()),
-        )
-        for short, name in STATES.items()
-    }
-    base = tables["daily_well_parameters"].drop("created_at")
-    return asof_join_many(base, states, ["well_id"], "report_date_id", unique=True)
+    keys = ("well_id", "report_date_id")
+    chosen = {}
+    for short in states:
+        frame = tables[STATES[short]]
+        payload = [c for c in frame.columns if c not in (*keys, "created_at")]
+        chosen[short] = State(frame, payload, TIES.get(short, ()))
+    daily = tables["daily_well_parameters"]
+    columns = base or [c for c in daily.columns if c not in (*keys, "created_at")]
+    return asof_join_many(
+        daily.select(*keys, *columns), chosen, ["well_id"], "report_date_id", unique=True
+    )
 
 
-def _dimensions(tables: Mapping[str, DataFrame]) -> list[Dimension]:
-    named = {"name": "well"}
+def _place_dimensions(tables: Mapping[str, DataFrame]) -> list[Dimension]:
+    """Date, well, platform and field; platform and field are reached through the well."""
     return [
         Dimension(tables["report_dates"], "report_date_id", {"report_date": "report_date"}),
-        Dimension(tables["wells"], "well_id", named | {"platform_id": "platform_id"}),
+        Dimension(
+            tables["wells"], "well_id", {"name": "well", "platform_id": "platform_id"}
+        ),
         Dimension(
             tables["platforms"],
             "platform_id",
@@ -133,24 +141,36 @@ def _dimensions(tables: Mapping[str, DataFrame]) -> list[Dimension]:
             "platform_field_id",
             {"name": "field", "field_id": "field_id"},
         ),
-        Dimension(tables["well_stock_categories"], "category_id", {"name": "well_stock_category"}),
-        Dimension(
-            tables["production_well_stock_sub_categories"],
-            "sub_category_id",
-            {"name": "production_well_stock_sub_category"},
-        ),
-        Dimension(tables["production_methods"], "method_id", {"name": "production_method"}),
         Dimension(
             tables["horizons"], "horizon_id", {"name": "horizon", "oil_density": "oil_density"}
         ),
-        Dimension(
-            tables["production_sub_skins_activities"], "activity_id", {"name": "production_skin"}
-        ),
     ]
 
 
+def _name_dimensions(tables: Mapping[str, DataFrame]) -> list[Dimension]:
+    names = {
+        "category_id": ("well_stock_categories", "well_stock_category"),
+        "sub_category_id": (
+            "production_well_stock_sub_categories",
+            "production_well_stock_sub_category",
+        ),
+        "method_id": ("production_methods", "production_method"),
+        "activity_id": ("production_sub_skins_activities", "production_skin"),
+    }
+    return [Dimension(tables[t], ref, {"name": output}) for ref, (t, output) in names.items()]
+
+
+def oil_weights(tables: Mapping[str, DataFrame], density_field: str = DENSITY_FIELD) -> DataFrame:
+    """The allocation weights alone: only the states and dimensions they depend on."""
+    states = states_as_of(tables, ["well_uptime_hours"], ["c", "wt", "lr"])
+    placed = states.withColumn("horizon_id", F.col("c")["horizon_id"])
+    placed = denormalise(placed, _place_dimensions(tables))
+    calc = with_production_calc(placed, density_field)
+    return calc.select("field_id", "report_date", "oil_ton_wellTest")
+
+
 def with_dimensions(states: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Nine left joins; platform and field are reached through the well."""
+    """Nine left joins. The measures of a row ride along packed."""
     refs = {
         "category_id": F.col("ws")["well_stock_category_id"],
         "sub_category_id": F.col("ws")["production_well_stock_sub_category_id"],
@@ -158,7 +178,11 @@ def with_dimensions(states: DataFrame, tables: Mapping[str, DataFrame]) -> DataF
         "horizon_id": F.col("c")["horizon_id"],
         "activity_id": F.col("wdr")["production_sub_skins_activity_id"],
     }
-    return denormalise(states.withColumns(refs), _dimensions(tables))
+    keys = ["well_id", "report_date_id"]
+    rest = F.struct(*[c for c in states.columns if c not in keys]).alias("__rest")
+    packed = states.select(*keys, *[v.alias(n) for n, v in refs.items()], rest)
+    dims = [*_place_dimensions(tables), *_name_dimensions(tables)]
+    return denormalise(packed, dims).select("*", "__rest.*").drop("__rest")
 
 
 def complete_table(
@@ -170,7 +194,14 @@ def complete_table(
     wide = with_dimensions(states_as_of(tables), tables)
     wide = with_production_calc(wide, density_field)
     targets = monthly_target(tables["monthly_reported"], tables["report_dates"], "produced_oil")
-    wide = allocate(wide, targets, "oil_ton_wellTest", "oil_ton_allocated", max_groups=max_groups)
+    wide = allocate(
+        wide,
+        targets,
+        "oil_ton_wellTest",
+        "oil_ton_allocated",
+        weights=oil_weights(tables, density_field),
+        max_groups=max_groups,
+    )
     ws, c, wdr, wt, lr, gwt = (F.col(s) for s in STATES)
     computed = measures(wt, lr, gwt, F.col("well_uptime_hours"))
     as_stored = {"pqa": "Pqa", "phf": "Phf", "pba": "Pba"}
