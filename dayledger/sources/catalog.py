@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators.incremental import within
@@ -51,12 +51,33 @@ class Catalog:
         self._write(df, name, self.path(name), "append")
 
     def replace(self, df: DataFrame, name: str) -> None:
-        """Overwrite a table. ``df`` must not read the same table; see :meth:`rewrite`."""
+        """Overwrite a table. ``df`` must not read the same table."""
         self._write(df, name, self.path(name), "overwrite")
 
-    def rewrite(self, df: DataFrame, name: str) -> None:
+    def rewrite(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
         """Overwrite a table with contents computed from itself, through staging."""
-        self.replace(self.stage(df), name)
+        self.replace(self.stage(change(self.table(name))), name)
+
+    def delete(
+        self, name: str, hit: Column, survivors: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        """Keep ``survivors(rows)`` of the periods that hold a row where ``hit``.
+
+        ``hit`` is a cheap condition every doomed row meets. Only the periods it
+        finds are rewritten, unless one would become empty; then all are.
+        """
+        stored = self._stored(name)
+        touched = [r[0] for r in stored.where(hit).select(_PERIOD).distinct().collect()]
+        if not touched:
+            return
+        part = stored.where(F.col(_PERIOD).isin(touched)).drop(_PERIOD)
+        kept = self.stage(survivors(part))
+        left = kept.select(self._period(name).alias(_PERIOD)).distinct().count()
+        if left == len(touched):
+            self._write(kept, name, self.path(name), "overwrite", dynamic=True)
+        else:
+            rest = stored.where(~F.col(_PERIOD).isin(touched)).drop(_PERIOD)
+            self.replace(self.stage(rest.unionByName(kept)), name)
 
     def stage(self, df: DataFrame) -> DataFrame:
         """A written copy in the cluster's shared folder, or beside the tables."""
@@ -70,18 +91,22 @@ class Catalog:
         ddl = TABLES[name] + (f", {_PERIOD} int" if name in FACTS else "")
         return self.spark.read.schema(ddl).parquet(self.path(name))
 
-    def _period(self, name: str):
+    def _period(self, name: str) -> Column:
         day = F.col(FACTS[name].on)
         if FACTS[name].on == "report_date_id":
             return F.floor(day / _PERIOD_DAYS).cast("int")
         return F.year(day) * 12 + F.month(day)
 
-    def _write(self, df: DataFrame, name: str, path: str, mode: str) -> None:
+    def _write(
+        self, df: DataFrame, name: str, path: str, mode: str, dynamic: bool = False
+    ) -> None:
         columns = self.spark.createDataFrame([], TABLES[name]).schema
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in columns])
         if name in FACTS:
             out = out.withColumn(_PERIOD, self._period(name)).hint("rebalance", _PERIOD)
-            out.write.mode(mode).partitionBy(_PERIOD).parquet(path)
+            writer = out.write.mode(mode).partitionBy(_PERIOD)
+            overwrite = "dynamic" if dynamic else "static"
+            writer.option("partitionOverwriteMode", overwrite).parquet(path)
         else:
             out.write.mode(mode).parquet(path)
 
