@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -445,17 +446,21 @@ def load_reports(
     routed = route(records.where(~rejected()), gas_policy)
     routed["daily_general_comments"] = comments(files, records)
 
-    inserted = {}
-    for name, incoming in routed.items():
-        fact = S.FACTS[name]
+    def staged(name: str) -> DataFrame:
+        if name == "flowmeters":
+            return catalog.stage(meter_fates(files, tables["flowmeters"]))
+        incoming, fact = routed[name], S.FACTS[name]
         stored = tables[name] if fact.tracked else catalog.near(name, incoming)
-        new = new_rows(name, incoming, stored)
-        inserted[name] = catalog.stage(new.withColumn("created_at", F.lit(load_date)))
-    meters = catalog.stage(meter_fates(files, tables["flowmeters"]))
-    inserted["flowmeters"] = meters.where("inserted").withColumn("created_at", F.lit(load_date))
-
-    for name, new in inserted.items():
-        catalog.append(new, name)
+        return catalog.stage(new_rows(name, incoming, stored))
+
+    # The nine tables do not depend on each other: their jobs share the cluster.
+    names = [*routed, "flowmeters"]
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        inserted = dict(zip(names, pool.map(staged, names)))
+        meters = inserted["flowmeters"]
+        inserted["flowmeters"] = meters.where("inserted")
+        inserted = {n: df.withColumn("created_at", F.lit(load_date)) for n, df in inserted.items()}
+        list(pool.map(lambda name: catalog.append(inserted[name], name), names))
     findings = all_findings(files, records, meters)
     findings = findings.unionByName(all_outcomes(files, records, meters, inserted))
     return LoadResult(inserted, findings, load_summary(findings, inserted))

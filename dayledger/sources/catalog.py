@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayledger.operators.incremental import within
 from dayledger.sources.schemas import FACTS, TABLES
@@ -34,7 +35,9 @@ class Catalog:
             self.truncate(name)
 
     def truncate(self, name: str) -> None:
-        self.replace(self.spark.createDataFrame([], TABLES[name]), name)
+        columns = T.StructType.fromDDL(TABLES[name])
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
+        self.replace(self.spark.range(0).select(*none), name)
 
     def table(self, name: str) -> DataFrame:
         return self._stored(name).drop(_PERIOD)
@@ -100,7 +103,7 @@ class Catalog:
     def _write(
         self, df: DataFrame, name: str, path: str, mode: str, dynamic: bool = False
     ) -> None:
-        columns = self.spark.createDataFrame([], TABLES[name]).schema
+        columns = T.StructType.fromDDL(TABLES[name])
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in columns])
         if name in FACTS:
             out = out.withColumn(_PERIOD, self._period(name)).hint("rebalance", _PERIOD)

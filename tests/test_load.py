@@ -1,7 +1,8 @@
 import datetime as dt
+import shutil
 
 import pytest
-from helpers import DAY, Sheet, cells_frame, fill_dimensions, rows_of
+from helpers import DAY, Sheet, cells_frame, rows_of
 from pyspark.sql import functions as F
 
 from dayledger.plans import upkeep
@@ -15,10 +16,9 @@ LOADED = dt.date(2025, 2, 1)
 
 
 @pytest.fixture
-def catalog(spark, tmp_path):
-    made = Catalog(spark, str(tmp_path / "mart"))
-    fill_dimensions(made)
-    return made
+def catalog(spark, filled, tmp_path):
+    shutil.copytree(filled, tmp_path / "mart")
+    return Catalog(spark, str(tmp_path / "mart"))
 
 
 def load(catalog, *sheets, **options):

@@ -1,14 +1,15 @@
 import datetime as dt
+import shutil
 
-from helpers import Sheet, cells_frame, fill_dimensions
+from helpers import Sheet, cells_frame
 
 from dayledger.sources.catalog import Catalog
 from dayledger.streaming.arrivals import load_arrivals, read_arrivals
 
 
-def test_arrivals_are_loaded_once(spark, tmp_path):
+def test_arrivals_are_loaded_once(spark, filled, tmp_path):
+    shutil.copytree(filled, tmp_path / "mart")
     catalog = Catalog(spark, str(tmp_path / "mart"))
-    fill_dimensions(catalog)
     inbox, checkpoint = str(tmp_path / "inbox"), str(tmp_path / "checkpoint")
 
     def arrive(sheet):
