@@ -30,7 +30,7 @@ SAMPLE_TABLES = {
     "value double, props string",
 }
 
-MONTH = dt.date(2024, 1, 31)
+MONTH_START = dt.date(2024, 1, 1)
 
 
 def _k() -> Column:
@@ -185,7 +185,7 @@ class Samples:
     def monthly(self) -> DataFrame:
         return self.fields.where("id < 5").select(
             F.col("id").alias("field_id"),
-            F.lit(MONTH).alias("report_date"),
+            F.last_day(F.date_add(F.lit(MONTH_START), F.col("id"))).alias("report_date"),
             (1000 * F.col("id")).cast("double").alias("produced_oil"),
         )
 
