@@ -75,6 +75,11 @@ class LoadResult:
     def qc(self) -> DataFrame:
         return self.findings.where("qc")
 
+    def write(self, folder: str) -> None:
+        """Append the findings and their flagged subset as JSON lines."""
+        self.findings.write.mode("append").json(f"{folder}/findings")
+        self.qc.write.mode("append").json(f"{folder}/qc")
+
 
 def resolve_layout(header: DataFrame) -> DataFrame:
     """Add ``is_lts`` (field and platform per row) and ``platform_by_file``."""
