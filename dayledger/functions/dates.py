@@ -16,6 +16,9 @@ HIGH_SERIALS_ABOVE = 18000
 # The last serial a spreadsheet can hold, 9999-12-31.
 _MAX_SERIAL = 2958465
 
+_LOCAL = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_ISO = r"^ *\d{4}-\d{2}-\d{2}(?!\d)"
+
 
 def serial_date(serial: Column) -> Column:
     """Whole days after day 0; the time part is dropped."""
@@ -29,11 +32,14 @@ def is_date_serial(serial: Column) -> Column:
 
 
 def text_date(text: Column) -> Column:
-    """``M/d/yyyy`` (a time after a comma is ignored) or ``yyyy-MM-dd...``; else null."""
+    """``M/d/yyyy`` (a time after a comma is ignored) or ``yyyy-MM-dd...``; else null.
+
+    The shape is tested first: a failed date parse costs far more than a pattern.
+    """
     before_comma = F.trim(F.split_part(text, F.lit(","), F.lit(1)))
     local = F.try_to_date(before_comma, "M/d/yyyy")
-    iso = F.try_to_date(F.regexp_extract(text, r"^\s*(\d{4}-\d{2}-\d{2})(?!\d)", 1), "yyyy-MM-dd")
-    return F.coalesce(local, iso)
+    iso = F.try_to_date(F.substring(F.trim(text), 1, 10), "yyyy-MM-dd")
+    return F.when(before_comma.rlike(_LOCAL), local).when(text.rlike(_ISO), iso)
 
 
 def cell_date(text: Column) -> Column:
