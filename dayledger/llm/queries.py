@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, language_id, token_store
+from dayledger.llm import decontaminate, exact_dedup, language_id, simhash, substring_dedup, token_store
 from dayledger.llm.common import ascii_lower, fold, new_folder, table, text_of
 
 
@@ -20,6 +20,11 @@ def op1_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.with_crc(read).withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicate texts over fingerprints of 3-word shingles."""
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=2)
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every text, learned from the rows that are not held out."""
     docs = table(spark, folder, "documents").withColumn("held_out", fold("doc_id", 4, 2))
@@ -54,6 +59,34 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document left after windows of earlier documents are gone."""
+    found = substring_dedup.substring_dedup(table(spark, folder, "documents"), window=13)
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS seq
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d)),
+least AS (SELECT seq, min(doc_id) AS least FROM starts GROUP BY seq),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS k
+  FROM starts JOIN least USING (seq) WHERE least < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS k FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept, count(*) AS n_kept
+  FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in windows of benchmark items."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -103,12 +136,15 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
+    "op5_substring_dedup": OP5_SQL,
     "op10_decontamination": OP10_SQL,
 }
