@@ -81,8 +81,7 @@ def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
 
 #: Bytes of words: all but space and 0x09 to 0x0D.
 WORD_BYTES = byte_set((0x20, 0x20), (0x09, 0x0D))
-#: Bytes of words of lower-cased letters, digits and non-ASCII characters; A to Z
-#: count, as texts are lower-cased first.
+#: Bytes of words of letters, digits and non-ASCII characters, A to Z included.
 ALNUM_BYTES = byte_set((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
 FOLD_CASE = np.arange(256, dtype=np.uint8)

@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, language_id, simhash, substring_dedup, token_store
+from dayledger.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    simhash,
+    substring_dedup,
+    token_store,
+    toxicity,
+)
 from dayledger.llm.common import ascii_lower, fold, new_folder, table, text_of
 
 
@@ -87,6 +97,61 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document that repeat an earlier line but for one word."""
+    found = line_dedup.mark_lines(table(spark, folder, "documents"), min_words=10)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        F.size("dropped").cast("bigint").alias("n_dropped"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, n, line, regexp_extract_all(line, '[^ 	-]+') AS w, doc_id * 1000000 + n AS place
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(generate_series(0, len(lines) - 1)) AS n
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+f AS (
+  SELECT array_to_string(w, ' ') AS whole, any_value(w) AS w, min(place) AS place
+  FROM l WHERE len(w) > 0 GROUP BY 1),
+keys AS (
+  SELECT whole, whole AS key, -1 AS i, place FROM f WHERE len(w) >= 9
+  UNION ALL
+  SELECT whole, array_to_string(list_concat(w[1 : i], w[i + 2 :]), ' ') AS key, i, place
+  FROM (SELECT whole, w, place, unnest(generate_series(0, len(w) - 1)) AS i FROM f WHERE len(w) >= 10)),
+of_key AS (
+  SELECT key, min(place) FILTER (i = -1) AS whole_place, min(place) FILTER (i >= 0) AS variant_place
+  FROM keys GROUP BY key),
+of_place AS (SELECT key, i, min(place) AS same_place FROM keys WHERE i >= 0 GROUP BY key, i),
+near AS (
+  SELECT DISTINCT whole FROM keys JOIN of_key USING (key) LEFT JOIN of_place USING (key, i)
+  WHERE (i = -1 AND variant_place < place) OR (i >= 0 AND (whole_place < place OR same_place < place))),
+judged AS (
+  SELECT doc_id, n, line, len(l.w) > 0 AND (l.place > f.place OR near.whole IS NOT NULL) AS gone
+  FROM l LEFT JOIN f ON array_to_string(l.w, ' ') = f.whole LEFT JOIN near ON near.whole = f.whole)
+SELECT d.doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE count(*) END AS n_lines,
+       count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d JOIN judged USING (doc_id) GROUP BY d.doc_id, text
+"""
+
+
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every text, by unigrams and by the mixed model."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", (~fold("doc_id", 7, 2)).alias("learned"))
+    return lm_scoring.score(docs, "learned").withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text, learned from the labelled rows not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", fold("doc_id", 3, 1).alias("held_out"))
+    labels = table(spark, folder, "labels").where("toxic is not null").select("doc_id", "toxic")
+    net = toxicity.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    return toxicity.score(docs, net).drop("text")
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in windows of benchmark items."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -140,11 +205,15 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
+    "op7_line_dedup": OP7_SQL,
     "op10_decontamination": OP10_SQL,
 }
