@@ -40,6 +40,26 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def boxed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``text`` and ``rest``, a struct of all other columns: whatever their names,
+    they cannot meet those an operator adds."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return docs.select(
+        F.col(f"`{text}`").cast("string").alias("text"),
+        F.struct(*(others or [F.lit(True).alias("none")])).alias("rest"),
+    )
+
+
+def unboxed(found: DataFrame, docs: DataFrame, text: str = "text", changed: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` again. Where ``changed`` says that the text did, an
+    ``n_chars`` column follows it."""
+    columns = {c: F.col("text") if c == text else F.col(f"rest.`{c}`") for c in docs.columns}
+    if changed is not None and "n_chars" in columns and text != "n_chars":
+        size = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
+        columns["n_chars"] = F.when(changed, size).otherwise(columns["n_chars"])
+    return found.select(*(c.alias(n) for n, c in columns.items()))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share. A local session that has
     no ``spark.checkpoint.dir``, as in tests, gets one of its own."""
@@ -177,9 +197,3 @@ def window_hashes(words: np.ndarray, width: int, seed: int) -> np.ndarray:
     for k in range(width):
         h += words[k : k + n] * factors[k]
     return mix(h)
-
-
-def schema_of(df: DataFrame, *columns: str) -> str:
-    """DDL of some columns of a frame."""
-    kinds = dict(df.dtypes)
-    return ", ".join(f"`{c}` {kinds[c]}" for c in columns)

@@ -9,7 +9,6 @@ with an automaton of its own that all documents pass in turn.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +20,11 @@ from dayledger.llm.common import (
     ALNUM_BYTES,
     FOLD_CASE,
     WordHasher,
+    boxed,
     joined,
     stage,
     steps,
+    unboxed,
     word_spans,
 )
 
@@ -197,9 +198,9 @@ def find_items(
     Words are lower-cased runs of letters, digits and non-ASCII characters. A window
     is ``window`` consecutive words of an item, or the whole of a shorter item; a
     word inside any occurrence of a window is hit. Null and empty texts have no
-    words, null items no windows; a null item id counts as an empty string. All
-    columns of ``docs`` stay (``found`` must be free); repeated rows are judged
-    alike; an empty table or benchmark gives rows without hits.
+    words, null items no windows; a null item id counts as an empty string. The
+    columns of ``docs`` stay, but for one named ``found``, which is replaced;
+    repeated rows are judged alike; an empty benchmark gives rows without hits.
     """
     spark = docs.sparkSession
     kind = "struct<n_words:bigint,spans:array<struct<first:bigint,past:bigint>>,items:array<string>>"
@@ -260,43 +261,26 @@ def is_contaminated(coverage: float = COVERAGE):
     return (n_hit() > 0) & (n_hit() * share >= F.col("found.n_words"))
 
 
-def digest_items(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, **options) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", coverage: float = COVERAGE, **options) -> DataFrame:
     """``docs`` without what they share with the benchmark: documents beyond the
     coverage limit go, the others lose the words of their hit spans together with
     the characters between those words. Texts without hits stay as they are. Where
     there is an ``n_chars`` column, it follows a shortened text.
     """
-    text = options.get("text", "text")
-    columns = docs.columns
-    kept = find_items(docs, benchmark, **options).where(~is_contaminated(coverage))
-    schema = kept.schema
+    kept = find_items(boxed(docs, text), benchmark, **options).where(~is_contaminated(coverage))
 
     def cut(batches):
         for batch in batches:
             names = batch.schema.names
-            spans = batch.column(names.index("found")).field("spans")
-            at = names.index(text)
+            spans = batch.column(names.index("found")).field("spans").to_pylist()
+            at = names.index("text")
             texts = batch.column(at).to_pylist()
-            sizes = batch.column(names.index("n_chars")).to_pylist() if "n_chars" in names else None
-            for i, own in enumerate(spans.to_pylist()):
+            for i, own in enumerate(spans):
                 if own:
                     texts[i] = without_words(texts[i], [(s["first"], s["past"]) for s in own])
-                    if sizes is not None:
-                        sizes[i] = len(texts[i])
-            new = {text: texts} | ({"n_chars": sizes} if sizes is not None else {})
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(new[n], type=batch.schema.field(i).type) if n in new else batch.column(i)
-                    for i, n in enumerate(names)
-                ],
-                schema=batch.schema,
-            )
-
-    return kept.mapInArrow(cut, schema).select(*columns)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return unboxed(kept.mapInArrow(cut, kept.schema), docs, text, F.size("found.spans") > 0)
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -201,7 +201,7 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
 
     Every byte of a text is in one window. Null texts, texts without a letter, and
     all texts where there was nothing to learn from get ``und`` and score 0. Other
-    columns stay; those two names must be free. An empty table gives no rows.
+    columns stay; any of those two names are replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
     marked = docs.withColumn("lang_pred", has_letter(F.col(text)).cast("string")).withColumn("score", F.lit(0.0))

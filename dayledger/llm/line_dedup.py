@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from dayledger.llm import blocks as B
-from dayledger.llm.common import WordHasher, mix, partitions, word_spans
+from dayledger.llm.common import WordHasher, boxed, mix, partitions, unboxed, word_spans
 
 #: Lines of fewer words only go if equal to an earlier one: a word in so few is
 #: more than a tenth of the line.
@@ -173,9 +173,9 @@ def _nearest(key, place, row_id, line) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def mark_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``row`` (a struct of all columns of ``docs``), ``kept`` (the text without the
-    lines that go), ``n_lines`` and ``dropped``, the sorted numbers from 0 of those
-    lines, for every row of ``docs``.
+    """``text`` without the lines that go, ``rest`` (a struct of the other columns),
+    ``n_lines`` and ``dropped``, the sorted numbers from 0 of those lines, for every
+    row of ``docs``.
 
     Lines end at a line feed; a line's place is the id of its row, then its number.
     A line with words goes if a line at an earlier place has the same words, or, if
@@ -184,15 +184,12 @@ def mark_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", m
     lines the earliest stays, and a chain of them may shrink to its first. Lines
     without words stay. Null ids come last; rows that repeat an id, or have none,
     share their places, and lines at the same place do not remove each other. Null
-    texts have no lines and stay null; an empty table gives no rows.
+    texts have no lines and come back empty; an empty table gives no rows.
     """
     spark = docs.sparkSession
     buckets = partitions(spark)
-    rows = docs.select(
-        F.col(id_column).alias("doc"), F.col(text).cast("string").alias("text"), F.struct(*docs.columns).alias("row")
-    )
-    blocks = B.in_blocks(rows, "doc", "text", "row")
-    slim = blocks.select("block", "row_id", "body")
+    rows = boxed(docs, text)
+    blocks = B.in_blocks(rows, f"rest.`{id_column}`", "text", "rest")
 
     def ask_equal(key, rows):
         lines = Lines(rows)
@@ -270,22 +267,22 @@ def mark_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", m
             kept.append(body.decode())
         return pa.table(
             {
-                "row": rows.column("row"),
-                "kept": pa.array(kept, pa.string()),
+                "text": pa.array(kept, pa.string()),
+                "rest": rows.column("rest"),
                 "n_lines": pa.array(sizes, pa.int64()),
                 "dropped": pa.array(numbers, pa.list_(pa.int32())),
             }
         )
 
-    equal = B.answer(B.ask(slim, ask_equal, EQUAL), find_equal, EQUAL).withColumn("kind", F.lit("equal"))
-    held = B.answer(B.ask(slim, ask_held, B.HELD, equal), B.shared_keys, B.SHARED)
+    equal = B.answer(B.ask(blocks, ask_equal, EQUAL), find_equal, EQUAL).withColumn("kind", F.lit("equal"))
+    held = B.answer(B.ask(blocks, ask_held, B.HELD, equal), B.shared_keys, B.SHARED)
     told = equal.unionByName(held.withColumn("kind", F.lit("shared")), allowMissingColumns=True)
-    near = B.answer(B.ask(slim, ask_near, VARIANTS, told), find_near, VARIANTS)
+    near = B.answer(B.ask(blocks, ask_near, VARIANTS, told), find_near, VARIANTS)
     told = equal.unionByName(near.withColumn("kind", F.lit("near")), allowMissingColumns=True)
     made = (
         StructType()
-        .add("row", rows.schema["row"].dataType)
-        .add("kept", "string")
+        .add("text", "string")
+        .add("rest", rows.schema["rest"].dataType)
         .add("n_lines", "long")
         .add("dropped", ArrayType(IntegerType()))
     )
@@ -295,11 +292,4 @@ def mark_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", m
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its texts less the lines that ``mark_lines`` drops. Where there
     is an ``n_chars`` column, it follows a shortened text."""
-    found = mark_lines(docs, id_column, text, min_words)
-    changed = F.size("dropped") > 0
-    columns = {c: F.col(f"row.`{c}`") for c in docs.columns}
-    columns[text] = F.when(changed, F.col("kept")).otherwise(columns[text])
-    if "n_chars" in columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        columns["n_chars"] = F.when(changed, F.char_length("kept").cast(kind)).otherwise(columns["n_chars"])
-    return found.select(*(c.alias(n) for n, c in columns.items()))
+    return unboxed(mark_lines(docs, id_column, text, min_words), docs, text, F.size("dropped") > 0)

@@ -12,6 +12,7 @@ from dayledger.llm import (
     language_id,
     line_dedup,
     lm_scoring,
+    sentencepiece_scan,
     simhash,
     substring_dedup,
     token_store,
@@ -32,7 +33,7 @@ def op1_token_output(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-duplicate texts over fingerprints of 3-word shingles."""
-    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=2)
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=2).drop("row_hash")
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,20 +98,34 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every text, and whether their decoding gives the text again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = sentencepiece_scan.decode(sentencepiece_scan.encode(docs, model), model)
+    return sentencepiece_scan.crc32_of(found).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids_crc32",
+        (F.col("decoded") == F.translate(text_of(), "▁", " ")).alias("round_trip"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of every document that repeat an earlier line but for one word."""
     found = line_dedup.mark_lines(table(spark, folder, "documents"), min_words=10)
     return found.select(
-        F.col("row.doc_id").alias("doc_id"),
+        F.col("rest.doc_id").alias("doc_id"),
         "n_lines",
         F.size("dropped").cast("bigint").alias("n_dropped"),
-        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
     )
 
 
 OP7_SQL = r"""
 WITH l AS (
-  SELECT doc_id, n, line, regexp_extract_all(line, '[^ 	-]+') AS w, doc_id * 1000000 + n AS place
+  SELECT doc_id, n, line, regexp_extract_all(line, '[^ 	-
+]+') AS w, doc_id * 1000000 + n AS place
   FROM (SELECT doc_id, unnest(lines) AS line, unnest(generate_series(0, len(lines) - 1)) AS n
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
 f AS (
@@ -205,6 +220,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_line_dedup": op7_line_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,

@@ -21,10 +21,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import joined, stage, steps, text_of
+from dayledger.llm.common import boxed, stage, text_of, unboxed
 from dayledger.llm.components import components
 
 SHINGLE = 3
@@ -62,17 +62,26 @@ def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``row_id`` and ``bits``, the fingerprint as a signed number, of every row."""
-    rows = docs.select(F.col(id_column).alias("row_id"), text_of(text).cast("binary").alias("row_text"))
+    """``row_id``, ``row_hash`` of id and text, and ``bits``, the fingerprint as a
+    signed number, of every row."""
+    rows = docs.select(
+        F.col(id_column).alias("row_id"),
+        row_hash(id_column, text).alias("row_hash"),
+        text_of(text).cast("binary").alias("row_text"),
+    )
 
     def compute(batches):
         for batch in batches:
-            own = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            bits = np.array(own, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], names=["row_id", "bits"])
+            own = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
+            bits = pa.array(np.array(own, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bits], names=["row_id", "row_hash", "bits"])
 
     kind = dict(rows.dtypes)["row_id"]
-    return rows.mapInArrow(compute, f"row_id {kind}, bits bigint")
+    return rows.mapInArrow(compute, f"row_id {kind}, row_hash bigint, bits bigint")
+
+
+def row_hash(id_column: str, text: str) -> Column:
+    return F.xxhash64(F.col(id_column), F.col(text))
 
 
 # --- the tree ----------------------------------------------------------------
@@ -260,7 +269,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per input row: its id, ``fingerprint`` (16 lower-case hex digits) and
     ``component_id``, the smallest id reachable over fingerprints that differ in
-    ``max_bits`` bits or fewer.
+    ``max_bits`` bits or fewer; ``row_hash`` tells rows of one id apart by text.
 
     A to Z are lower-cased; words are runs of bytes other than space and 0x09 to
     0x0D. Texts of fewer words than a shingle have one shingle, texts without words,
@@ -280,4 +289,17 @@ def near_duplicates(
         F.col("row_id").alias(id_column),
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "row_hash",
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, and of rows
+    that repeat it that of the smallest hash of id and text, once."""
+    found = near_duplicates(docs, id_column, text, **options)
+    first = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
+    # a component without any id is known by its fingerprints' ids, all of them null
+    ids = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("?"), F.col("fingerprint")))
+    kept = first.groupBy(ids.alias("component")).agg(F.min("row_hash").alias("row_hash")).select("row_hash")
+    box = boxed(docs, text).withColumn("row_hash", row_hash(f"rest.`{id_column}`", "text"))
+    return unboxed(box.join(kept.distinct(), "row_hash", "left_semi").dropDuplicates(["row_hash"]), docs, text)

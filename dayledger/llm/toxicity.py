@@ -366,7 +366,8 @@ def score(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame
 
     All overlapping windows of every text are scored. Null texts and texts without a
     letter or digit score 0, as do all texts where there was nothing to learn from.
-    Other columns stay; those two names must be free. An empty table gives no rows.
+    Other columns stay; any of those two names are replaced. An empty table gives no
+    rows.
     """
     marked = docs.withColumn("score", F.lit(0.0))
     if net is not None:
