@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.common import joined, partitions, text_of
 
-BLOCKS_PER_PARTITION = 2
+BLOCKS_PER_PARTITION = 4
 NO_ID = np.iinfo(np.int64).max
 
 
