@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from dayledger.functions.text import differs
 from dayledger.operators.picks import first_per_key, last_per_key
 
-_SRC = "__src"
+_RANK = "__choice"
+_STATE = "__state"
 _PREV = "__prev"
 
 
@@ -53,25 +54,70 @@ def append_if_changed(
     """Rows to append to a change-only history: the (by, on) is not stored and a
     tracked column differs, null-safe, from the latest earlier row.
 
-    Stored rows are final; a stored row beats an incoming one of the same key.
-    Of the history before the first incoming day only the last row per key is
-    needed, and that is reduced map side. ``target=None`` rebuilds the history
-    from raw rows.
+    Rows are judged in turn, by day and then ``order``: of a day's rows the first
+    that differs from the state before is stored, and the others find the key taken.
+    So only the first two different rows of a key matter. Where no day of an entity
+    has two, its rows are compared with ``lag``; the days of the other entities are
+    folded in one row each, as what a day stores depends on the day before. ``on``
+    must bound the number of days.
+
+    Stored rows are final. Of the history of the entities that come in, the part
+    before the first incoming day is reduced to one last row each, map side.
+    ``target=None`` rebuilds the history from raw rows.
     """
-    rows = first_per_key(incoming, [*by, on], order).withColumn(_SRC, F.lit(1))
+    distinct = first_per_key(incoming, [*by, on, *tracked], order)
+    day = Window.partitionBy(*by, on).orderBy(*order)
+    rows = distinct.withColumn(_RANK, F.row_number().over(day)).where(F.col(_RANK) <= 2)
+    state = F.struct(*tracked)
+    slim = rows.select(*by, on, _RANK, state.alias(_STATE))
     if target is not None:
-        slim = target.select(*by, on, *tracked)
+        known = target.join(incoming.select(*by).distinct(), list(by), "left_semi")
+        known = known.select(*by, on, *tracked)
         start = incoming.select(F.min(on)).scalar()
-        before = last_per_key(slim.where(F.col(on) < start), by, [on])
-        since = slim.where(F.col(on) >= start)
-        stored = before.unionByName(since).withColumn(_SRC, F.lit(0))
-        rows = stored.unionByName(anti_existing(rows, since, [*by, on]), allowMissingColumns=True)
-    history = Window.partitionBy(*by).orderBy(on)
-    compared = rows.withColumn(_PREV, F.lag(F.struct(*tracked)).over(history))
+        before = last_per_key(known.where(F.col(on) < start), by, [on])
+        since = known.where(F.col(on) >= start)
+        stored = before.unionByName(since).select(*by, on, F.lit(0).alias(_RANK), state.alias(_STATE))
+        slim = stored.unionByName(anti_existing(slim, since, [*by, on]))
+    entity = Window.partitionBy(*by)
+    slim = slim.withColumn("__most", F.max(_RANK).over(entity))
+    single = slim.where("__most < 2")
+    compared = single.withColumn(_PREV, F.lag(_STATE).over(Window.partitionBy(*by).orderBy(on)))
+    changed = _changed(F.col(_PREV), F.col(_STATE), tracked)
+    keys = compared.where((F.col(_RANK) == 1) & changed).select(*by, on, _RANK)
+    keys = keys.unionByName(_folded(slim.where("__most = 2"), by, on, tracked))
+    return rows.join(keys, [*by, on, _RANK], "left_semi").select(*incoming.columns)
+
+
+def _changed(before: Column, now: Column, tracked: Sequence[str]) -> Column:
     changed = F.lit(False)
     for column in tracked:
-        changed = changed | differs(F.col(_PREV)[column], F.col(column))
-    return compared.where((F.col(_SRC) == 1) & changed).select(*incoming.columns)
+        changed = changed | differs(before[column], now[column])
+    return changed
+
+
+def _folded(slim: DataFrame, by: Sequence[str], on: str, tracked: Sequence[str]) -> DataFrame:
+    """Keys and ranks of the rows that are stored, of entities with two different
+    rows on some day."""
+    kind, state = dict(slim.dtypes)[on], dict(slim.dtypes)[_STATE]
+    lines = slim.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(on, _RANK, _STATE))).alias("rows"))
+
+    def step(seen: Column, row: Column) -> Column:
+        taken = F.coalesce(seen["day"] == row[on], F.lit(False))
+        is_new = ~taken & _changed(seen["state"], row[_STATE], tracked)
+        stored = row[_RANK] == 0
+        found = F.array(F.struct(row[on].alias(on), row[_RANK].alias(_RANK)))
+        return F.struct(
+            F.when(stored | is_new, row[on]).otherwise(seen["day"]).alias("day"),
+            F.when(stored | is_new, row[_STATE]).otherwise(seen["state"]).alias("state"),
+            F.when(is_new & ~stored, F.concat(seen["found"], found)).otherwise(seen["found"]).alias("found"),
+        )
+
+    start = F.struct(
+        F.lit(None).cast(kind).alias("day"),
+        F.lit(None).cast(state).alias("state"),
+        F.array().cast(f"array<struct<{on}:{kind}, {_RANK}:int>>").alias("found"),
+    )
+    return lines.select(*by, F.inline(F.aggregate("rows", start, step, lambda seen: seen["found"])))
 
 
 def changes(df: DataFrame, by: Sequence[str], on: str, tracked: Sequence[str]) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from dayledger.operators.picks import first_per_key
 
@@ -31,15 +32,17 @@ def check_meters(
 ) -> DataFrame:
     """Candidates with the flags ``incomplete, exists, discontinuous, inserted, stale``.
 
-    A complete candidate that must be continuous is blocked when the entry of
-    exactly the day before closed differently. Whether that entry was stored
-    depends on its own check, so in a run of mismatching days the first is
-    blocked, the second stored (its day before is absent), and so on: the
-    parity of the position in the run decides. ``on`` is a day number and
-    bounds each meter's timeline.
+    Days are judged in turn, and of a day each candidate on its own, by ``order``. A
+    complete candidate that must be continuous is blocked when the entry of exactly
+    the day before closed differently. Of the others the first is inserted, unless
+    the day is stored already; the rest find that it exists. What a day's entry is
+    depends on that of the day before, so each meter's days are folded in one row:
+    ``on`` is a day number, which bounds their number, and of candidates with the
+    same readings only the first enters, chosen map side.
     """
     readings = [r for pair in pairs for r in pair]
-    missing = _any([F.col(c).isNull() for _, c in pairs])
+    closings = [c for _, c in pairs]
+    missing = _any([F.col(c).isNull() for c in closings])
     no_opening = needs_opening & _any([F.col(o).isNull() for o, _ in pairs])
     flagged = candidates.withColumns(
         {
@@ -48,71 +51,85 @@ def check_meters(
             "__stales": F.coalesce(may_be_stale, F.lit(False)),
         }
     )
-    first = first_per_key(flagged.where(~F.col("incomplete")), [by, on], order)
-    new = first.select(
-        by, on, F.struct("__opens", "__stales", *readings).alias("new"),
-        F.lit(None).cast(f"struct<{', '.join(f'{r}:double' for r in readings)}>").alias("old"),
-    )
+    judged = [*readings, "__opens"]
+    distinct = first_per_key(flagged.where(~F.col("incomplete")), [by, on, *judged], order)
+    rank = F.struct(*[F.col(c).alias(f"__{c}") for c in order])
+    new = distinct.select(by, on, F.struct(rank.alias("rank"), *judged).alias("new"))
     if stored is not None:
         start = candidates.select(F.min(on)).scalar()
         near = stored.where(F.col(on) >= start - 1)
-        old = near.select(by, on, F.struct(*readings).alias("old"))
-        new = new.unionByName(old, allowMissingColumns=True)
+        new = new.unionByName(
+            near.select(by, on, F.struct(*closings).alias("old")), allowMissingColumns=True
+        )
+    else:
+        new = new.withColumn("old", F.lit(None).cast(_closing_type(closings)))
     days = new.groupBy(by, on).agg(
-        F.first("new", ignorenulls=True).alias("new"), F.first("old", ignorenulls=True).alias("old")
-    )
-    timeline = _with_fate(days, by, on, pairs)
-    fate = timeline.select(by, on, "exists", "discontinuous", "inserted", "stale")
-    winner = first.select(by, on, *[F.col(c).alias(f"__{c}") for c in order])
-    joined = flagged.join(fate, [by, on], "left").join(winner, [by, on], "left")
-    is_first = _all_equal(order) & ~F.col("incomplete")
-    return joined.select(
-        *candidates.columns,
-        "incomplete",
-        (~F.col("incomplete") & F.coalesce(F.col("exists") | ~is_first, F.lit(False))).alias("exists"),
-        *[
-            F.coalesce(F.col(c) & is_first, F.lit(False)).alias(c)
-            for c in ("discontinuous", "inserted", "stale")
-        ],
+        F.sort_array(F.collect_list("new")).alias("new"),
+        F.first("old", ignorenulls=True).alias("old"),
     )
+    fates = _fold(days, by, on, pairs, rank_type=new.schema["new"].dataType["rank"].dataType)
+    joined = flagged.join(fates, [by, on], "left")
+    before, winner = F.col("__before"), F.col("__winner")
+    sound = ~F.col("incomplete")
+    broken = F.coalesce(F.col("__opens") & _differs(before, pairs), F.lit(False))
+    inserted = F.coalesce(winner.eqNullSafe(rank) & winner.isNotNull(), F.lit(False))
+    same = F.col("__stales") & _any([before[c] == F.col(c) for c in closings])
+    flags = {
+        "incomplete": F.col("incomplete"),
+        "exists": sound & ~broken & ~inserted,
+        "discontinuous": sound & broken,
+        "inserted": sound & inserted,
+        "stale": sound & inserted & F.coalesce(same, F.lit(False)),
+    }
+    return joined.select(*candidates.columns, *[c.alias(n) for n, c in flags.items()])
+
 
+def _closing_type(closings: Sequence[str]) -> str:
+    return f"struct<{', '.join(f'{c}:double' for c in closings)}>"
 
-def _all_equal(order: Sequence[str]) -> Column:
-    same = F.lit(True)
-    for column in order:
-        same = same & F.col(column).eqNullSafe(F.col(f"__{column}"))
-    return same
 
+def _differs(before: Column, pairs: Sequence[tuple[str, str]], new: Column | None = None) -> Column:
+    """Whether an opening differs from the closing of the day before, if any."""
+    opening = (lambda o: F.col(o)) if new is None else (lambda o: new[o])
+    return _any([before[c] != opening(o) for o, c in pairs])
 
-def _with_fate(
-    days: DataFrame, by: str, on: str, pairs: Sequence[tuple[str, str]]
+
+def _fold(
+    days: DataFrame, by: str, on: str, pairs: Sequence[tuple[str, str]], rank_type: DataType
 ) -> DataFrame:
-    line = Window.partitionBy(by).orderBy(on)
-    closing = [c for _, c in pairs]
-    new, before = F.col("new"), F.col("__before")
-    used = [F.coalesce(F.col("old")[c], new[c]).alias(c) for c in closing]
-    seen = days.withColumn("__used", F.struct(F.col(on).alias("day"), *used))
-    seen = seen.withColumns({"__before": F.lag("__used").over(line), "__n": F.row_number().over(line)})
-    next_day = F.coalesce(F.col(on) - before["day"] == 1, F.lit(False))
-    broken = new["__opens"] & _any([before[c] != new[o] for o, c in pairs])
-    seen = seen.withColumns(
-        {
-            "__mismatch": F.coalesce(next_day & broken, F.lit(False)),
-            "__next_day": next_day,
-            "exists": F.col("old").isNotNull(),
-        }
-    )
-    anchor = F.when(F.col("exists") | ~F.col("__mismatch"), F.col("__n"))
-    run = F.col("__n") - F.last(anchor, ignorenulls=True).over(line)
-    seen = seen.withColumn("__kept", run % 2 == 0)
-    seen = seen.withColumn("__kept_before", F.coalesce(F.lag("__kept").over(line), F.lit(False)))
-    inserted = ~F.col("exists") & F.col("__kept")
-    same = new["__stales"] & _any([before[c] == new[c] for c in closing])
-    after_kept = F.col("__next_day") & F.col("__kept_before")
-    return seen.where(new.isNotNull()).withColumns(
-        {
-            "discontinuous": F.col("__mismatch") & F.col("__kept_before"),
-            "inserted": inserted,
-            "stale": F.coalesce(inserted & after_kept & same, F.lit(False)),
-        }
+    """For each day with candidates: ``__before``, the closings of the day before,
+    and ``__winner``, the rank of the candidate that is inserted, if one is."""
+    closings = [c for _, c in pairs]
+    closing = _closing_type(closings)
+    rank = rank_type.simpleString()
+    kind = dict(days.dtypes)[on]
+
+    def closed(entry: Column) -> Column:
+        return F.struct(*[entry[c].cast("double").alias(c) for c in closings])
+
+    def step(state: Column, day: Column) -> Column:
+        before = F.when(state["day"] == day[on] - 1, state["closed"])
+        passing = F.filter(
+            day["new"], lambda c: ~F.coalesce(c["__opens"] & _differs(before, pairs, c), F.lit(False))
+        )
+        first = F.get(passing, F.lit(0))
+        entry = F.when(day["old"].isNotNull(), closed(day["old"])).when(first.isNotNull(), closed(first))
+        fate = F.struct(
+            day[on].alias(on),
+            before.alias("__before"),
+            F.when(day["old"].isNull(), first["rank"]).alias("__winner"),
+        )
+        return F.struct(
+            F.when(entry.isNotNull(), day[on]).otherwise(state["day"]).alias("day"),
+            F.coalesce(entry, state["closed"]).alias("closed"),
+            F.concat(state["fates"], F.array(fate)).alias("fates"),
+        )
+
+    start = F.struct(
+        F.lit(None).cast(kind).alias("day"),
+        F.lit(None).cast(closing).alias("closed"),
+        F.array().cast(f"array<struct<{on}:{kind}, __before:{closing}, __winner:{rank}>>").alias("fates"),
     )
+    lines = days.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(on, "new", "old"))).alias("days"))
+    folded = F.aggregate("days", start, step, lambda state: state["fates"])
+    return lines.select(by, F.inline(folded))

@@ -75,11 +75,19 @@ def test_against_one_by_one_loading(spark):
         def row(o, days):
             return (rnd.randrange(3), rnd.choice(days), rnd.choice(["a", "b", None]), rnd.choice([1, None]), o)
 
-        # One row per (k, d) on each side; days may overlap.
+        # One stored row per (k, d); days may overlap, and incoming ones repeat.
         stored = list({(r[0], r[1]): r for r in (row(i, range(12)) for i in range(15))}.values())
         stored = one_by_one(stored, [])
         incoming = list({(r[0], r[1]): r for r in (row(i, range(6, 20)) for i in range(25))}.values())
         assert append(spark, incoming, stored) == one_by_one(incoming, stored)
+        repeated = incoming + [row(100 + i, range(6, 20)) for i in range(20)]
+        assert append(spark, repeated, stored) == one_by_one(repeated, stored)
+
+
+def test_a_repeat_of_the_state_does_not_hide_a_change_of_the_same_day(spark):
+    stored = [(1, 1, "a", 5, 0)]
+    incoming = [(1, 2, "a", 5, 1), (1, 2, "a", 6, 2), (1, 3, "a", 6, 3), (1, 3, "a", 5, 4)]
+    assert append(spark, incoming, stored) == [(1, 2, "a", 6, 2), (1, 3, "a", 5, 4)]
 
 
 def test_loading_twice_inserts_nothing(spark):

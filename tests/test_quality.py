@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from helpers import rows_of
 from pyspark.sql import functions as F
 
@@ -47,42 +48,44 @@ def test_findings_by_level(spark):
 
 
 def one_by_one(candidates, stored):
-    """Each day in turn against what is stored by then: the fate of every candidate."""
+    """Each candidate in turn against what is stored by then: what becomes of it."""
     table = {(p, d): (r1, r2) for p, d, r1, r2 in stored}
     fates = {}
-    for p, d, r1, r2 in sorted(candidates, key=lambda r: r[1]):
+    for p, d, f, r1, r2 in sorted(candidates, key=lambda r: (r[1], r[2])):
         if r1 is None or r2 is None:
-            fates[p, d] = "incomplete"
+            fates[f] = "incomplete"
             continue
         before = [x for x in table if x[0] == p and x[1] < d]
         last = max(before, key=lambda x: x[1]) if before else None
         if last and d - last[1] == 1 and table[last][1] != r1:
-            fates[p, d] = "discontinuous"
+            fates[f] = "discontinuous"
         elif (p, d) in table:
-            fates[p, d] = "exists"
+            fates[f] = "exists"
         else:
             stale = bool(last) and d - last[1] == 1 and table[last][1] == r2
             table[p, d] = (r1, r2)
-            fates[p, d] = "stale" if stale else "inserted"
+            fates[f] = "stale" if stale else "inserted"
     return fates
 
 
-def test_meters_against_one_by_one_loading(spark):
-    for seed in range(3):
-        rnd = random.Random(seed)
+@pytest.mark.parametrize("seed,most", [(0, 1), (1, 1), (2, 3), (3, 4), (4, 2)])
+def test_meters_against_one_by_one_loading(spark, seed, most):
+    rnd = random.Random(seed)
 
-        def reading():
-            return rnd.choice([1.0, 2.0, 2.0, None])
+    def reading():
+        return rnd.choice([1.0, 2.0, 2.0, None])
 
-        stored = [(p, d, rnd.choice([1.0, 2.0]), rnd.choice([1.0, 2.0])) for p in range(6) for d in range(8) if rnd.random() < 0.3]
-        incoming = [(p, d, reading(), reading()) for p in range(6) for d in range(3, 25) if rnd.random() < 0.85]
-        ddl = "p int, d int, reading1 double, reading2 double"
+    stored = [(p, d, rnd.choice([1.0, 2.0]), rnd.choice([1.0, 2.0])) for p in range(6) for d in range(8) if rnd.random() < 0.3]
+    places = [(p, d) for p in range(6) for d in range(3, 25) for _ in range(rnd.randint(0, most))]
+    incoming = [(p, d, f, reading(), reading()) for f, (p, d) in zip(rnd.sample(range(10**6), len(places)), places)]
+    stored_frame = spark.createDataFrame(stored, "p int, d int, reading1 double, reading2 double")
+    for table, rows in ((stored_frame, stored), (None, [])):
         got = check_meters(
-            spark.createDataFrame(incoming, ddl),
-            spark.createDataFrame(stored, ddl),
+            spark.createDataFrame(incoming, "p int, d int, f int, reading1 double, reading2 double"),
+            table,
             "p",
             "d",
-            ["reading1"],
+            ["f"],
             needs_opening=F.lit(True),
             may_be_stale=F.lit(True),
             pairs=[("reading1", "reading2")],
@@ -90,8 +93,21 @@ def test_meters_against_one_by_one_loading(spark):
         fates = {}
         for r in got:
             names = [n for n in ("incomplete", "discontinuous", "stale", "inserted", "exists") if r[n]]
-            fates[r["p"], r["d"]] = names[0]
-        assert fates == one_by_one(incoming, stored)
+            fates[r["f"]] = names[0]
+            assert len(names) == 1 or names == ["stale", "inserted"]
+        assert fates == one_by_one(incoming, rows)
+
+
+def test_each_candidate_of_a_day_is_judged_on_its_own(spark):
+    ddl = "p int, d int, f string, reading1 double, reading2 double"
+    stored = spark.createDataFrame([(1, 1, "x", 5.0, 10.0)], ddl)
+    df = spark.createDataFrame([(1, 2, "a", 99.0, 100.0), (1, 2, "b", 10.0, 20.0), (1, 2, "c", 98.0, 1.0)], ddl)
+    got = check_meters(
+        df, stored, "p", "d", ["f"], F.lit(True), F.lit(False), pairs=[("reading1", "reading2")]
+    )
+    assert rows_of(got, "f", "inserted", "exists", "discontinuous") == [
+        ("a", False, False, True), ("b", True, False, False), ("c", False, False, True),
+    ]
 
 
 def test_second_candidate_of_a_day_is_already_there(spark):
