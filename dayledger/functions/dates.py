@@ -18,6 +18,8 @@ _MAX_SERIAL = 2958465
 
 _LOCAL = r"^\d{1,2}/\d{1,2}/\d{4}$"
 _ISO = r"^ *\d{4}-\d{2}-\d{2}(?!\d)"
+# A moment: date, time and zone.
+_MOMENT = r"^ *(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2})?)(?:\.\d+)? ?(?:Z|([+-])(\d{2}):?(\d{2})) *$"
 
 
 def serial_date(serial: Column) -> Column:
@@ -33,13 +35,31 @@ def is_date_serial(serial: Column) -> Column:
 
 def text_date(text: Column) -> Column:
     """``M/d/yyyy`` (a time after a comma is ignored) or ``yyyy-MM-dd...``; else null.
+    A text with time and zone is a moment, and gives its day in the reporting zone.
 
     The shape is tested first: a failed date parse costs far more than a pattern.
     """
     before_comma = F.trim(F.split_part(text, F.lit(","), F.lit(1)))
     local = F.try_to_date(before_comma, "M/d/yyyy")
     iso = F.try_to_date(F.substring(F.trim(text), 1, 10), "yyyy-MM-dd")
-    return F.when(before_comma.rlike(_LOCAL), local).when(text.rlike(_ISO), iso)
+    moment = local_date(_utc_moment(text))
+    return (
+        F.when(before_comma.rlike(_LOCAL), local)
+        .when(text.rlike(_MOMENT), moment)
+        .when(text.rlike(_ISO), iso)
+    )
+
+
+def _utc_moment(text: Column) -> Column:
+    """Clock time in UTC of a text that is a moment."""
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, _MOMENT, group)
+
+    clock = F.concat_ws(" ", part(1), F.when(F.length(part(2)) == 5, F.concat(part(2), F.lit(":00"))).otherwise(part(2)))
+    seconds = part(4).try_cast("int") * 3600 + part(5).try_cast("int") * 60
+    ahead = F.when(part(3) == "+", seconds).when(part(3) == "-", -seconds).otherwise(0)
+    return clock.try_cast("timestamp_ntz") - F.make_interval(secs=ahead)
 
 
 def cell_date(text: Column) -> Column:
@@ -50,9 +70,9 @@ def cell_date(text: Column) -> Column:
     ).otherwise(text_date(text))
 
 
-def local_date(timestamp: Column, zone: str = REPORT_ZONE) -> Column:
-    """Calendar day of a UTC timestamp in the reporting zone."""
-    return F.to_date(F.from_utc_timestamp(timestamp, zone))
+def local_date(utc: Column, zone: str = REPORT_ZONE) -> Column:
+    """Calendar day in the reporting zone of a clock time in UTC."""
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc.cast("timestamp_ntz")))
 
 
 def days_between(later: Column, earlier: Column) -> Column:

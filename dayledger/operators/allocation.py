@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from dayledger.functions.dates import month_end
 from dayledger.functions.numbers import over
 
-# Totals are broadcast only when at most this many groups can exist (about 64 MB).
-BROADCAST_GROUPS = 1_000_000
-
 
 def monthly_target(
     monthly: DataFrame, calendar: DataFrame, value: str, by: str = "field_id"
@@ -48,7 +45,6 @@ def allocate(
     date: str = "report_date",
     by: str = "field_id",
     weights: DataFrame | None = None,
-    max_groups: int | None = None,
 ) -> DataFrame:
     """``output = target / days in month * weight / sum(weight over by and day)``;
     null when there is no target or the sum is zero.
@@ -56,15 +52,12 @@ def allocate(
     The sum is a map-side aggregate joined back, not a window, so a group with
     a third of all rows never meets in one task. ``weights`` holds the same
     weights in a frame that is cheaper to compute than ``df``; by default they
-    are summed from ``df``. ``max_groups`` is the caller's bound on the number of (by, day) groups; within ``BROADCAST_GROUPS`` the
-    totals are broadcast, otherwise Spark chooses the join.
+    are summed from ``df``. How the totals are joined is left to Spark.
     """
     source = df if weights is None else weights
     totals = group_totals(source, F.col(weight), [by, date]).where(F.col(by).isNotNull())
     daily = month_end_lookup(totals, targets, date, by)
     daily = daily.withColumn("target", F.col("target") / F.dayofmonth(month_end(F.col(date))))
-    if max_groups is not None and max_groups <= BROADCAST_GROUPS:
-        daily = F.broadcast(daily)
     shared = df.join(daily, [by, date], "left")
     share = over(F.col("target") * F.col(weight), F.col("total"))
     return shared.withColumn(output, share).select(*df.columns, output)

@@ -11,6 +11,7 @@ from dayledger.functions.numbers import over, zero_if_null
 from dayledger.operators.allocation import allocate, monthly_target
 from dayledger.operators.asof import State, asof_join_many
 from dayledger.operators.lookup import Dimension, denormalise
+from dayledger.operators.picks import last_per_key
 from dayledger.sources.schemas import (
     COMPLETION_TEXTS,
     PRESSURES,
@@ -124,6 +125,18 @@ def states_as_of(
     )
 
 
+def tables_of_days(tables: Mapping[str, DataFrame], first: int, last: int) -> dict[str, DataFrame]:
+    """The tables, with only what the mart of these days depends on."""
+    on = F.col("report_date_id")
+    cut = dict(tables)
+    cut["daily_well_parameters"] = tables["daily_well_parameters"].where(on.between(first, last))
+    for short, name in STATES.items():
+        frame, order = tables[name], ["report_date_id", *TIES.get(short, ())]
+        before = last_per_key(frame.where(on < first), ["well_id"], order)
+        cut[name] = frame.where(on.between(first, last)).unionByName(before)
+    return cut
+
+
 def _place_dimensions(tables: Mapping[str, DataFrame]) -> list[Dimension]:
     """Date, well, platform and field; platform and field are reached through the well."""
     return [
@@ -188,9 +201,15 @@ def with_dimensions(states: DataFrame, tables: Mapping[str, DataFrame]) -> DataF
 def complete_table(
     tables: Mapping[str, DataFrame],
     density_field: str = DENSITY_FIELD,
-    max_groups: int | None = None,
+    days: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """The mart. ``max_groups`` bounds (field, day) groups; see :func:`allocate`."""
+    """The mart; with ``days``, of those day numbers alone (first and last).
+
+    A filter on the date cannot pass the as-of sweep, so a bounded read cuts the
+    daily base, and each state to the range and its last row before it.
+    """
+    if days:
+        tables = tables_of_days(tables, *days)
     wide = with_dimensions(states_as_of(tables), tables)
     wide = with_production_calc(wide, density_field)
     targets = monthly_target(tables["monthly_reported"], tables["report_dates"], "produced_oil")
@@ -200,7 +219,6 @@ def complete_table(
         "oil_ton_wellTest",
         "oil_ton_allocated",
         weights=oil_weights(tables, density_field),
-        max_groups=max_groups,
     )
     ws, c, wdr, wt, lr, gwt = (F.col(s) for s in STATES)
     computed = measures(wt, lr, gwt, F.col("well_uptime_hours"))

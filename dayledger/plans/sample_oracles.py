@@ -64,7 +64,9 @@ fx_report_rows AS (
          CASE WHEN k % 10 = 0 THEN 'y' WHEN k % 11 = 0 THEN NULL WHEN k % 13 = 0 THEN 'abc'
               ELSE replace(CAST(value AS VARCHAR), '.', ',') END AS c20,
          CASE WHEN k % 6 = 0 THEN '45300.25' WHEN k % 6 = 1 THEN '1/9/2024' WHEN k % 6 = 2 THEN '500'
-              WHEN k % 6 = 3 THEN 'not a date' ELSE '20000' END AS c19
+              WHEN k % 6 = 3 THEN 'not a date'
+              WHEN k % 6 = 4 THEN CAST(d AS VARCHAR) || 'T' || lpad(CAST(k % 24 AS VARCHAR), 2, '0') || ':30:00.000Z'
+              ELSE '20000' END AS c19
   FROM ev),
 fx_placed AS (
   SELECT w.id AS well_id, w.name AS well, p.name AS platform_name, p.square, p.field_id,
@@ -230,7 +232,9 @@ WHERE e.end_row IS NULL OR f.row_idx < e.end_row
 """
 
 _DAY = """CASE c19 WHEN '45300.25' THEN DATE '1899-12-30' + 45300 WHEN '20000' THEN DATE '1899-12-30' + 20000
-  WHEN '500' THEN NULL ELSE CAST(try_strptime(c19, '%m/%d/%Y') AS DATE) END"""
+  WHEN '500' THEN NULL ELSE CASE WHEN c19 LIKE '%Z'
+    THEN CAST(strptime(left(c19, 19), '%Y-%m-%dT%H:%M:%S') + INTERVAL 4 HOUR AS DATE)
+    ELSE CAST(try_strptime(c19, '%m/%d/%Y') AS DATE) END END"""
 
 _NUMBER = "try_cast(replace(c20, ',', '.') AS DOUBLE)"
 
@@ -239,6 +243,9 @@ cal AS (SELECT CAST(row_number() OVER (ORDER BY day) AS INT) AS id, CAST(day AS
         FROM generate_series(DATE '2015-01-01', DATE '2030-01-01', INTERVAL 1 DAY) g(day))
 """
 
+# One row after another, as a loader takes them.
+_WALK = VIEWS.replace("WITH ev", "WITH RECURSIVE ev", 1)
+
 ORACLES: dict[str, str] = {
     "asof_latest_test": VIEWS
     + """SELECT well_id, d, well_uptime_hours, wt_d AS reported, well_test_date,
@@ -288,6 +295,40 @@ seen AS (
 SELECT well_id, d, event_id, category_id, sub_category_id, method_id FROM seen
 WHERE src = 1 AND (a IS DISTINCT FROM category_id OR b IS DISTINCT FROM sub_category_id
   OR c IS DISTINCT FROM method_id)""",
+    "append_if_changed_repeated": _WALK
+    + """, se AS (
+  SELECT user_id AS well_id, d, event_id, k % 2 AS category_id, CASE WHEN k % 5 <> 0 THEN 1 + k % 2 END AS method_id
+  FROM ev WHERE event_type = 'view'),
+n1 AS (
+  SELECT *, 1 AS src, row_number() OVER (PARTITION BY well_id ORDER BY d, event_id) AS n
+  FROM se WHERE d <= DATE '2024-01-15'),
+w1 AS (
+  SELECT DISTINCT well_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS DATE) AS last_d, CAST(NULL AS INT) AS c,
+    CAST(NULL AS INT) AS m, FALSE AS hit FROM n1
+  UNION ALL
+  SELECT well_id, n, CASE WHEN hit THEN d ELSE last_d END, CASE WHEN hit THEN category_id ELSE c END,
+    CASE WHEN hit THEN method_id ELSE m END, hit
+  FROM (SELECT w.well_id, r.n, r.d, w.last_d, w.c, w.m, r.category_id, r.method_id,
+          r.d IS DISTINCT FROM w.last_d
+            AND (r.category_id IS DISTINCT FROM w.c OR r.method_id IS DISTINCT FROM w.m) AS hit
+        FROM w1 w JOIN n1 r ON r.well_id = w.well_id AND r.n = w.n + 1)),
+stored AS (SELECT n1.* FROM n1 JOIN w1 USING (well_id, n) WHERE hit),
+n2 AS (
+  SELECT *, row_number() OVER (PARTITION BY well_id ORDER BY d, src, event_id) AS n FROM (
+    SELECT well_id, d, event_id, category_id, method_id, 0 AS src FROM stored
+    UNION ALL SELECT well_id, d, event_id, category_id, method_id, 1 FROM se WHERE d >= DATE '2024-01-10')),
+w2 AS (
+  SELECT DISTINCT well_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS DATE) AS last_d, CAST(NULL AS INT) AS c,
+    CAST(NULL AS INT) AS m, FALSE AS hit FROM n2
+  UNION ALL
+  SELECT well_id, n, CASE WHEN hit OR src = 0 THEN d ELSE last_d END,
+    CASE WHEN hit OR src = 0 THEN category_id ELSE c END, CASE WHEN hit OR src = 0 THEN method_id ELSE m END, hit
+  FROM (SELECT w.well_id, r.n, r.d, r.src, w.last_d, w.c, w.m, r.category_id, r.method_id,
+          r.src = 1 AND r.d IS DISTINCT FROM w.last_d
+            AND (r.category_id IS DISTINCT FROM w.c OR r.method_id IS DISTINCT FROM w.m) AS hit
+        FROM w2 w JOIN n2 r ON r.well_id = w.well_id AND r.n = w.n + 1))
+SELECT 'stored' AS source, well_id, d, event_id, category_id, method_id FROM stored
+UNION ALL SELECT 'new', well_id, d, event_id, category_id, method_id FROM n2 JOIN w2 USING (well_id, n) WHERE hit""",
     "change_detail": VIEWS
     + """, seen AS (
   SELECT *, lag(horizon_id) OVER w AS a, lag(casing) OVER w AS b
@@ -415,6 +456,32 @@ SELECT r.meter_id, r.day_id, r.reading1, r.reading2, r.reading2 IS NULL AS incom
   coalesce(f.kept AND y.kept AND f.before2 = f.reading2, FALSE) AS stale
 FROM r LEFT JOIN fates f ON r.meter_id = f.meter_id AND r.day_id = f.day_id
 LEFT JOIN fates y ON r.meter_id = y.meter_id AND r.day_id - 1 = y.day_id""",
+    "meter_checks_repeated": _WALK
+    + """, r AS (
+  SELECT user_id AS meter_id, event_id, CAST(d - DATE '2014-12-31' AS INT) AS day_id,
+    CAST(k % 3 AS DOUBLE) AS reading1, CAST(CASE WHEN k % 7 <> 0 THEN (k // 3) % 3 END AS DOUBLE) AS reading2
+  FROM ev),
+nr AS (
+  SELECT *, row_number() OVER (PARTITION BY meter_id ORDER BY day_id, event_id) AS n
+  FROM r WHERE reading2 IS NOT NULL),
+w AS (
+  SELECT DISTINCT meter_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS INT) AS ld, CAST(NULL AS DOUBLE) AS lc,
+    CAST(NULL AS INT) AS pd, CAST(NULL AS DOUBLE) AS pc, FALSE AS broken, FALSE AS taken, FALSE AS same FROM nr
+  UNION ALL
+  SELECT meter_id, n, CASE WHEN NOT broken AND NOT taken THEN day_id ELSE ld END,
+    CASE WHEN NOT broken AND NOT taken THEN reading2 ELSE lc END,
+    CASE WHEN NOT broken AND NOT taken THEN ld ELSE pd END,
+    CASE WHEN NOT broken AND NOT taken THEN lc ELSE pc END,
+    broken, taken, coalesce(before = reading2, FALSE)
+  FROM (SELECT *, coalesce(before <> reading1, FALSE) AS broken FROM (
+    SELECT w.meter_id, r.n, r.day_id, r.reading1, r.reading2, w.ld, w.lc, w.pd, w.pc,
+      coalesce(w.ld = r.day_id, FALSE) AS taken,
+      CASE WHEN w.ld = r.day_id - 1 THEN w.lc WHEN w.ld = r.day_id AND w.pd = r.day_id - 1 THEN w.pc END AS before
+    FROM w JOIN nr r ON r.meter_id = w.meter_id AND r.n = w.n + 1)))
+SELECT r.meter_id, r.event_id, r.day_id, r.reading1, r.reading2, r.reading2 IS NULL AS incomplete,
+  coalesce(NOT broken AND taken, FALSE) AS "exists", coalesce(broken, FALSE) AS discontinuous,
+  coalesce(NOT broken AND NOT taken, FALSE) AS inserted, coalesce(NOT broken AND NOT taken AND same, FALSE) AS stale
+FROM r LEFT JOIN nr ON r.event_id = nr.event_id LEFT JOIN w ON nr.meter_id = w.meter_id AND nr.n = w.n""",
     "orphans": VIEWS
     + """SELECT 'l_partkey' AS fk, l_partkey AS value, count(*) AS rows FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM fx_completions_raw c WHERE c.horizon_id = l_partkey) GROUP BY l_partkey
@@ -516,3 +583,6 @@ def _null_doubles() -> str:
 
 
 ORACLES["complete_table"] = ORACLES["complete_table"].replace("{nulls}", _null_doubles())
+ORACLES["complete_table_range"] = (
+    f"SELECT * FROM ({ORACLES['complete_table']}) WHERE report_date BETWEEN DATE '2024-01-12' AND DATE '2024-01-14'"
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +32,12 @@ from dayledger.sources import reports as P
 from dayledger.sources.sample_sheets import SampleSheets
 from dayledger.sources.samples import Samples
 from dayledger.sources.seeds import (
-    CALENDAR_END,
     CALENDAR_START,
     OLD_CALENDAR_START,
     SUB_CATEGORIES,
     SUB_CATEGORY_RECODING,
     seed,
 )
-from dayledger.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,15 +46,21 @@ STORED_UNTIL = dt.date(2024, 1, 15)
 INCOMING_FROM = dt.date(2024, 1, 10)
 CREATED_DAY = dt.date(2024, 1, 9)
 REPORT_DAY = dt.date(2024, 1, 12)
+MART_DAYS = (dt.date(2024, 1, 12), dt.date(2024, 1, 14))
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Callable[[Samples], DataFrame]) -> Callable[[Samples], DataFrame]:
-    QUERIES[fn.__name__] = lambda spark, folder: fn(Samples(spark, folder))
+def query(fn: Callable[[Samples], DataFrame], name: str | None = None) -> Callable[[Samples], DataFrame]:
+    QUERIES[name or fn.__name__] = lambda spark, folder: fn(Samples(spark, folder))
     return fn
 
 
+def named(name: str) -> Callable:
+    """``query`` under a name that is that of an operator already."""
+    return lambda fn: query(fn, name)
+
+
 def _round(column: str | Column, scale: int = 9) -> Column:
     value = F.col(column) if isinstance(column, str) else column
     return F.round(value, scale)
@@ -175,7 +180,7 @@ def densify_history(s: Samples) -> DataFrame:
 # Incremental loading.
 
 
-@query
+@named("append_if_absent")
 def append_absent_tests(s: Samples) -> DataFrame:
     tests = s.well_tests.select("well_id", "well_test_date", "d", "event_id", "liquid_ton")
     key = ["well_id", "well_test_date"]
@@ -185,10 +190,8 @@ def append_absent_tests(s: Samples) -> DataFrame:
     return append_if_absent(incoming, stored, key, ["event_id"], prune="well_test_date")
 
 
-QUERIES["append_if_absent"] = QUERIES.pop("append_absent_tests")
 
-
-@query
+@named("append_if_changed")
 def append_changed_stock(s: Samples) -> DataFrame:
     raw = s.well_stock_raw
     stored = _stock_history(raw.where(F.col("d") <= STORED_UNTIL))
@@ -196,7 +199,19 @@ def append_changed_stock(s: Samples) -> DataFrame:
     return append_if_changed(incoming, stored, ["well_id"], "d", STOCK, ["event_id"])
 
 
-QUERIES["append_if_changed"] = QUERIES.pop("append_changed_stock")
+
+@query
+def append_if_changed_repeated(s: Samples) -> DataFrame:
+    """Several rows of a well and day, before and after stored ones."""
+    raw = s.stock_events
+    columns = ["well_id", "d", "event_id", "category_id", "method_id"]
+    tracked = ["category_id", "method_id"]
+    stored = append_if_changed(raw.where(F.col("d") <= STORED_UNTIL), None, ["well_id"], "d", tracked, ["event_id"])
+    incoming = raw.where(F.col("d") >= INCOMING_FROM)
+    new = append_if_changed(incoming, stored, ["well_id"], "d", tracked, ["event_id"])
+    return stored.withColumn("source", F.lit("stored")).unionByName(new.withColumn("source", F.lit("new"))).select(
+        "source", *columns
+    )
 
 
 @query
@@ -208,25 +223,27 @@ def change_detail(s: Samples) -> DataFrame:
 
 
 class SheetLoad:
-    """The load steps over the sample sheets, without a catalog to write to."""
+    """The load steps over the sample sheets, without a catalog to write to. What
+    several steps read is kept by Spark once it has been computed."""
 
     def __init__(self, s: Samples):
         sheets = SampleSheets(s)
         self.tables = sheets.tables
-        self.rows = stage(sheets.rows)
-        self.files = stage(L.checked_files(self.rows, self.tables))
-        self.records = stage(L.checked_records(self.rows, self.files, self.tables))
+        self.rows = sheets.rows.persist()
+        self.files = L.checked_files(self.rows, self.tables).persist()
+        self.records = L.checked_records(self.rows, self.files, self.tables).persist()
 
     def routed(self) -> dict[str, DataFrame]:
         routed = L.route(self.records.where(~Q.rejected()))
         return routed | {"daily_general_comments": L.comments(self.files, self.records)}
 
     def inserted(self) -> dict[str, DataFrame]:
-        new = {n: stage(L.new_rows(n, df, None)) for n, df in self.routed().items()}
-        return new | {"flowmeters": self.meters().where("inserted")}
+        new = {n: L.new_rows(n, df, None) for n, df in self.routed().items()}
+        return new | {"flowmeters": self.meters.where("inserted")}
 
+    @cached_property
     def meters(self) -> DataFrame:
-        return L.meter_fates(self.files, None)
+        return L.meter_fates(self.files, None).persist()
 
 
 def _entity(name: str) -> Column:
@@ -288,15 +305,15 @@ def route_records(s: Samples) -> DataFrame:
 @query
 def sheet_findings(s: Samples) -> DataFrame:
     load = SheetLoad(s)
-    findings = L.all_findings(load.files, load.records, load.meters())
+    findings = L.all_findings(load.files, load.records, load.meters)
     return findings.select("file", "row_idx", "level", "code", "qc")
 
 
 @query
 def load_summary(s: Samples) -> DataFrame:
     load = SheetLoad(s)
-    inserted = load.inserted()
-    frames = (load.files, load.records, stage(load.meters()))
+    inserted = {n: df.persist() for n, df in load.inserted().items()}
+    frames = (load.files, load.records, load.meters)
     findings = L.all_findings(*frames).unionByName(L.all_outcomes(*frames, inserted))
     return L.load_summary(findings, inserted)
 
@@ -304,7 +321,7 @@ def load_summary(s: Samples) -> DataFrame:
 @query
 def validate_files(s: Samples) -> DataFrame:
     sheets = SampleSheets(s)
-    files = L.checked_files(stage(sheets.rows), sheets.tables)
+    files = L.checked_files(sheets.rows, sheets.tables)
     code = F.element_at(F.transform("findings", lambda f: f["code"]), 1)
     code = F.when(F.size("findings") > 0, code)
     return files.select("file", "field_id", "report_date_id", code.alias("code"))
@@ -362,7 +379,7 @@ def calendar_lookup(s: Samples) -> DataFrame:
     return found.withColumn("by_arithmetic", number)
 
 
-@query
+@named("denormalise")
 def denormalise_wells(s: Samples) -> DataFrame:
     dims = [
         Dimension(s.wells, "well_id", {"name": "well", "platform_id": "platform_id"}),
@@ -378,8 +395,6 @@ def denormalise_wells(s: Samples) -> DataFrame:
     return joined.select("well_id", "d", "well", label.alias("platform"), "field")
 
 
-QUERIES["denormalise"] = QUERIES.pop("denormalise_wells")
-
 
 # Report sheets.
 
@@ -542,6 +557,24 @@ def meter_checks(s: Samples) -> DataFrame:
     )
 
 
+@query
+def meter_checks_repeated(s: Samples) -> DataFrame:
+    """Every event a candidate: several of a meter and day."""
+    candidates = s.meter_events.select(
+        "meter_id", "event_id", M.day_number(F.col("d"), CALENDAR_START).alias("day_id"), "reading1", "reading2"
+    )
+    return check_meters(
+        candidates,
+        None,
+        "meter_id",
+        "day_id",
+        ["event_id"],
+        needs_opening=F.lit(True),
+        may_be_stale=F.lit(True),
+        pairs=[("reading1", "reading2")],
+    )
+
+
 @query
 def orphans(s: Samples) -> DataFrame:
     """Parts of line items that no completion uses as horizon, and customers of
@@ -593,17 +626,10 @@ def month_end_target(s: Samples) -> DataFrame:
     return found.select("well_id", "d", "field_id", "target", _round(per_day).alias("per_day"))
 
 
-def _max_groups(s: Samples) -> int:
-    """Fields times calendar days bounds the (field, day) groups."""
-    return s.fields.count() * ((CALENDAR_END - CALENDAR_START).days + 1)
-
-
 @query
 def allocate_pro_rata(s: Samples) -> DataFrame:
     days = _with_field(s, s.daily.select("well_id", "d", "well_uptime_hours"))
-    shared = A.allocate(
-        days, _targets(s), "well_uptime_hours", "allocated", date="d", max_groups=_max_groups(s)
-    )
+    shared = A.allocate(days, _targets(s), "well_uptime_hours", "allocated", date="d")
     return shared.select("well_id", "d", "field_id", _round("allocated").alias("allocated"))
 
 
@@ -633,7 +659,15 @@ MART_DOUBLES = (
 
 @query
 def complete_table(s: Samples) -> DataFrame:
-    wide = mart.complete_table(s.mart_tables, DENSITY_REGION, _max_groups(s))
+    wide = mart.complete_table(s.mart_tables, DENSITY_REGION)
+    return wide.withColumns({c: _round(c) for c in MART_DOUBLES})
+
+
+@query
+def complete_table_range(s: Samples) -> DataFrame:
+    """The mart of three days."""
+    days = tuple((day - CALENDAR_START).days + 1 for day in MART_DAYS)
+    wide = mart.complete_table(s.mart_tables, DENSITY_REGION, days)
     return wide.withColumns({c: _round(c) for c in MART_DOUBLES})
 
 
@@ -745,12 +779,3 @@ def state_changes(s: Samples) -> DataFrame:
     now = _states(s).select("well_id", "d", F.col("wdr.comments").alias("now"))
     before = asof_join(now, s.downtime_raw, ["well_id"], "d", inclusive=False, columns=["comments"])
     return before.select("well_id", "d", differs(F.col("now"), F.col("comments")).alias("changed"))
-
-
-def discover_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of the sample folder by extension, as reports are discovered."""
-    found = P.list_reports(spark, folder, recursive=True, extensions=(".parquet",))
-    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "length")
-
-
-QUERIES["discover_files"] = discover_files

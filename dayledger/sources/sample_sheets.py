@@ -73,21 +73,16 @@ class SampleSheets:
 
     @cached_property
     def rows(self) -> DataFrame:
-        parts = [self._body(), *self._header(), *self._footer()]
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        return rows
-
-    def _row(self, df: DataFrame, row: Column, cells: dict[int, Column]) -> DataFrame:
-        return df.select(
-            "file",
+        return self._body().unionByName(self._frame())
+
+    def _cells(self, row: Column, cells: dict[int, Column]) -> list[Column]:
+        return [
             row.cast("int").alias("row_idx"),
             *[
                 cells.get(i, F.lit(None)).cast("string").alias(S.cell(i))
                 for i in range(S.SHEET_COLUMNS)
             ],
-        )
+        ]
 
     def _body(self) -> DataFrame:
         numbered = number_rows(self.well_days, "file", "well_id", "place")
@@ -127,10 +122,14 @@ class SampleSheets:
             62: F.concat(region(1 + s % 5), F.lit(" x")),
             63: F.when(m % 7 != 0, F.concat(F.lit("c"), _text(s % 3))),
         }
-        return self._row(numbered, 13 + F.col("place"), cells)
+        return numbered.select("file", *self._cells(13 + F.col("place"), cells))
+
+    def _frame(self) -> DataFrame:
+        """The rows around the body, all from one row for each file."""
+        rows = [F.struct(*self._cells(at, cells)) for at, cells in (*self._header(), *self._footer())]
+        return self.files.select("file", F.inline(F.array(*rows)))
 
-    def _header(self) -> list[DataFrame]:
-        f = self.files
+    def _header(self) -> list[tuple[Column, dict[int, Column]]]:
         p, day = F.col("platform_id"), F.dayofmonth("d")
         both = p + day
         field = F.when(both % 19 == 0, "nowhere").otherwise(F.col("field"))
@@ -141,10 +140,9 @@ class SampleSheets:
         closing2 = F.when(p == 7, F.lit(5)).otherwise(closing * 2)
         opening2 = F.when(p == 7, F.lit(5)).otherwise((closing - 10) * 2)
         return [
-            self._row(f, F.lit(2), {5: ogpd}),
-            self._row(f, F.lit(3), {5: field, 18: F.lit("person"), 61: opening, 63: opening2}),
-            self._row(
-                f,
+            (F.lit(2), {5: ogpd}),
+            (F.lit(3), {5: field, 18: F.lit("person"), 61: opening, 63: opening2}),
+            (
                 F.lit(4),
                 {
                     5: F.concat(_text(p), F.lit(".0")),
@@ -153,16 +151,16 @@ class SampleSheets:
                     63: F.when(day % 11 != 0, closing2),
                 },
             ),
-            self._row(f, F.lit(6), {5: date, 61: F.lit("20000")}),
+            (F.lit(6), {5: date, 61: F.lit("20000")}),
         ]
 
-    def _footer(self) -> list[DataFrame]:
-        f, end = self.files, F.col("end_row")
+    def _footer(self) -> list[tuple[Column, dict[int, Column]]]:
+        end = F.col("end_row")
         p, day = F.col("platform_id"), F.dayofmonth("d")
         comment = F.when(day % 6 != 0, F.concat(F.lit("note "), _text(F.floor(day / 5))))
         broken = F.when((p + day) % 29 == 0, "wrong")
         return [
-            self._row(f, end, {}),
-            self._row(f, end + 7, {26: comment}),
-            self._row(f, end + 9, {6: broken}),
+            (end, {}),
+            (end + 7, {26: comment}),
+            (end + 9, {6: broken}),
         ]

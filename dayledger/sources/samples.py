@@ -30,7 +30,7 @@ SAMPLE_TABLES = {
     "value double, props string",
 }
 
-MONTH_START = dt.date(2024, 1, 1)
+MONTH_END = dt.date(2024, 1, 31)
 
 
 def _k() -> Column:
@@ -132,6 +132,15 @@ class Samples:
             F.when(_k() % 5 != 0, 1 + _k() % 4).alias("method_id"),
         )
 
+    @cached_property
+    def stock_events(self) -> DataFrame:
+        """Stock rows of every view, several of a well and day."""
+        views = self.events.where(F.col("event_type") == "view")
+        method = F.when(_k() % 5 != 0, 1 + _k() % 2)
+        return views.select(
+            F.col("user_id").alias("well_id"), "d", "event_id", (_k() % 2).alias("category_id"), method.alias("method_id")
+        )
+
     @cached_property
     def completions_raw(self) -> DataFrame:
         return self._first("click").select(
@@ -185,7 +194,7 @@ class Samples:
     def monthly(self) -> DataFrame:
         return self.fields.where("id < 5").select(
             F.col("id").alias("field_id"),
-            F.last_day(F.date_add(F.lit(MONTH_START), F.col("id"))).alias("report_date"),
+            F.lit(MONTH_END).alias("report_date"),
             (1000 * F.col("id")).cast("double").alias("produced_oil"),
         )
 
@@ -196,6 +205,18 @@ class Samples:
             (F.min("k") % 5).alias("reading1"), (F.max("k") % 5).alias("reading2")
         )
 
+    @cached_property
+    def meter_events(self) -> DataFrame:
+        """Readings of every event, several of a meter and day."""
+        closing = F.when(_k() % 7 != 0, F.floor(_k() / 3) % 3)
+        return self.events.select(
+            F.col("user_id").alias("meter_id"),
+            "d",
+            "event_id",
+            (_k() % 3).cast("double").alias("reading1"),
+            closing.cast("double").alias("reading2"),
+        )
+
     @cached_property
     def report_rows(self) -> DataFrame:
         """One sheet per user: a row per event from row 14 on."""
@@ -207,6 +228,7 @@ class Samples:
             .when(_k() % 6 == 1, "1/9/2024")
             .when(_k() % 6 == 2, "500")
             .when(_k() % 6 == 3, "not a date")
+            .when(_k() % 6 == 4, F.concat(_text(F.col("d")), F.lit("T"), F.lpad(_text(_k() % 24), 2, "0"), F.lit(":30:00.000Z")))
             .otherwise("20000")
         )
         return numbered.select(

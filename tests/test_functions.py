@@ -82,7 +82,10 @@ def test_over_zero_divisor_is_null(spark):
         ("45658", DAY(2025, 1, 1)), ("45658.7", DAY(2025, 1, 1)), ("0", DAY(1899, 12, 30)),
         ("99", DAY(1900, 4, 8)), ("100", None), ("18000", None), ("18001", DAY(1949, 4, 13)),
         ("-1", None), ("1/2/2025", DAY(2025, 1, 2)), ("01/02/2025, 10:11:12", DAY(2025, 1, 2)),
-        ("2025-01-02", DAY(2025, 1, 2)), ("2025-01-02T21:00:00.000Z", DAY(2025, 1, 2)),
+        ("2025-01-02", DAY(2025, 1, 2)), ("2025-01-02T21:00:00.000Z", DAY(2025, 1, 3)),
+        ("2025-01-01T21:30:00.000Z", DAY(2025, 1, 2)), ("2025-01-01T19:59Z", DAY(2025, 1, 1)),
+        ("2025-01-02 01:30:00+0400", DAY(2025, 1, 2)), ("2025-01-01T23:30:00-05:00", DAY(2025, 1, 2)),
+        ("2025-01-02T23:30:00", DAY(2025, 1, 2)),
         ("13/13/2025", None), ("2025-13-01", None), ("junk", None), ("", None), (None, None),
         ("99999999999", None),
     ],

@@ -19,8 +19,3 @@ def test_query_equals_its_sql(spark, db, name):
 def test_entry_has_one_row_per_well_and_day(spark):
     mart = driver.entry(spark)
     assert mart.count() == 397 and len(mart.columns) == 60
-
-
-def test_files_are_discovered(spark):
-    found = driver.queries()["discover_files"](spark, FOLDER)
-    assert {r["name"] for r in found.collect()} >= {"events.parquet", "orders.parquet"}
