@@ -10,9 +10,10 @@ at; it has a row per file.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
 from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -29,39 +30,91 @@ PAGE_BYTES = 128 << 10
 FILE_SCHEMA = "doc_id bigint, part int, part_start bigint, n_tokens int, tokens array<int>"
 
 #: Distinct words whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 500_000
 
 
 class WordEncoder:
     """Encodes texts word by word, remembering words it has met.
 
     That equals encoding whole texts for a tokenizer that never joins over white
-    space, which ``splits_on_space`` tests; other tokenizers get whole texts.
+    space, which ``splits_on_space`` tests; other tokenizers get whole texts. Words
+    of plain letters with marks behind them go straight to the model, piece by piece,
+    where ``takes_pieces`` finds that the tokenizer does the same.
     """
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.by_word = splits_on_space(self.tokenizer)
         self.folds = self.by_word and self._ids(["AZ"]) == self._ids(["az"])
-        self.known: dict[bytes, list[int]] = {}
+        self.pieces = self.folds and takes_pieces(self)
+        self.known: dict[bytes, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [pack(f"<{len(e)}i", *e.ids) for e in found]
 
-    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+    def piece(self, text: str) -> bytes:
+        """The ids of a run of letters, or of other marks."""
+        ids = self.known_pieces.get(text)
+        if ids is None:
+            plain = text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+            tokens = self.tokenizer.model.tokenize(plain)
+            ids = pack(f"<{len(tokens)}i", *[t.id for t in tokens])
+            self.known_pieces[text] = ids
+        return ids
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.known) + len(self.known_pieces) > REMEMBERED_WORDS:
+            self.known.clear()
+            self.known_pieces.clear()
+        rest = []
+        for word in words:
+            text = word.decode()
+            found = PLAIN_WORD.fullmatch(text) if self.pieces else None
+            if found is None:
+                rest.append(word)
+            else:
+                letters, marks = found.groups()
+                self.known[word] = self.piece(letters) + (self.piece(marks) if marks else b"")
+        self.known.update(zip(rest, self._ids([w.decode() for w in rest]), strict=True))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, as little-endian 32-bit numbers."""
         if not self.by_word:
-            for ids in self._ids([t.decode() for t in texts]):
-                yield np.array(ids, np.int32)
-            return
+            return self._ids([t.decode() for t in texts])
         # a special token's own string must keep its case
         words = [(t.lower() if self.folds and b"<|" not in t else t).split() for t in texts]
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        new = list(set(chain.from_iterable(words)).difference(self.known))
-        self.known.update(zip(new, self._ids([w.decode() for w in new]), strict=True))
+        self._learn(list(set(chain.from_iterable(words)).difference(self.known)))
+        missing = set(chain.from_iterable(words)).difference(self.known)
+        if missing:  # forgotten just now
+            self._learn(list(missing))
         get = self.known.__getitem__
-        for own in words:
-            yield np.fromiter(chain.from_iterable(map(get, own)), np.int32)
+        return [b"".join(map(get, own)) for own in words]
+
+
+#: Lower-case letters up to U+00FF, then ASCII marks other than the apostrophe.
+PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_characters() -> dict[int, int]:
+    """The characters that byte-level vocabularies write bytes as: printable ones as
+    they are, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 0x100 + i for i, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def takes_pieces(encoder: WordEncoder) -> bool:
+    """Whether the tokenizer encodes letters and the marks behind them apart, each as
+    the model alone does."""
+    encoder.known_pieces = {}
+    letters = ["a", "the", "ouèque", "straße", "ñandú", "øåæþð", "ÿ", "zzxqvw", "ciónlla"]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"] + ["", ".,", "!!", "...", "|)", "&&&"]
+    return all(encoder._ids([a + m])[0] == encoder.piece(a) + (encoder.piece(m) if m else b"") for a in letters for m in marks)
 
 
 def splits_on_space(tokenizer: Tokenizer) -> bool:
@@ -108,18 +161,15 @@ def write_tokens(
 
     def encode(batches):
         part, start = TaskContext.get().partitionId(), 0
-        encoder = _encoder(shared)
+        encoder, last = _encoder(shared), np.array([end_id], "<i4").tobytes()
         for batch in batches:
             ids = batch.column(0)
             texts = batch.column(1)
             for low in range(0, len(texts), 2000):
-                own = list(encoder(texts.slice(low, 2000).to_pylist()))
-                sizes = np.fromiter(map(len, own), np.int64, len(own)) + 1
+                own = encoder(texts.slice(low, 2000).to_pylist())
+                sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4 + 1
                 ends = np.cumsum(sizes)
-                flat = np.empty(ends[-1], np.int32)
-                for a, b, x in zip((ends - sizes).tolist(), ends.tolist(), own, strict=True):
-                    flat[a : b - 1] = x
-                    flat[b - 1] = end_id
+                flat = np.frombuffer(last.join([*own, b""]), "<i4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(low, 2000),
