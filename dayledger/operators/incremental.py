@@ -50,6 +50,7 @@ def append_if_changed(
     on: str,
     tracked: Sequence[str],
     order: Sequence[str | Column],
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """Rows to append to a change-only history: the (by, on) is not stored and a
     tracked column differs, null-safe, from the latest earlier row.
@@ -63,6 +64,8 @@ def append_if_changed(
 
     Stored rows are final. Of the history of the entities that come in, the part
     before the first incoming day is reduced to one last row each, map side.
+    ``recent`` is a part of the target that holds its rows from that day on, where
+    reading it alone is cheaper; ``target`` then need not hold later ones.
     ``target=None`` rebuilds the history from raw rows.
     """
     distinct = first_per_key(incoming, [*by, on, *tracked], order)
@@ -71,11 +74,14 @@ def append_if_changed(
     state = F.struct(*tracked)
     slim = rows.select(*by, on, _RANK, state.alias(_STATE))
     if target is not None:
-        known = target.join(incoming.select(*by).distinct(), list(by), "left_semi")
-        known = known.select(*by, on, *tracked)
+        entities = incoming.select(*by).distinct()
+
+        def known(part: DataFrame) -> DataFrame:
+            return part.join(entities, list(by), "left_semi").select(*by, on, *tracked)
+
         start = incoming.select(F.min(on)).scalar()
-        before = last_per_key(known.where(F.col(on) < start), by, [on])
-        since = known.where(F.col(on) >= start)
+        before = last_per_key(known(target.where(F.col(on) < start)), by, [on])
+        since = known((target if recent is None else recent).where(F.col(on) >= start))
         stored = before.unionByName(since).select(*by, on, F.lit(0).alias(_RANK), state.alias(_STATE))
         slim = stored.unionByName(anti_existing(slim, since, [*by, on]))
     entity = Window.partitionBy(*by)

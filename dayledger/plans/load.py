@@ -75,11 +75,6 @@ class LoadResult:
     def qc(self) -> DataFrame:
         return self.findings.where("qc")
 
-    def write(self, folder: str) -> None:
-        """Append the findings and their flagged subset as JSON lines."""
-        self.findings.write.mode("append").json(f"{folder}/findings")
-        self.qc.write.mode("append").json(f"{folder}/qc")
-
 
 def resolve_layout(header: DataFrame) -> DataFrame:
     """Add ``is_lts`` (field and platform per row) and ``platform_by_file``."""
@@ -190,8 +185,7 @@ def checked_records(
         "file", "end_row", "is_lts", "platform_by_file", "field_id", "platform", "platform_id",
         "report_date", "report_date_id", "responsible_person", "phone_number",
     )
-    body = body_rows(rows, ends=files.where("end_row is not null"))
-    body = body.drop("end_row").join(accepted, "file", "inner")
+    body = body_rows(rows, ends=accepted)
     return check(resolve_rows(well_records(body), tables), [*R.record_rules(), R.age_rule()])
 
 
@@ -306,14 +300,29 @@ def meter_fates(files: DataFrame, stored: DataFrame | None) -> DataFrame:
     )
 
 
-def new_rows(name: str, incoming: DataFrame, stored: DataFrame | None) -> DataFrame:
+def new_rows(
+    name: str, incoming: DataFrame, stored: DataFrame | None, recent: DataFrame | None = None
+) -> DataFrame:
     """Rows to append to a fact: changes only where it tracks columns, else new keys."""
     fact = S.FACTS[name]
     if fact.tracked:
-        return append_if_changed(incoming, stored, fact.by, fact.on, fact.tracked, ORDER)
+        return append_if_changed(incoming, stored, fact.by, fact.on, fact.tracked, ORDER, recent)
     return append_if_absent(incoming, stored, fact.key, ORDER)
 
 
+def new_rows_of(catalog: Catalog, name: str, incoming: DataFrame) -> DataFrame:
+    """``new_rows`` against the periods of a stored fact that can matter."""
+    if S.FACTS[name].tracked:
+        return new_rows(name, incoming, catalog.before(name, incoming), catalog.since(name, incoming))
+    return new_rows(name, incoming, catalog.near(name, incoming))
+
+
+def new_meters(catalog: Catalog, files: DataFrame) -> DataFrame:
+    """``meter_fates`` against the stored periods from the day before the files on."""
+    days = files.where("report_date_id is not null").select("report_date_id")
+    return meter_fates(files, catalog.since("flowmeters", days, days_before=1))
+
+
 def _remark(rows: DataFrame, level: str, code: str, message: str, qc: bool) -> DataFrame:
     return rows.select(
         "file",
@@ -443,7 +452,8 @@ def load_reports(
     """Load sheets into the catalog. Running it again inserts nothing.
 
     Everything is computed and staged against the tables as they were before
-    any is appended to. ``load_date`` becomes ``created_at``.
+    any is appended to. ``load_date`` becomes ``created_at``. The findings are kept
+    in the catalog; the result reads staged copies, until ``catalog.release()``.
     """
     tables = catalog.tables()
     files = catalog.stage(checked_files(rows, tables))
@@ -453,10 +463,8 @@ def load_reports(
 
     def staged(name: str) -> DataFrame:
         if name == "flowmeters":
-            return catalog.stage(meter_fates(files, tables["flowmeters"]))
-        incoming, fact = routed[name], S.FACTS[name]
-        stored = tables[name] if fact.tracked else catalog.near(name, incoming)
-        return catalog.stage(new_rows(name, incoming, stored))
+            return catalog.stage(new_meters(catalog, files))
+        return catalog.stage(new_rows_of(catalog, name, routed[name]))
 
     # The nine tables do not depend on each other: their jobs share the cluster.
     names = [*routed, "flowmeters"]
@@ -467,5 +475,5 @@ def load_reports(
         inserted = {n: df.withColumn("created_at", F.lit(load_date)) for n, df in inserted.items()}
         list(pool.map(lambda name: catalog.append(inserted[name], name), names))
     findings = all_findings(files, records, meters)
-    findings = findings.unionByName(all_outcomes(files, records, meters, inserted))
+    findings = catalog.log(findings.unionByName(all_outcomes(files, records, meters, inserted)))
     return LoadResult(inserted, findings, load_summary(findings, inserted))

@@ -222,6 +222,7 @@ def complete_table(
     )
     ws, c, wdr, wt, lr, gwt = (F.col(s) for s in STATES)
     computed = measures(wt, lr, gwt, F.col("well_uptime_hours"))
+    texts = [n for n in COMPLETION_TEXTS if n not in ("completion_interval", "packer_depth")]
     as_stored = {"pqa": "Pqa", "phf": "Phf", "pba": "Pba"}
     as_stored |= {"p6x9": "P6x9", "p9x13": "P9x13", "p13x20": "P13x20"}
     return wide.select(
@@ -233,14 +234,16 @@ def complete_table(
         "production_well_stock_sub_category",
         "production_method",
         "horizon",
-        *[c[name].alias(name) for name in COMPLETION_TEXTS if name != "packer_depth"],
+        *[c[name].alias(name) for name in ("completion_interval", *texts)],
         "flowmeter",
         "well_uptime_hours",
-        lr["water_cut"].alias("water_cut"),
+        computed["liquid_ton"].alias("liquid_ton"),
         "oil_ton_wellTest",
-        "water_ton",
+        lr["water_cut"].alias("water_cut"),
         "oil_ton_allocated",
-        *[value.alias(name) for name, value in computed.items()],
+        computed["oil_loss_ton_wellTest"].alias("oil_loss_ton_wellTest"),
+        "water_ton",
+        *[computed[n].alias(n) for n in ("total_gas", "gaslift_gas", "produced_gas", "mechanical_impurities")],
         *[F.col(name).alias(as_stored.get(name, name)) for name in PRESSURES],
         F.col("gaslift_gas").alias("gaslift_gas_daily"),
         "gaslift_system_pressure",

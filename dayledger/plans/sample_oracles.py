@@ -338,6 +338,34 @@ SELECT well_id, d, concat_ws(',', CASE WHEN a IS DISTINCT FROM horizon_id THEN '
 FROM seen WHERE a IS DISTINCT FROM horizon_id OR b IS DISTINCT FROM casing""",
     "sheet_facts": SHEETS
     + "SELECT table_name, entity, report_date_id, round(amount, 9) AS amount FROM inserted",
+    "sheet_parameters": SHEETS
+    + """SELECT well_id, day_id AS report_date_id, CASE WHEN n % 3 <> 0 THEN 'F1' END AS flowmeter,
+  CAST(CASE WHEN m % 17 <> 0 THEN m % 26 END AS DOUBLE) AS well_uptime_hours, CAST(v AS VARCHAR) AS pqa,
+  {pressures}, round(CASE WHEN m % 10 = 0 THEN 0 ELSE n * CAST(1.5 AS DOUBLE) / 24 * uptime END, 9) AS gaslift_gas,
+  CASE WHEN m % 3 <> 0 THEN CAST(m + 37 AS VARCHAR) || ',5' END AS gaslift_system_pressure,
+  {numbers}, CASE WHEN m % 3 <> 0 THEN m % 2 = 0 END AS esp_downhole_gas_separator,
+  CASE WHEN m % 3 <> 0 THEN CAST(m + 46 AS VARCHAR) || ',5' END AS srp_pumpjack_type,
+  'person' AS responsible_person, 'phone' AS phone_number FROM good_rows""",
+    "sheet_stock": SHEETS
+    + """SELECT well_id, day_id AS report_date_id, category_id AS well_stock_category_id,
+  1 AS well_stock_sub_category_id, sub_id AS production_well_stock_sub_category_id,
+  method_id AS production_method_id FROM stock_new""",
+    "sheet_results": SHEETS
+    + """, t AS (
+  SELECT 'well_tests' AS table_name, well_id, day_id, d - (m % 20) AS day, v * 3 AS a, v * 2 AS b,
+    CASE WHEN s % 13 <> 0 THEN v END AS c FROM good_rows
+  UNION ALL SELECT 'gas_well_tests', well_id, day_id, d - (s % 20), v * 10, v * (m % 12), NULL FROM good_rows
+  UNION ALL SELECT 'laboratory_results', well_id, day_id, d - (s % 9), cut, s % 7, NULL FROM good_rows),
+first_of AS (SELECT *, row_number() OVER (PARTITION BY table_name, well_id, day ORDER BY day_id) AS rn FROM t)
+SELECT table_name, well_id, day_id AS report_date_id, day, round(CAST(a AS DOUBLE), 9) AS value1,
+  round(CAST(b AS DOUBLE), 9) AS value2, round(CAST(c AS DOUBLE), 9) AS value3 FROM first_of WHERE rn = 1""",
+    "summary_lines": SHEETS
+    + """, said AS (
+  SELECT count(*) AS rows, lower(level) AS tail FROM findings GROUP BY level
+  UNION ALL SELECT count(*), 'row(s) inserted into ' || table_name FROM inserted
+    WHERE table_name IN ('flowmeters', 'well_stock') GROUP BY table_name)
+SELECT lpad(CAST(rows AS VARCHAR), CAST(greatest(6, length(CAST(rows AS VARCHAR))) AS INT), ' ') || chr(9) || chr(9) || tail AS line
+FROM said""",
     "route_records": SHEETS
     + """SELECT t.table_name, count(*) AS rows, count(DISTINCT well_id) AS entities
 FROM good_rows, (VALUES ('well_stock'), ('completions'), ('well_downtime_reasons'),
@@ -582,6 +610,25 @@ def _null_doubles() -> str:
     return ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in (*PUMP_NUMBERS, *ROD_AND_SCREW_NUMBERS))
 
 
+def _cells(names: tuple[str, ...], first: int, kind: str) -> str:
+    """Values of neighbouring sheet columns: the row's number and the column's."""
+    return ", ".join(
+        f"CASE WHEN m % 3 <> 0 THEN CAST(CAST(m + {first + i} AS VARCHAR) || '.5' AS {kind}) END AS {n}"
+        for i, n in enumerate(names)
+    )
+
+
+def _parameter_cells() -> tuple[str, str]:
+    from dayledger.sources.schemas import PRESSURES, PUMP_NUMBERS, ROD_AND_SCREW_NUMBERS
+
+    numbers = _cells(PUMP_NUMBERS, 38, "DOUBLE") + ", " + _cells(ROD_AND_SCREW_NUMBERS, 47, "DOUBLE")
+    return _cells(PRESSURES[1:], 30, "VARCHAR"), numbers
+
+
+_pressures, _numbers = _parameter_cells()
+ORACLES["sheet_parameters"] = (
+    ORACLES["sheet_parameters"].replace("{pressures}", _pressures).replace("{numbers}", _numbers)
+)
 ORACLES["complete_table"] = ORACLES["complete_table"].replace("{nulls}", _null_doubles())
 ORACLES["complete_table_range"] = (
     f"SELECT * FROM ({ORACLES['complete_table']}) WHERE report_date BETWEEN DATE '2024-01-12' AND DATE '2024-01-14'"

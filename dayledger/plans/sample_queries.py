@@ -222,6 +222,14 @@ def change_detail(s: Samples) -> DataFrame:
     )
 
 
+# Date and measures of the results that are kept by their own date.
+RESULTS = {
+    "well_tests": ("well_test_date", "liquid_ton", "oil_ton", "water_ton"),
+    "gas_well_tests": ("well_test_date", "total_gas", "gaslift_gas"),
+    "laboratory_results": ("last_lab_date", "water_cut", "mechanical_impurities"),
+}
+
+
 class SheetLoad:
     """The load steps over the sample sheets, without a catalog to write to. What
     several steps read is kept by Spark once it has been computed."""
@@ -237,9 +245,13 @@ class SheetLoad:
         routed = L.route(self.records.where(~Q.rejected()))
         return routed | {"daily_general_comments": L.comments(self.files, self.records)}
 
-    def inserted(self) -> dict[str, DataFrame]:
-        new = {n: L.new_rows(n, df, None) for n, df in self.routed().items()}
-        return new | {"flowmeters": self.meters.where("inserted")}
+    def inserted(self, name: str) -> DataFrame:
+        if name == "flowmeters":
+            return self.meters.where("inserted")
+        return L.new_rows(name, self.routed()[name], None)
+
+    def all_inserted(self) -> dict[str, DataFrame]:
+        return {n: self.inserted(n) for n in (*self.routed(), "flowmeters")}
 
     @cached_property
     def meters(self) -> DataFrame:
@@ -290,7 +302,35 @@ def _fact_lines(frames: dict[str, DataFrame]) -> DataFrame:
 @query
 def sheet_facts(s: Samples) -> DataFrame:
     """Every row the sample sheets insert into the nine facts."""
-    return _fact_lines(SheetLoad(s).inserted())
+    return _fact_lines(SheetLoad(s).all_inserted())
+
+
+@query
+def sheet_parameters(s: Samples) -> DataFrame:
+    """Every column of the daily parameters that the sample sheets insert."""
+    rows = SheetLoad(s).inserted("daily_well_parameters")
+    return rows.drop(*L.ORDER).withColumn("gaslift_gas", _round("gaslift_gas"))
+
+
+@query
+def sheet_stock(s: Samples) -> DataFrame:
+    """Every column of the stock rows that the sample sheets insert."""
+    return SheetLoad(s).inserted("well_stock").drop(*L.ORDER)
+
+
+@query
+def sheet_results(s: Samples) -> DataFrame:
+    """Dates and measures of the test and laboratory results that the sheets insert."""
+    load, parts = SheetLoad(s), []
+    for name, (date, *values) in RESULTS.items():
+        amounts = [F.col(v) for v in values] + [F.lit(None).cast("double")] * (3 - len(values))
+        parts.append(
+            load.inserted(name).select(
+                F.lit(name).alias("table_name"), "well_id", "report_date_id", F.col(date).alias("day"),
+                *[_round(a).alias(f"value{i}") for i, a in enumerate(amounts, 1)],
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query
@@ -312,12 +352,21 @@ def sheet_findings(s: Samples) -> DataFrame:
 @query
 def load_summary(s: Samples) -> DataFrame:
     load = SheetLoad(s)
-    inserted = {n: df.persist() for n, df in load.inserted().items()}
+    inserted = {n: df.persist() for n, df in load.all_inserted().items()}
     frames = (load.files, load.records, load.meters)
     findings = L.all_findings(*frames).unionByName(L.all_outcomes(*frames, inserted))
     return L.load_summary(findings, inserted)
 
 
+@query
+def summary_lines(s: Samples) -> DataFrame:
+    """The lines that report a load."""
+    load = SheetLoad(s)
+    findings = L.all_findings(load.files, load.records, load.meters)
+    stored = {n: load.inserted(n) for n in ("flowmeters", "well_stock")}
+    return L.summary_lines(L.load_summary(findings, stored))
+
+
 @query
 def validate_files(s: Samples) -> DataFrame:
     sheets = SampleSheets(s)

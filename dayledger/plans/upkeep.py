@@ -36,7 +36,7 @@ def delete_entries_of_report(
         return lambda rows: M.delete_report(rows, day, platforms, through, platform)
 
     for name in FACTS:
-        catalog.delete(name, F.col("report_date_id") == day, survivors(name))
+        catalog.delete(name, F.col("report_date_id") == day, survivors(name), day)
 
 
 def delete_all_entries(catalog: Catalog) -> None:

@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from dayledger.operators.incremental import within
 from dayledger.sources.schemas import FACTS, TABLES
-from dayledger.sources.staging import stage
+from dayledger.sources.staging import stage_at
 
 _PERIOD = "period"
+_FINDINGS = "findings"
+FINDING_COLUMNS = "file string, row_idx int, level string, code string, message string, qc boolean"
 
 # Days per stored period of tables keyed by day number.
 _PERIOD_DAYS = 32
@@ -25,6 +27,7 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._staged: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -47,6 +50,19 @@ class Catalog:
         dated = incoming.select(self._period(name).alias(_PERIOD))
         return within(self._stored(name), dated, _PERIOD).drop(_PERIOD)
 
+    def since(self, name: str, incoming: DataFrame, days_before: int = 0) -> DataFrame:
+        """The part of a fact from the periods of the incoming rows on, or of
+        ``days_before`` days earlier. The bound reaches the scan as a subquery."""
+        first = incoming.select((F.min(FACTS[name].on) - F.lit(days_before)).alias(FACTS[name].on))
+        low = first.select(self._period(name)).scalar()
+        return self._stored(name).where(F.col(_PERIOD) >= low).drop(_PERIOD)
+
+    def before(self, name: str, incoming: DataFrame) -> DataFrame:
+        """The part of a fact up to the period of the first incoming row."""
+        first = incoming.select(F.min(FACTS[name].on).alias(FACTS[name].on))
+        high = first.select(self._period(name)).scalar()
+        return self._stored(name).where(F.col(_PERIOD) <= high).drop(_PERIOD)
+
     def tables(self) -> Mapping[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
@@ -62,30 +78,59 @@ class Catalog:
         self.replace(self.stage(change(self.table(name))), name)
 
     def delete(
-        self, name: str, hit: Column, survivors: Callable[[DataFrame], DataFrame]
+        self,
+        name: str,
+        hit: Column,
+        survivors: Callable[[DataFrame], DataFrame],
+        day: int | None = None,
     ) -> None:
         """Keep ``survivors(rows)`` of the periods that hold a row where ``hit``.
 
-        ``hit`` is a cheap condition every doomed row meets. Only the periods it
-        finds are rewritten, unless one would become empty; then all are.
+        ``hit`` is a cheap condition every doomed row meets; ``day`` says that all
+        of them have that number, so that one period alone is read. Only the periods
+        that are found are rewritten, one left empty as an empty file.
         """
         stored = self._stored(name)
+        if day is not None and FACTS[name].on == "report_date_id":
+            stored = stored.where(F.col(_PERIOD) == day // _PERIOD_DAYS)
         touched = [r[0] for r in stored.where(hit).select(_PERIOD).distinct().collect()]
         if not touched:
             return
         part = stored.where(F.col(_PERIOD).isin(touched)).drop(_PERIOD)
         kept = self.stage(survivors(part))
-        left = kept.select(self._period(name).alias(_PERIOD)).distinct().count()
-        if left == len(touched):
+        left = {r[0] for r in kept.select(self._period(name)).distinct().collect()}
+        if left:
             self._write(kept, name, self.path(name), "overwrite", dynamic=True)
-        else:
-            rest = stored.where(~F.col(_PERIOD).isin(touched)).drop(_PERIOD)
-            self.replace(self.stage(rest.unionByName(kept)), name)
+        nothing = self.table(name).where(F.lit(False)).coalesce(1)
+        for period in set(touched) - left:
+            nothing.write.mode("overwrite").parquet(f"{self.path(name)}/{_PERIOD}={period}")
+
+    def log(self, findings: DataFrame) -> DataFrame:
+        """Append findings to the kept ones, those for quality control apart; they
+        are computed once. Returns the findings of this load."""
+        written = self.stage(findings)
+        written.write.mode("append").partitionBy("qc").parquet(self.path(_FINDINGS))
+        return written
+
+    def findings(self) -> DataFrame:
+        """All findings of earlier loads; ``qc`` tells the flagged ones."""
+        return self.spark.read.schema(FINDING_COLUMNS).parquet(self.path(_FINDINGS))
 
     def stage(self, df: DataFrame) -> DataFrame:
-        """A written copy in the cluster's shared folder, or beside the tables."""
+        """A written copy in the cluster's shared folder, or beside the tables,
+        until ``release``."""
         shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        return stage(df, None if shared else f"{self.root}/_staging")
+        folder = f"{shared or self.root}/_staging".replace("//_staging", "/_staging")
+        copy, path = stage_at(df, folder)
+        self._staged.append(path)
+        return copy
+
+    def release(self) -> None:
+        """Remove the staged copies; frames that read them are of no use after."""
+        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self._staged:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._staged.pop())
+            path.getFileSystem(configuration).delete(path, True)
 
     def create_view(self, df: DataFrame, name: str) -> None:
         df.createOrReplaceTempView(name)
@@ -112,8 +157,3 @@ class Catalog:
             writer.option("partitionOverwriteMode", overwrite).parquet(path)
         else:
             out.write.mode(mode).parquet(path)
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """A dimension of a live database; needs the database's driver on the class path."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()

@@ -70,11 +70,13 @@ def body_rows(
     column: str = S.cell(S.END_COLUMN),
     ends: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows from ``start`` up to the terminator, or to the last row without one."""
-    ends = body_ends(rows, start, column) if ends is None else ends
+    """Rows from ``start`` up to the terminator, or to the last row without one.
+    ``ends`` names the files to read: their columns come along."""
     body = rows.where((F.col("row_idx") >= start) & F.col(column).isNotNull())
     before_end = F.col("end_row").isNull() | (F.col("row_idx") < F.col("end_row"))
-    return body.join(ends.select("file", "end_row"), "file", "left").where(before_end)
+    if ends is None:
+        return body.join(body_ends(rows, start, column), "file", "left").where(before_end)
+    return body.join(ends, "file", "inner").where(before_end)
 
 
 def report_footer(
@@ -92,7 +94,9 @@ def report_footer(
     ).where(F.col("e").isNotNull() | F.col("c").isNotNull())
     offset = F.col("row_idx") - F.col("end_row")
     first, last = error_offsets
-    hits = ends.join(cells, "file", "left")
+    near = offset.between(min(first, comment_offset), max(last, comment_offset))
+    below = cells.withColumnRenamed("file", "__file")
+    hits = ends.join(below, (F.col("file") == F.col("__file")) & near, "left")
     return hits.groupBy("file", "end_row").agg(
         F.bool_or(F.coalesce(offset.between(first, last) & truthy(F.col("e")), F.lit(False))).alias(
             "has_error"

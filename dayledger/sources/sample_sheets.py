@@ -92,7 +92,9 @@ class SampleSheets:
         def region(index: Column) -> Column:
             return F.element_at(F.array(*[F.lit(name) for name in REGIONS]), index)
 
-        marks = {i: F.lit("y") for i in (*range(30, 36), *range(37, 58))}
+        own = {i: F.concat(_text(m + i), F.lit(",5")) for i in (*range(30, 36), *range(37, 58))}
+        own[45] = F.when(m % 2 == 0, "true").otherwise("false")
+        marks = {i: F.when(m % 3 == 0, "y").otherwise(value) for i, value in own.items()}
         test_date = F.date_format(F.date_sub("d", m % 20), "M/d/yyyy")
         serial = F.datediff(F.date_sub("d", s % 20), F.lit("1899-12-30").cast("date"))
         cells = marks | {

@@ -2,32 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without one gets a folder of its own, and keeps it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _own_folder(spark.sparkContext.applicationId)
-
-
-@lru_cache
-def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"dayledger-{application}-")
-
-
-def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{folder or shared_folder(spark)}/{uuid.uuid4().hex}"
+def stage_at(df: DataFrame, folder: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet under a folder that all executors share and read it
+    back; also its path, which the caller removes in the end."""
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

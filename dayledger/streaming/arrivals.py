@@ -23,10 +23,12 @@ def load_arrivals(
     cells: DataFrame, catalog: Catalog, load_date: dt.date, checkpoint: str
 ) -> StreamingQuery:
     """Load what has arrived since the last run, then stop. A repeated batch
-    inserts nothing, so a restart after a failure is safe."""
+    inserts nothing, so a restart after a failure is safe; its findings are kept
+    once more. Each batch is pivoted once, into a staged copy."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_reports(report_rows(batch), catalog, load_date)
+        load_reports(catalog.stage(report_rows(batch)), catalog, load_date)
+        catalog.release()
 
     writer = cells.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

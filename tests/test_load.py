@@ -1,5 +1,6 @@
 import datetime as dt
 import shutil
+from pathlib import Path
 
 import pytest
 from helpers import DAY, Sheet, cells_frame, rows_of
@@ -139,9 +140,8 @@ def test_each_row_rule(catalog, spark, tmp_path):
     ]
     assert rows_of(catalog.table("daily_well_parameters"), "well_id") == [(101,)]
     assert rows_of(catalog.table("well_downtime_reasons"), "production_sub_skins_activity_id") == [(1,)]
-    result.write(str(tmp_path / "log"))
-    flagged = spark.read.json(str(tmp_path / "log" / "qc"))
-    assert flagged.where("level = 'ERROR'").count() == 12
+    assert catalog.findings().where("qc and level = 'ERROR'").count() == 12
+    assert rows_of(catalog.findings()) == rows_of(result.findings)
 
 
 def test_missing_uptime_needs_a_reason_and_unreadable_does_not(catalog):
@@ -217,6 +217,55 @@ def test_flowmeter_checks(catalog):
     assert rows_of(result.findings.where("code = 'METER_ABSENT'"), "file") == [("g",)]
 
 
+def test_a_day_that_arrives_twice(catalog):
+    load(catalog, meter_sheet("a", "1/2/2025", "8", "5", "10", "5", "20"))
+    result = load(
+        catalog,
+        meter_sheet("b", "1/3/2025", "8", "99", "100", "20", "30"),
+        meter_sheet("c", "1/3/2025", "8", "10", "15", "20", "25"),
+    )
+    assert codes(result, "ERROR") == [("b", "METER_DISCONTINUOUS")]
+    assert rows_of(result.inserted["flowmeters"], "file") == [("c",)]
+
+
+def partition_filters(df):
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [x for x in plan.split("\n") if x.startswith("PartitionFilters: ")]
+
+
+def test_existence_checks_read_only_periods_that_matter(catalog, spark):
+    load(catalog, good_sheet().well("11", c58="20", c59="1", c62="01.01 other", c63="pump").end(comment="x"))
+    days = spark.createDataFrame([(400, 100)], "report_date_id int, well_id int")
+    for name in ("flowmeters", "well_stock", "completions", "well_downtime_reasons", "daily_general_comments"):
+        for part in (catalog.since(name, days), catalog.before(name, days)):
+            assert [x[:32] for x in partition_filters(part)] == ["PartitionFilters: [isnotnull(per"]
+
+
+def test_deletes_touch_only_their_periods(catalog, tmp_path):
+    load(catalog, three_wells(file="a"), three_wells(file="b", date="5/2/2025"), three_wells(file="c", date="5/3/2025"))
+
+    def files():
+        found = (tmp_path / "mart" / "daily_well_parameters").glob("period=*/*.parquet")
+        return {str(f) for f in found}
+
+    before = files()
+    upkeep.delete_entries_of_report(catalog, DAY(2025, 1, 2))
+    assert catalog.table("daily_well_parameters").count() == 6
+    gone = before - files()
+    assert len({f.split("period=")[1].split("/")[0] for f in gone}) == 1
+    upkeep.delete_entries_of_report(catalog, DAY(2025, 5, 2))
+    assert catalog.table("daily_well_parameters").count() == 3
+
+
+def test_release_removes_staged_copies(catalog):
+    result = load(catalog, three_wells())
+    staged = [Path(p.removeprefix("file:")) for p in catalog._staged]
+    assert result.findings.count() > 0 and len(staged) > 10 and all(p.exists() for p in staged)
+    catalog.release()
+    assert not any(p.exists() for p in staged)
+    assert catalog.findings().count() > 0
+
+
 def test_gas_test_date_policy(catalog):
     sheet = three_wells()
     load(catalog, sheet, gas_policy="well_for_field")
@@ -268,6 +317,12 @@ def test_mart_of_a_loaded_sheet(catalog, spark):
     assert (half["total_gas"], half["gaslift_gas"], half["produced_gas"]) == (25.0, 10.0, 15.0)
     assert (half["production_skin"], half["downtime_category"]) == ("02.05 repair", "1")
     assert full["platform"] == "3" and full["horizon"] == "FLD" and len(mart.columns) == 60
+    assert mart.columns[:9] == [
+        "report_date", "field", "platform", "well", "well_stock_category", "production_well_stock_sub_category",
+        "production_method", "horizon", "completion_interval",
+    ]
+    catalog.create_view(mart, "complete_table")
+    assert spark.table("complete_table").count() == mart.count()
 
 
 def test_list_reports(spark, tmp_path):

@@ -92,3 +92,9 @@ def test_delete_ids_evolve_split_truncate(spark):
     assert {r["field_id"] for r in got.collect()} == {1}
     assert M.split_table(df, ["name"]).columns == ["name"]
     assert M.truncate(df).count() == 0 and M.truncate(df).schema == df.schema
+
+
+def test_seed_lists_come_from_csv(spark, tmp_path):
+    (tmp_path / "wells.csv").write_text("id,name,platform_id\n1,\"11 \",3\n2,,4\n", encoding="utf-8")
+    got = seeds.seed_csv(spark, str(tmp_path / "wells.csv"), "id int, name string, platform_id int")
+    assert rows_of(got) == [(1, "11 ", 3), (2, None, 4)]

@@ -22,3 +22,4 @@ def test_arrivals_are_loaded_once(spark, filled, tmp_path):
 
     assert arrive(Sheet("a").readings("1", "2", "3", "4").well("10").end()) == 1
     assert arrive(Sheet("b", date="1/3/2025").readings("2", "3", "4", "5").well("10").end()) == 2
+    assert {r["file"] for r in catalog.findings().collect()} == {"a", "b"}
