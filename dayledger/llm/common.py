@@ -40,6 +40,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def hashed_sample(rows: DataFrame, number: int, of: int, order: str = "h") -> DataFrame:
+    """The ``number`` rows with the smallest ``order``, a 64-bit hash. ``of`` rows are
+    expected: where that is many more, a bound on the hash leaves about twice as many
+    as are wanted before they are ranked, however many tasks there are."""
+    if of > 4 * number:
+        low = -(1 << 63) + int(2 * number / of * (1 << 64))
+        rows = rows.where(F.col(order) < F.lit(low))
+    return rows.orderBy(order).limit(number)
+
+
 def boxed(docs: DataFrame, text: str = "text") -> DataFrame:
     """``text`` and ``rest``, a struct of all other columns: whatever their names,
     they cannot meet those an operator adds."""
@@ -65,7 +75,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     no ``spark.checkpoint.dir``, as in tests, gets one of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _own_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -163,7 +163,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text, learned from the labelled rows not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text", fold("doc_id", 3, 1).alias("held_out"))
     labels = table(spark, folder, "labels").where("toxic is not null").select("doc_id", "toxic")
-    net = toxicity.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    net = toxicity.fit(docs.where(~F.col("held_out")), labels)
     return toxicity.score(docs, net).drop("text")
 
 

@@ -22,6 +22,7 @@ from dayledger.llm.common import (
     FOLD_CASE,
     STEP_BYTES,
     WordHasher,
+    hashed_sample,
     joined,
     steps,
     text_of,
@@ -40,6 +41,9 @@ THRESHOLD = 0.7
 #: windows of one of them; longer texts are drawn from by chance.
 SAMPLE_ROWS = (2400, 800)
 SAMPLE_WINDOWS = 32
+#: Characters of a text that is learned from whole, and of a stretch of a longer one.
+WHOLE_CHARS = 20_000
+STRETCH_CHARS = 500
 #: Windows that one step of the recurrence handles together.
 LANES = 4096
 
@@ -326,24 +330,40 @@ def _logits(net: Network, v: Vocabulary, rows: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     id_column: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
     sample_rows: tuple[int, int] = SAMPLE_ROWS,
 ) -> Network | None:
     """Train on at most ``sample_rows`` texts of the labels 0 and 1, those with the
-    smallest hash of id and text; null labels and empty texts are no examples.
-    Without examples of both there is no network (None)."""
+    smallest hash of the id; of a text beyond ``WHOLE_CHARS`` characters, stretches of
+    it at hashed places. Null labels and empty texts are no examples. Without
+    examples of both there is no network (None).
+
+    Only ids and labels are shuffled; the chosen ids, a bounded number, are sent to
+    where the texts are.
+    """
     whole = text_of(text)
-    rows = labelled.where(F.length(F.trim(whole)) > 0).select(
-        F.xxhash64(F.col(id_column), whole).alias("h"), F.col(label).alias("label"), whole.alias("whole")
-    )
-    both = [rows.where(F.col("label") == k).orderBy("h", "whole").limit(sample_rows[k]).collect() for k in (0, 1)]
-    if not all(both):
+    given = labels.select(F.col(id_column).alias("id"), F.col(label).alias("label"))
+    there = docs.where(F.length(F.trim(whole)) > 0).select(F.col(id_column).alias("id"))
+    known = there.join(given, "id").select("id", "label", F.xxhash64("id").alias("h"))
+    sizes = {r["label"]: r["count"] for r in known.where("label in (0, 1)").groupBy("label").count().collect()}
+    if len(sizes) < 2:
         return None
-    texts = [r["whole"].encode() for part in both for r in part]
-    return train(texts, np.repeat([0, 1], [len(part) for part in both]))
+    picked = [hashed_sample(known.where(F.col("label") == k), sample_rows[k], sizes[k]) for k in (0, 1)]
+    chosen = picked[0].unionByName(picked[1])
+    place = F.col("id_hash"), F.char_length("whole") - STRETCH_CHARS
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.lit(WHOLE_CHARS // STRETCH_CHARS - 1)),
+        lambda i: F.col("whole").substr((F.pmod(F.xxhash64(place[0], i), place[1]) + 1).cast("int"), F.lit(STRETCH_CHARS)),
+    )
+    own = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(id_column)).alias("id_hash"), whole.alias("whole"))
+    part = F.when(F.char_length("whole") <= WHOLE_CHARS, F.col("whole")).otherwise(F.concat_ws(" ", stretches))
+    rows = own.join(F.broadcast(chosen), "id").select("h", "label", part.alias("part")).collect()
+    rows.sort(key=lambda r: (r["label"], r["h"], r["part"]))
+    return train([r["part"].encode() for r in rows], np.array([r["label"] for r in rows]))
 
 
 def text_scores(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

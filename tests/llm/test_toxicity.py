@@ -98,5 +98,19 @@ def test_odd_documents(spark, net):
 
 def test_nothing_to_learn_from(spark):
     docs = documents(spark)
-    assert T.fit(docs.withColumn("toxic", F.lit(1))) is None
-    assert T.fit(docs.withColumn("toxic", F.lit(None).cast("int"))) is None
+    labels = spark.createDataFrame([(1, 1), (5, 1), (6, None), (9, 1), (2, 0), (99, 0)], "doc_id long, toxic int")
+    assert T.fit(docs, labels) is None
+    assert T.fit(docs, labels.where("toxic is null")) is None
+
+
+def test_the_sample_is_bounded_and_balanced(spark, monkeypatch):
+    own, labels = texts(6, 400)
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
+    docs = docs.unionByName(spark.createDataFrame([(1000, "long text " * 5000)], "doc_id long, text string"))
+    marks = spark.createDataFrame([(k, int(x)) for k, x in enumerate(labels)] + [(1000, 1)], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(T, "train", lambda parts, targets: seen.update(parts=parts, targets=targets))
+    T.fit(docs, marks, sample_rows=(30, 20))
+    assert seen["targets"].tolist() == [0] * 30 + [1] * 20 and {t.decode() for t in seen["parts"]} <= set(own)
+    T.fit(docs, marks, sample_rows=(1000, 1000))
+    assert len(seen["parts"]) == 401 and max(map(len, seen["parts"])) <= T.WHOLE_CHARS + 40
