@@ -43,7 +43,7 @@ GATES = (0.25, 0.6)
 RATE = 0.002
 FIRST_WEIGHTS = (0.1, 0.2, 0.45, 0.5)
 #: Bytes of text whose bits are laid out at once.
-LAYOUT = 1 << 20
+LAYOUT = 1 << 19
 SCALE = 4096.0
 #: Slots that travel together when counts are added up.
 CHUNK = 1 << 16
@@ -141,14 +141,18 @@ def bits_of(data: np.ndarray, offsets: np.ndarray, tree: Tree, block: int = 1) -
     ends = np.concatenate([[0], np.cumsum(length)])
     own = np.diff(ends[offsets])
     blocks = -(-own // block)
+    filling = blocks * block - own
     counts = length.copy()
-    filled = offsets[1:][own > 0] - 1
-    counts[filled] += (blocks * block - own)[own > 0]
+    counts[offsets[1:][own > 0] - 1] += filling[own > 0]
     first = np.cumsum(counts) - counts
-    depth = np.arange(int(counts.sum())) - np.repeat(first, counts)
-    symbol = np.repeat(data, counts).astype(np.int32)
-    cell = symbol * np.int32(tree.node.shape[1]) + np.minimum(depth, tree.node.shape[1] - 1).astype(np.int32)
-    real = depth < np.repeat(length, counts)
+    total = int(counts.sum())
+    cell = np.repeat((data * np.int32(tree.node.shape[1]) - first).astype(np.int32), counts)
+    cell += np.arange(total, dtype=np.int32)
+    np.minimum(cell, tree.node.size - 1, out=cell)
+    real = np.ones(total, bool)
+    past = np.cumsum(blocks * block)
+    for end, n in zip(past[filling > 0].tolist(), filling[filling > 0].tolist(), strict=True):
+        real[end - n : end] = False
     return Bits(counts, tree.node.ravel()[cell], tree.bit.ravel()[cell], real, blocks)
 
 
@@ -188,8 +192,8 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray) -> np.ndarra
     for k, context in enumerate(contexts(data, offsets)):
         inputs[k] = table[k][slots(context, bits, table_bits)].reshape(-1, BLOCK)
         inputs[k] *= 1 / SCALE
-    target = bits.bit.reshape(-1, BLOCK).astype(np.float32)
-    real = bits.real.reshape(-1, BLOCK).astype(np.float32)
+    signs = (np.where(bits.bit, np.int8(-1), np.int8(1)) * bits.real).reshape(-1, BLOCK)
+    spare = BLOCK - np.count_nonzero(signs, axis=1)
     n_lanes = -(-bits.blocks // SEGMENT)
     owner = np.repeat(np.arange(len(parts)), n_lanes)
     nth = SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(n_lanes) - n_lanes, n_lanes))
@@ -203,21 +207,21 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray) -> np.ndarra
     for t in range(int(width.max(initial=0))):
         n = int(np.searchsorted(-width, -t, "left"))
         at, lane = begin[:n] + t, np.arange(n)
-        x, y, m = [i[at] for i in inputs], target[at], real[at]
+        x, sign = inputs[:, at], signs[at]
         w = weights[lane, gate[:n]]
-        z = x[0] * w[:, :1]
-        for k in range(1, CONTEXTS):
-            z += x[k] * w[:, k : k + 1]
-        # cost of a bit: log2(1 + exp(-z)) for a 1, log2(1 + exp(z)) for a 0
-        e = np.exp(np.clip(z * (1 - 2 * y), -20, 20))
-        bill = (np.log2(1 + e) * m).sum(axis=1)
+        z = np.einsum("klt,lk->lt", x, w)
+        # the signs are -1 for a 1, 1 for a 0 and 0 for filling, which costs 1 bit
+        z *= sign
+        np.minimum(z, 60, out=z)
+        e = np.exp(z, out=z)
+        one = e + 1
+        e /= one
+        e *= sign
+        bill = np.log2(one, out=one).sum(axis=1) - spare[at]
         cost[:n] += bill
-        error = (y * 2 - 1) * (e / (1 + e)) * m
-        size = np.maximum(m.sum(axis=1), 1)
-        for k in range(CONTEXTS):
-            w[:, k] += RATE * np.einsum("lt,lt->l", error, x[k])
+        w -= RATE * np.einsum("klt,lt->lk", x, e)
         weights[lane, gate[:n]] = w
-        gate[:n] = np.searchsorted(GATES, bill / size)
+        gate[:n] = np.searchsorted(GATES, bill / (BLOCK - spare[at]))
     return np.bincount(owner, cost, minlength=len(parts))
 
 
