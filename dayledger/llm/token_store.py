@@ -65,12 +65,8 @@ class WordEncoder:
         return ids
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(self.known_pieces) > REMEMBERED_WORDS:
-            self.known.clear()
-            self.known_pieces.clear()
         rest = []
-        for word in words:
-            text = word.decode()
+        for word, text in zip(words, b"\n".join(words).decode().split("\n"), strict=True) if words else ():
             found = PLAIN_WORD.fullmatch(text) if self.pieces else None
             if found is None:
                 rest.append(word)
@@ -85,10 +81,10 @@ class WordEncoder:
             return self._ids([t.decode() for t in texts])
         # a special token's own string must keep its case
         words = [(t.lower() if self.folds and b"<|" not in t else t).split() for t in texts]
+        if len(self.known) + len(self.known_pieces) > REMEMBERED_WORDS:
+            self.known.clear()
+            self.known_pieces.clear()
         self._learn(list(set(chain.from_iterable(words)).difference(self.known)))
-        missing = set(chain.from_iterable(words)).difference(self.known)
-        if missing:  # forgotten just now
-            self._learn(list(missing))
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in words]
 

@@ -36,6 +36,14 @@ def test_words_encode_as_whole_texts_do(spark, tokenizer):
         assert np.frombuffer(ids, "<i4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_forgetting_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(S, "REMEMBERED_WORDS", 3)
+    encoder = S.WordEncoder(Path(FILE).read_text(encoding="utf-8"))
+    for text in ODD_TEXTS * 2:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder([text.encode()])[0], "<i4").tolist() == ids
+
+
 def test_other_tokenizers_get_whole_texts():
     encoder = S.WordEncoder(Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8"))
     assert not encoder.by_word
