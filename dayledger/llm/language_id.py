@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import joined, steps, text_of
+from dayledger.llm.common import hashed_sample, joined, steps, text_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -145,9 +145,10 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
 ) -> Network | None:
     """Train on windows of at most ``sample_rows`` rows, those with the smallest
-    hash of id and text. Rows without label or letter are no examples; without any
+    hash of the id. Rows without label or letter are no examples; without any
     example there is no network (None)."""
     whole = text_of(text)
+    labelled = labelled.where(F.col(label).isNotNull())
     size = F.greatest(F.char_length(whole) - WINDOW, F.lit(0)) + 1
     windows = F.array(
         *(
@@ -155,13 +156,11 @@ def fit(
             for k in range(SAMPLE_WINDOWS)
         )
     )
-    rows = (
-        labelled.where(F.col(label).isNotNull() & has_letter(whole))
-        .select(F.xxhash64(F.col(id_column), whole).alias("h"), F.col(label).alias("label"), windows.alias("windows"))
-        .orderBy("h", "label")
-        .limit(sample_rows)
-        .collect()
+    examples = labelled.where(has_letter(whole)).select(
+        F.xxhash64(F.col(id_column)).alias("h"), F.col(label).alias("label"), windows.alias("windows")
     )
+    rows = hashed_sample(examples, sample_rows, labelled.count()).collect()
+    rows.sort(key=lambda r: (r["h"], r["label"], r["windows"]))
     if not rows:
         return None
     labels = sorted({r["label"] for r in rows})
