@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import boxed, stage, text_of, unboxed
+from dayledger.llm.common import boxed, hashed_sample, stage, text_of, unboxed
 from dayledger.llm.components import components
 
 SHINGLE = 3
@@ -203,7 +203,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE, l
     (column ``bits``) at ``max_bits`` or fewer differing bits."""
     spark = distinct.sparkSession
     count = distinct.count()
-    chosen = distinct.orderBy(F.xxhash64("bits"), "bits").limit(sample).collect() if count > leaf else []
+    hashed = distinct.select("bits", F.xxhash64("bits").alias("h"))
+    chosen = hashed_sample(hashed, sample, count).collect() if count > leaf else []
     points = np.array([r["bits"] for r in chosen], np.int64).view(np.uint64)
     tree, leaves = grow(points, leaf * len(points) / max(count, 1))
     shared = spark.sparkContext.broadcast(tree)
