@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm import decontaminate, language_id, line_dedup, sentencepiece_scan, simhash
-from dayledger.llm.common import boxed, stage, table, text_of, unboxed
+from dayledger.llm.common import boxed, stage, table, unboxed
 
 #: A language less likely than this is no finding; the network knows a handful.
 MIN_LANGUAGE_SCORE = 0.4
@@ -45,14 +45,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``n_tokens`` of every document, and whether its ids
     decode to its text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = docs.select("doc_id", "text")
-    found = sentencepiece_scan.decode(sentencepiece_scan.encode(rows, model), model)
-    return found.select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        (F.col("decoded") == F.translate(text_of(), sentencepiece_scan.SPACE, " ")).alias("round_trip"),
-    )
+    found = sentencepiece_scan.round_trips(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "round_trip")
 
 
 STAGES = [

@@ -19,7 +19,6 @@ between them: the lattice falls apart into words, which a worker remembers.
 from __future__ import annotations
 
 import re
-import zlib
 from struct import pack
 
 import numpy as np
@@ -34,7 +33,7 @@ SPACE = "▁"
 #: Characters of a chunk; longer texts are giant.
 CHUNK = 1 << 15
 #: Words, pieces of words and pairs of pieces that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 NEVER = float("-inf")
 
 #: A state: characters from the cut back to the start of its piece, and on to its end.
@@ -58,7 +57,6 @@ class Lattice:
         self.ids = {p: i for i, p in enumerate(self.pieces) if plain[i]}
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
         if len(self.bytes) != 256:
             raise ValueError("the model has no byte fallback")
         self.longest = max(map(len, self.ids))
@@ -69,6 +67,8 @@ class Lattice:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
         self.known_parts: dict[str, bytes] = {}
+        #: The last piece of the encoding of a text, by text.
+        self.last: dict[str, str] = {}
 
     # --- which pieces are stable ---
 
@@ -169,27 +169,31 @@ class Lattice:
         return [word[a:b] for a, b in zip([0, *at], [*at, len(word)], strict=True)]
 
     def pieces_of(self, part: str) -> list[str]:
-        """The path through the lattice of a text that stands alone: at each position
-        just one piece ends a path of weight 0."""
-        size, longest, ids, known = len(part), self.longest, self.ids, self.pairs.get
-        last = [""] * (size + 1)
-        for end in range(1, size + 1):
+        """The path through the lattice of a text that stands alone. At each position
+        just one piece ends a path of weight 0; it depends on the text before alone,
+        so texts that begin alike share it."""
+        size, longest, ids, known, last = len(part), self.longest, self.ids, self.pairs.get, self.last
+        done = size
+        while done and part[:done] not in last:
+            done -= 1
+        for end in range(done + 1, size + 1):
             for start in range(max(0, end - longest), end):
                 piece = part[start:end]
                 if piece in ids or end - start == 1:
                     if start:
-                        stable = known((last[start], piece))
+                        before = last[part[:start]]
+                        stable = known((before, piece))
                         if stable is None:
-                            stable = self.stable(last[start], piece)
+                            stable = self.stable(before, piece)
                     else:
                         stable = self.profile(piece) is not None
                     if stable:
-                        last[end] = piece
+                        last[part[:end]] = piece
                         break
         path, end = [], size
         while end:
-            path.append(last[end])
-            end -= len(last[end])
+            path.append(last[part[:end]])
+            end -= len(path[-1])
         return path[::-1]
 
     def numbers(self, pieces: list[str]) -> list[int]:
@@ -209,8 +213,7 @@ class Lattice:
     def part(self, part: str) -> bytes:
         ids = self.known_parts.get(part)
         if ids is None:
-            found = self.numbers(self.pieces_of(part))
-            ids = self.known_parts[part] = pack(f"<{len(found)}i", *found)
+            ids = self.known_parts[part] = self._packed(self.pieces_of(part))
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -227,7 +230,7 @@ class Lattice:
         return ids
 
     def forget(self) -> None:
-        for memory in (self.words, self.known_parts, self.pairs):
+        for memory in (self.words, self.known_parts, self.pairs, self.last):
             if len(memory) > REMEMBERED:
                 memory.clear()
 
@@ -247,10 +250,7 @@ class Lattice:
         """The transfer matrix of the chunk ``first``..``last`` of a stretch of text;
         a stretch that begins with its chunk is the beginning of the whole text."""
         entry = self.states(text, first) if first else [START]
-        hard = [c for c in self.cuts(text[first - 1 if first else 0 : last])]
-        hard = [c + (first - 1 if first else 0) for c in hard if c + (first - 1 if first else 0) >= first]
-        if not first:
-            hard = [0, *hard]
+        hard = self.hard_cuts(text, first, last)
         out: Matrix = {}
         if hard:
             # from the first such place on, nothing depends on the state any more
@@ -269,6 +269,12 @@ class Lattice:
                     out.setdefault(before, set()).add(state)
         return out
 
+    def hard_cuts(self, text: str, first: int, last: int) -> list[int]:
+        """Positions from ``first`` to before ``last`` that no piece reaches across."""
+        if not first:
+            return [0, *self.cuts(text[:last])]
+        return [first - 1 + c for c in self.cuts(text[first - 1 : last])]
+
     def _ends(self, text: str, first: int, last: int, entry: list[State]):
         entries: dict[int, list[tuple[str, int]]] = {}
         for k, (back, on) in enumerate(entry):
@@ -285,32 +291,44 @@ class Lattice:
 
     def chunk(self, text: str, first: int, last: int, entry: State, leave: State) -> bytes:
         """The ids of the pieces after the entry's up to the leaving one."""
-        if entry == START and not first:
-            ends, begin = self.forward(text, 0, last, {0: [("", 1)]}), 0
+        begin, end, out = first + entry[1], last + leave[1], []
+        hard = self.hard_cuts(text, first, last)
+        if hard:
+            if begin < hard[0]:
+                ends = self._ends(text, first, hard[0], [entry])
+                whole = next(iter(p for p, own in ends[hard[0]].items() if own))
+                out.append(self._packed(self.trace(text, ends, hard[0], whole, 1, begin)))
+            out += [self.part(text[a:b]) for a, b in zip(hard[:-1], hard[1:], strict=True)]
+            begin = hard[-1]
+            ends = self.forward(text, begin, last, {begin: [("", 1)]})
         else:
-            ends, begin = self._ends(text, first, last, [entry]), first + entry[1]
-        end = last + leave[1]
-        if end <= begin:  # the piece of the entry reaches as far
-            return b""
-        ids = self.numbers(self.trace(text, ends, end, text[last - leave[0] : end], 1, begin))
+            ends = self._ends(text, first, last, [entry])
+        if end > begin:  # else the piece of the entry reaches as far
+            out.append(self._packed(self.trace(text, ends, end, text[last - leave[0] : end], 1, begin)))
+        return b"".join(out)
+
+    def _packed(self, pieces: list[str]) -> bytes:
+        ids = self.numbers(pieces)
         return pack(f"<{len(ids)}i", *ids)
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of some ids; bytes that are no UTF-8 become U+FFFD."""
-        out, pending = [], bytearray()
-        for i in ids:
-            byte = self.byte_of.get(i)
-            if byte is not None:
-                pending.append(byte)
-                continue
-            if pending:
-                out.append(pending.decode("utf-8", "replace"))
-                pending.clear()
-            if i in self.byte_of or self.pieces[i] in self.ids:
-                out.append(self.pieces[i])
-        out.append(pending.decode("utf-8", "replace"))
-        text = "".join(out)
-        return (text[1:] if text.startswith(SPACE) else text).replace(SPACE, " ")
+
+def raw_pieces(proto: bytes) -> list[bytes]:
+    """What each id of a model stands for."""
+    model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    out = []
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            out.append(bytes([int(piece[3:5], 16)]))
+        else:
+            out.append(b"" if model.is_control(i) or model.is_unknown(i) else piece.replace(SPACE, " ").encode())
+    return out
+
+
+def decoded(raw: list[bytes], ids: list[int]) -> str:
+    """The text of some ids; bytes that are no UTF-8 become U+FFFD."""
+    text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
+    return text[1:] if text.startswith(" ") else text
 
 
 WORD = re.compile(" *[^ ]+| +")
@@ -363,6 +381,13 @@ def _lattice(shared) -> Lattice:
     return _lattices[key]
 
 
+def slices(batches, rows: int = 200):
+    """Batches of fewer rows: their values become Python objects, some at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def _lists(parts: list[bytes]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
@@ -390,7 +415,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", chunk: int = CH
 
     def encode_whole(batches):
         lattice = _lattice(shared)
-        for batch in batches:
+        for batch in slices(batches):
             own = batch.column(batch.schema.names.index(text)).to_pylist()
             at = batch.schema.names.index("ids")
             ids = _lists([lattice.encode(t or "") for t in own])
@@ -509,25 +534,21 @@ def decode(encoded: DataFrame, model_file: str, ids: str = "ids") -> DataFrame:
     out = encoded.withColumn("decoded", F.lit(None).cast("string"))
 
     def run(batches):
-        lattice = _lattice(shared)
-        for batch in batches:
+        raw = raw_pieces(shared.value)
+        for batch in slices(batches):
             own = batch.column(batch.schema.names.index(ids)).to_pylist()
-            texts = pa.array([None if x is None else lattice.decode(x) for x in own], pa.string())
+            texts = pa.array([None if x is None else decoded(raw, x) for x in own], pa.string())
             at = batch.schema.names.index("decoded")
             yield batch.set_column(at, batch.schema.field(at), texts)
 
     return out.mapInArrow(run, out.schema)
 
 
-def crc32_of(encoded: DataFrame, ids: str = "ids") -> DataFrame:
-    """``encoded`` with ``ids_crc32`` of the ids as little-endian 32-bit numbers."""
-    out = encoded.withColumn("ids_crc32", F.lit(0).cast("bigint"))
-
-    def run(batches):
-        for batch in batches:
-            lists = batch.column(batch.schema.names.index(ids))
-            sums = [zlib.crc32(np.array(x or [], "<u4")) for x in lists.to_pylist()]
-            at = batch.schema.names.index("ids_crc32")
-            yield batch.set_column(at, batch.schema.field(at), pa.array(sums, pa.int64()))
-
-    return out.mapInArrow(run, out.schema)
+def round_trips(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
+    """``docs`` without its texts, but with ``ids`` and ``round_trip``: whether they
+    decode to the text, by a 64-bit hash of it, as the texts do not travel along. The
+    character that stands for a space in pieces counts as a space."""
+    plain = F.xxhash64(F.translate(text_of(text), SPACE, " "))
+    encoded = encode(docs.withColumn("text_hash", plain), model_file, text).drop(text)
+    found = decode(encoded, model_file).withColumn("round_trip", F.xxhash64("decoded") == F.col("text_hash"))
+    return found.drop("decoded", "text_hash")
