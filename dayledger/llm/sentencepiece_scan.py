@@ -234,6 +234,11 @@ class Lattice:
             if len(memory) > REMEMBERED:
                 memory.clear()
 
+    def release(self) -> None:
+        """Forget all at the end of a task: idle workers keep what they remember."""
+        for memory in (self.words, self.known_parts, self.pairs, self.last, self.profiles):
+            memory.clear()
+
     # --- chunks of a giant text ---
 
     def states(self, text: str, cut: int) -> list[State]:
@@ -420,6 +425,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", chunk: int = CH
             at = batch.schema.names.index("ids")
             ids = _lists([lattice.encode(t or "") for t in own])
             yield batch.set_column(at, batch.schema.field(at), ids.cast(batch.schema.field(at).type))
+        lattice.release()
 
     giant = docs.where(size > chunk)
     name = "giant_text_key"
@@ -474,6 +480,7 @@ def _encode_giant(texts: DataFrame, shared, chunk: int) -> DataFrame:
                 ],
                 names=["key", "k", "entries"],
             )
+        lattice.release()
 
     def scan(key, rows):
         own = sorted(zip(rows.column("k").to_pylist(), rows.column("entries").to_pylist(), strict=True))
@@ -507,6 +514,7 @@ def _encode_giant(texts: DataFrame, shared, chunk: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["key", "k", "part"]
             )
+        lattice.release()
 
     def gather(key, rows):
         order = np.argsort(rows.column("k").to_numpy())
