@@ -2,11 +2,14 @@
 
 A text is its lower-cased words, a space after each, and an end. Every byte is a
 path of bits through a Huffman tree. For each of several contexts (the last two to
-four bytes, the word so far) a hashed table holds how often a bit was 0 and 1 after
-that context at that node, counted over all training texts. The predictions are
-mixed in the logistic domain. Weights learn online as the bits of a segment of a
-text are seen; a gate picks among sets of them by how well the bits before were
-predicted. The cost of all bits gives the log-probability and the bits per byte.
+four bytes, the word so far) it is known how often a bit was 0 and 1 after that
+context at that node, over all training texts. The predictions are mixed in the
+logistic domain. Weights learn online as the bits of a segment of a text are seen; a
+gate picks among sets of them by how well the bits before were predicted. The cost of
+all bits gives the log-probability and the bits per byte.
+
+Blocks of documents ask for the contexts they hold and the bytes after them, as they
+ask for words: what is known grows with the corpus, and no two contexts share counts.
 
 Beside it stands the unigram model: blocks of documents ask for the counts of their
 words over all training texts.
@@ -24,12 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm import blocks as B
-from dayledger.llm.common import WordHasher, partitions, stage, steps, text_of, word_spans
+from dayledger.llm.common import WordHasher, mix, partitions, steps, text_of, word_spans
 
 SPACE, END = 0x20, 0x0A
-#: Slots of a context's table, as a power of two. It bounds what is broadcast:
-#: 2 bytes a slot and context.
-TABLE_BITS = 22
 #: Numbers of last bytes that are contexts; the word so far is one more.
 ORDERS = (2, 3, 4)
 #: Bytes of it at most, the last ones of a longer word.
@@ -45,11 +45,8 @@ FIRST_WEIGHTS = (0.1, 0.2, 0.45, 0.5)
 #: Bytes of text whose bits are laid out at once.
 LAYOUT = 1 << 19
 SCALE = 4096.0
-#: Slots that travel together when counts are added up.
-CHUNK = 1 << 16
 
 _hasher = WordHasher(8, fold_case=True)
-_prefixes = WordHasher(81)
 
 
 @dataclass
@@ -59,6 +56,7 @@ class Tree:
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
+    number: np.ndarray  # of the node, from 0
 
 
 def huffman(counts: np.ndarray) -> Tree:
@@ -81,10 +79,11 @@ def huffman(counts: np.ndarray) -> Tree:
         paths.append(path[::-1])
     deepest = max(map(len, paths))
     node, bit = np.zeros((256, deepest), np.uint32), np.zeros((256, deepest), np.uint8)
+    number = np.zeros((256, deepest), np.uint8)
     for symbol, path in enumerate(paths):
         for j, (n, b) in enumerate(path):
-            node[symbol, j], bit[symbol, j] = NODES[n - 256], b
-    return Tree(np.array([len(p) for p in paths]), node, bit)
+            node[symbol, j], bit[symbol, j], number[symbol, j] = NODES[n - 256], b, n - 256
+    return Tree(np.array([len(p) for p in paths]), node, bit, number)
 
 
 def symbols(text: bytes) -> bytes:
@@ -98,26 +97,37 @@ def lay_out(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
-def contexts(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """For each context, its hash before each byte; none reaches into another text."""
+def contexts(data: np.ndarray, offsets: np.ndarray, table_bits: int | None = None) -> Iterator[np.ndarray]:
+    """For each context, what it is before each byte, in 53 bits of which the first two
+    are its kind; none reaches into another text. ``table_bits`` keeps that many bits
+    of a hash instead."""
     n = len(data)
     at = np.arange(n)
     into = at - np.repeat(offsets[:-1], np.diff(offsets))
-    tail = np.zeros(n, np.uint32)
-    for k in range(1, max(ORDERS) + 1):
-        before = np.full(n, END, np.uint32)
-        before[k:] = data[:-k] if k < n else data[:0]
-        before[into < k] = END
-        tail |= before << np.uint32(8 * (k - 1))
-        if k in ORDERS:
-            h = tail * np.uint32(0x9E3779B1)
-            h ^= h >> np.uint32(15)
-            yield h * np.uint32(0x85EBCA6B)
     edge = np.ones(n, bool)
     edge[1:] = data[:-1] == SPACE
-    edge[offsets[:-1]] = True
-    begin = np.maximum(np.maximum.accumulate(np.where(edge, at, 0)), at - WORD_REACH)
-    yield (_prefixes(data, begin, at) >> np.uint64(32)).astype(np.uint32)
+    edge[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    written = np.minimum(at - np.maximum.accumulate(np.where(edge, at, 0)), WORD_REACH)
+    word = written.astype(np.uint64) << np.uint64(48)
+    tail, kind = np.zeros(n, np.uint64), 0
+    for k in range(1, max(*ORDERS, WORD_REACH) + 1):
+        before = np.zeros(n, np.uint64)
+        before[k:] = data[:-k] if k < n else data[:0]
+        before <<= np.uint64(8 * (k - 1))
+        if k <= WORD_REACH:
+            word |= np.where(written >= k, before, np.uint64(0))
+        if k <= max(ORDERS):
+            tail |= np.where(into < k, np.uint64(END << 8 * (k - 1)), before)
+        if k in ORDERS:
+            yield _of_kind(kind, tail, table_bits)
+            kind += 1
+    yield _of_kind(kind, word, table_bits)
+
+
+def _of_kind(kind: int, context: np.ndarray, table_bits: int | None) -> np.ndarray:
+    if table_bits is not None:
+        context = mix(context) >> np.uint64(64 - table_bits)
+    return context | np.uint64(kind << 51)
 
 
 CONTEXTS = len(ORDERS) + 1
@@ -157,7 +167,9 @@ def bits_of(data: np.ndarray, offsets: np.ndarray, tree: Tree, block: int = 1) -
 
 
 def slots(context: np.ndarray, bits: Bits, table_bits: int) -> np.ndarray:
-    return (np.repeat(context, bits.counts) + bits.node) >> np.uint32(32 - table_bits)
+    """Slots of a table of bounded size, for texts that are scored in memory."""
+    hashed = (mix(context) >> np.uint64(32)).astype(np.uint32)
+    return (np.repeat(hashed, bits.counts) + bits.node) >> np.uint32(32 - table_bits)
 
 
 def count_bits(parts: list[bytes], tree: Tree, table_bits: int, counts: np.ndarray) -> None:
@@ -178,19 +190,71 @@ def stretched(counts: np.ndarray) -> np.ndarray:
     return np.round(np.clip(value, -7.9, 7.9) * SCALE).astype(np.int16)
 
 
-def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray) -> np.ndarray:
+class Known:
+    """What is known of each bit after the contexts that some texts hold: for each
+    (context, byte), a value for each bit of the byte, found by open addressing."""
+
+    def __init__(self, keys: np.ndarray, starts: np.ndarray, values: np.ndarray, table_bits: int | None):
+        self.keys, self.starts, self.values, self.table_bits = keys, starts, values, table_bits
+        size = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - size), (1 << size) - 1
+        self.places = np.full(1 << size, -1, np.int32)
+        waiting, place = np.arange(len(keys), dtype=np.int32), self._first(keys)
+        while len(waiting):
+            free = self.places[place] < 0
+            self.places[place[free]] = waiting[free]
+            left = self.places[place] != waiting
+            waiting, place = waiting[left], (place[left] + 1) & self.mask
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def rows(self, keys: np.ndarray) -> np.ndarray:
+        """Where each of these keys, all of them held, stands in ``keys``."""
+        place = self._first(keys)
+        found = self.places[place]
+        wrong = np.flatnonzero(self.keys[found] != keys)
+        while len(wrong):
+            place[wrong] = (place[wrong] + 1) & self.mask
+            found[wrong] = self.places[place[wrong]]
+            wrong = wrong[self.keys[found[wrong]] != keys[wrong]]
+        return found
+
+    def inputs(self, data: np.ndarray, offsets: np.ndarray, bits: Bits) -> Iterator[np.ndarray]:
+        first = np.cumsum(bits.counts) - bits.counts
+        nth = np.arange(len(bits.bit))
+        for context in contexts(data, offsets, self.table_bits):
+            begin = self.starts[self.rows(followed(context, data))]
+            cell = np.repeat(begin - first, bits.counts)
+            cell += nth
+            np.minimum(cell, len(self.values) - 1, out=cell)  # filling may read past the end
+            yield self.values[cell]
+
+
+def followed(context: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Keys of contexts and the byte after each."""
+    return context << np.uint64(8) | data
+
+
+def slot_inputs(table: np.ndarray, data: np.ndarray, offsets: np.ndarray, bits: Bits) -> Iterator[np.ndarray]:
+    table_bits = int(table.shape[1]).bit_length() - 1
+    for own, context in zip(table, contexts(data, offsets), strict=True):
+        yield own[slots(context, bits, table_bits)]
+
+
+def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> np.ndarray:
     """Bits that the mixed model spends on each text.
 
     A lane is a segment of a text, a run of blocks of ``BLOCK`` bits. All lanes move
     on by a block at a time: predict its bits with the weights that the gate picks,
     pay for them, then let the weights learn from them.
     """
-    table_bits = int(table.shape[1]).bit_length() - 1
     data, offsets = lay_out(parts)
     bits = bits_of(data, offsets, tree, BLOCK)
+    found = table.inputs(data, offsets, bits) if isinstance(table, Known) else slot_inputs(table, data, offsets, bits)
     inputs = np.empty((CONTEXTS, len(bits.bit) // BLOCK, BLOCK), np.float32)
-    for k, context in enumerate(contexts(data, offsets)):
-        inputs[k] = table[k][slots(context, bits, table_bits)].reshape(-1, BLOCK)
+    for k, value in enumerate(found):
+        inputs[k] = value.reshape(-1, BLOCK)
         inputs[k] *= 1 / SCALE
     signs = (np.where(bits.bit, np.int8(-1), np.int8(1)) * bits.real).reshape(-1, BLOCK)
     spare = BLOCK - np.count_nonzero(signs, axis=1)
@@ -242,45 +306,80 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
-def train(docs: DataFrame, table_bits: int = TABLE_BITS) -> tuple[Tree, np.ndarray]:
-    """The tree and the tables, counted over all texts (column ``body``).
-
-    Each task adds up its own counts and sends them in compressed chunks of slots;
-    a chunk's counts meet in one group, a row for each task.
-    """
-    tree = huffman(byte_counts(docs))
-    cells = 2 << table_bits
-    chunk = min(CHUNK, cells)
-
-    def count(batches):
-        counts = np.zeros((CONTEXTS, cells), np.uint32)
-        for batch in batches:
-            parts = [symbols(t) for t in batch.column(0).to_pylist()]
-            for part in steps(np.array([len(p) for p in parts], np.int64), LAYOUT):
-                count_bits(parts[part], tree, table_bits, counts)
-        flat = counts.reshape(-1, chunk)
-        for at in np.flatnonzero(flat.any(axis=1)).tolist():
-            packed = pa.compress(flat[at].tobytes(), codec="zstd", asbytes=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int32()), pa.array([packed], pa.binary())], names=["chunk", "counts"]
-            )
-
-    def add(key, rows):
-        total = np.zeros(chunk, np.uint64)
-        for x in rows.column("counts").to_pylist():
-            total += np.frombuffer(pa.decompress(x, chunk * 4, codec="zstd"), np.uint32)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": [stretched(total).tobytes()]})
-
-    sent = docs.select("body").mapInArrow(count, "chunk int, counts binary")
-    rows = sent.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()
-    table = np.zeros((CONTEXTS * cells // chunk, chunk // 2), np.int16)
-    for r in rows:  # bounded by the size of the tables
-        table[r["chunk"]] = np.frombuffer(r["counts"], np.int16)
-    return tree, table.reshape(CONTEXTS, -1)
-
-
+def held(parts: list[bytes], learned: np.ndarray, table_bits: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (context, byte) of some texts in order, and how often those texts
+    that are learned from hold each."""
+    found = [[] for _ in range(CONTEXTS)]
+    for part in steps(np.array([len(p) for p in parts], np.int64), LAYOUT):
+        data, offsets = lay_out(parts[part])
+        own = np.repeat(learned[part], np.diff(offsets))
+        for k, context in enumerate(contexts(data, offsets, table_bits)):
+            every = followed(context, data)
+            known, n = np.unique(every[own], return_counts=True)
+            other = np.unique(every[~own])
+            found[k] += [(known, n), (other, np.zeros(len(other), n.dtype))]
+    keys, seen = [], []
+    for own in found:
+        every, n = (np.concatenate(x) for x in zip(*own, strict=True))
+        order = np.argsort(every)
+        every = every[order]
+        first = np.flatnonzero(np.diff(every, prepend=~every[:1]))
+        keys.append(every[first])
+        seen.append(np.add.reduceat(n[order], first))
+    return np.concatenate(keys), np.concatenate(seen)
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
+    """Positions of the keys by bucket; all bytes after a context are in one."""
+    hashed = mix(keys >> np.uint64(8)) >> np.uint64(32)
+    bucket = (hashed % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.flatnonzero(np.diff(bucket[order])) + 1
+    return {int(bucket[own[0]]): own for own in np.split(order, ends) if len(own)}
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def expanded(packed: bytes | None, kind: str) -> np.ndarray:
+    n, width = int.from_bytes((packed or b"")[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(packed[8:], n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind)[:, 0]
+
+
+def bit_values(keys: np.ndarray, seen: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """For distinct (context, byte) that were seen so often: a value for each bit of the
+    byte's path, and where the values of each key begin. All bytes seen after a context
+    are among the keys."""
+    byte = (keys & np.uint64(255)).astype(np.int64)
+    length = tree.length[byte]
+    starts = np.cumsum(length) - length
+    owner = np.repeat(np.arange(len(keys)), length)
+    nth = np.arange(len(owner)) - starts[owner]
+    node = (keys[owner] & ~np.uint64(255)) | tree.number[byte[owner], nth]
+    _, at = np.unique(node, return_inverse=True)
+    cell = 2 * at + tree.bit[byte[owner], nth]
+    pairs = np.bincount(cell, seen[owner], minlength=2 * len(at))
+    return stretched(pairs)[at], starts
+
+
+def gather(starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The positions of runs that begin at ``starts``, one run after another."""
+    skip = np.cumsum(length) - length
+    return np.repeat(starts - skip, length) + np.arange(int(length.sum()))
+
+
+#: Words and their counts; contexts with the byte after them, as differences, and counts.
 WORDS = {"key": "<u8", "trained": "<u4"}
-COUNTS = {"key": "<u8", "count": "<i8", "distinct": "<i8"}
+ASKED = WORDS | {"pairs": "u1", "seen": "u1"}
+#: Counts of the words, the bucket's distinct trained words and their occurrences, and
+#: values of the bits.
+TOLD = {"key": "<u8", "count": "<i8", "totals": "<i8", "values": "u1"}
 
 
 def _block_words(rows: pa.Table):
@@ -289,7 +388,7 @@ def _block_words(rows: pa.Table):
     return _hasher(data, starts, ends), doc
 
 
-def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str = "text", table_bits: int = TABLE_BITS) -> DataFrame:
+def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str = "text", table_bits: int | None = None) -> DataFrame:
     """One row per input row: its id, ``n_tokens`` (words and one end), ``n_known``
     (tokens that occur in training), ``train_tokens``, ``base_score`` (log10 of the
     add-one unigram probability), ``score`` (log10 of the mixed model's) and
@@ -297,7 +396,8 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
 
     Null and empty texts are an end alone. Null in ``trained`` is false. Without
     training rows all counts are zero. Repeated rows count and score each for
-    itself; an empty table gives no rows; other columns are not read.
+    itself; an empty table gives no rows; other columns are not read. With
+    ``table_bits``, contexts are told apart by that many bits of a hash only.
     """
     spark = docs.sparkSession
     buckets = partitions(spark)
@@ -309,13 +409,25 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
     blocks = B.in_blocks(own, "doc_id", "text", "learned")
     learned = own.where("learned").select(text_of("text").cast("binary").alias("body"))
 
+    tree = huffman(byte_counts(learned))
+
     def ask(key, rows):
         hashes, doc = _block_words(rows)
-        in_training = rows.column("learned").to_numpy()[doc]
+        flags = rows.column("learned").to_numpy()
+        in_training = flags[doc]
         keys, number = np.unique(hashes, return_inverse=True)
         counts = np.bincount(number[in_training], minlength=len(keys))
-        parts = [(b, {"key": keys[at], "trained": counts[at]}) for b, at in B.by_bucket(keys, buckets)]
-        return B.pack(WORDS, key[0].as_py(), parts)
+        words = dict(B.by_bucket(keys, buckets))
+        pairs, seen = held([symbols(t) for t in rows.column("body").to_pylist()], flags, table_bits)
+        after = by_bucket(pairs, buckets)
+        none, parts = np.zeros(0, np.int64), []
+        for b in range(buckets):  # all, as each tells its totals
+            at, own = words.get(b, none), after.get(b, none)
+            part = {"key": keys[at], "trained": counts[at]}
+            part["pairs"] = np.frombuffer(squeezed(np.diff(pairs[own], prepend=np.uint64(0))), np.uint8)
+            part["seen"] = np.frombuffer(squeezed(seen[own].astype(np.uint32)), np.uint8)
+            parts.append((b, part))
+        return B.pack(ASKED, key[0].as_py(), parts)
 
     def add(key, rows):
         found, row = B.unpack(rows, WORDS)
@@ -324,23 +436,39 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
         block, made = rows.column("block").to_numpy(), []
         ends = np.cumsum(np.bincount(row, minlength=rows.num_rows))
         totals = np.array([np.count_nonzero(counts), counts.sum()])
+        asked = [np.cumsum(expanded(x, "<u8"), dtype=np.uint64) for x in rows.column("pairs").to_pylist()]
+        seen = np.concatenate([expanded(x, "<u4") for x in rows.column("seen").to_pylist()])
+        pairs, nth = np.unique(np.concatenate(asked), return_inverse=True)
+        values, starts = bit_values(pairs, np.bincount(nth, seen, minlength=len(pairs)), tree)
+        length = tree.length[(pairs & np.uint64(255)).astype(np.int64)]
+        own = np.split(nth, np.cumsum([len(x) for x in asked])[:-1])
         for i, end in enumerate(ends.tolist()):
             at = slice(ends[i - 1] if i else 0, end)
-            part = {"key": found["key"][at], "count": counts[number[at]], "distinct": totals if i == 0 else totals[:0]}
+            part = {"key": found["key"][at], "count": counts[number[at]], "totals": totals}
+            told = values[gather(starts[own[i]], length[own[i]])]
+            part["values"] = np.frombuffer(squeezed(told), np.uint8)
             made.append((key[0].as_py(), part))
-        return B.pack(COUNTS, 0, made).set_column(0, "block", pa.array(block, pa.int32()))
+        return B.pack(TOLD, 0, made).set_column(0, "block", pa.array(block, pa.int32()))
 
-    counts = stage(B.answer(B.ask(blocks, ask, WORDS), add, COUNTS), "word-counts")
+    counts = B.answer(B.ask(blocks, ask, ASKED), add, TOLD)
     n_ends = learned.count()
-    totals = _totals(counts)
-    n_train = int(totals[1]) + n_ends
-    n_distinct = int(totals[0]) + (n_ends > 0)
-    model = spark.sparkContext.broadcast(train(learned, table_bits))
+
+    def _told(parts, replies):
+        pairs, _ = held(parts, np.zeros(len(parts), bool), table_bits)
+        order = np.concatenate([at for _, at in sorted(by_bucket(pairs, buckets).items())])
+        replies = replies.select(["bucket", "values"]).sort_by("bucket").column("values").to_pylist()
+        values = np.concatenate([expanded(x, "<i2") for x in replies])
+        length = tree.length[(pairs[order] & np.uint64(255)).astype(np.int64)]
+        starts = np.empty(len(pairs), np.int64)
+        starts[order] = np.cumsum(length) - length
+        return Known(pairs, starts, values, table_bits)
 
     def judge(rows, replies):
-        tree, table = model.value
         hashes, doc = _block_words(rows)
-        told, _ = B.unpack(replies, {k: COUNTS[k] for k in ("key", "count")})
+        told, _ = B.unpack(replies, {k: TOLD[k] for k in ("key", "count")})
+        totals = B.unpack(replies, {"totals": TOLD["totals"]})[0]["totals"].reshape(-1, 2).sum(axis=0)
+        n_train = int(totals[1]) + n_ends
+        n_distinct = int(totals[0]) + (n_ends > 0)
         order = np.argsort(told["key"])
         ranked, known = told["key"][order], told["count"][order]
         c = known[np.searchsorted(ranked, hashes)] if len(ranked) else np.zeros(len(hashes), np.int64)
@@ -349,6 +477,7 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
         base = np.bincount(doc, np.log10(c + 1) - total, minlength=rows.num_rows) + np.log10(n_ends + 1) - total
         n_known = np.bincount(doc[c > 0], minlength=rows.num_rows) + (n_ends > 0)
         parts = [symbols(t) for t in rows.column("body").to_pylist()]
+        table = _told(parts, replies)
         sizes = np.array([len(p) for p in parts], np.int64)
         bits = np.zeros(rows.num_rows)
         for part in steps(sizes, LAYOUT):
@@ -372,17 +501,3 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
     )
     found = B.conclude(blocks, counts, judge, schema)
     return found.withColumnRenamed("doc_id", id_column).withColumnRenamed("learned", trained)
-
-
-def _totals(counts: DataFrame) -> np.ndarray:
-    """Distinct words that occur in training, and their occurrences."""
-
-    def add(batches):
-        total = np.zeros(2, np.int64)
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                total += np.frombuffer(x, "<i8") if x else 0
-        yield pa.RecordBatch.from_arrays([pa.array(total[:1]), pa.array(total[1:])], names=["words", "tokens"])
-
-    sums = counts.select("distinct").mapInArrow(add, "words bigint, tokens bigint").groupBy().sum().first()
-    return np.array([x or 0 for x in sums])

@@ -93,3 +93,38 @@ def test_nothing_to_learn_from(spark):
     found = L.score(docs, "own", table_bits=12).collect()
     assert {(r["train_tokens"], r["n_known"], r["base_score"]) for r in found} == {(0, 0, 0.0)}
     assert L.score(docs.where(F.lit(False)), "own", table_bits=12).count() == 0
+
+
+def test_every_context_has_counts_of_its_own(model):
+    tree = model[0]
+    parts = [L.symbols(t) for t in (b"the cat sat on the mat", b"", "été the hat".encode(), b"unseen words")]
+    learned = np.array([True, True, True, False])
+    keys, seen = L.held(parts, learned, None)
+    values, starts = L.bit_values(keys, seen, tree)
+    data, offsets = L.lay_out(parts)
+    bits = L.bits_of(data, offsets, tree)
+    found = list(L.Known(keys, starts, values, None).inputs(data, offsets, bits))
+    paths = [[(int(tree.node[b, j]), int(tree.bit[b, j])) for j in range(tree.length[b])] for b in range(256)]
+
+    def places(part):
+        for i, b in enumerate(part):
+            word = part[:i].rsplit(b" ", 1)[-1][-L.WORD_REACH :]
+            yield b, [*((k, (b"\n" * k + part[:i])[-k:]) for k in L.ORDERS), ("word", word)]
+
+    counts = Counter(
+        (c, node, bit) for p, own in zip(parts, learned, strict=True) if own for b, cs in places(p) for c in cs for node, bit in paths[b]
+    )
+    want = [
+        [math.log((counts[cs[k], node, 1] + 0.4) / (counts[cs[k], node, 0] + 0.4)) for p in parts for b, cs in places(p) for node, _ in paths[b]]
+        for k in range(L.CONTEXTS)
+    ]
+    assert np.allclose(np.array(found) / L.SCALE, want, atol=1 / L.SCALE)
+
+
+def test_contexts_do_not_crowd_each_other_out(spark):
+    """More contexts than a table of 2^22 slots would hold, each seen about once."""
+    draw = np.random.default_rng(4)
+    texts = [bytes(draw.integers(0x21, 0x41, 50_000, np.uint8)).decode() for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("own", F.lit(True))
+    found = L.score(docs.repartition(4), "own").agg(F.avg("bits_per_byte")).first()[0]
+    assert found < 3.0, found
