@@ -4,9 +4,10 @@ A text is its lower-cased words, a space after each, and an end. Every byte is a
 path of bits through a Huffman tree. For each of several contexts (the last two to
 four bytes, the word so far) it is known how often a bit was 0 and 1 after that
 context at that node, over all training texts. The predictions are mixed in the
-logistic domain. Weights learn online as the bits of a segment of a text are seen; a
-gate picks among sets of them by how well the bits before were predicted. The cost of
-all bits gives the log-probability and the bits per byte.
+logistic domain. Weights learn online from the first to the last bit of a text; a gate
+picks among sets of them by how well the bits before were predicted. The mixed
+probability is refined by a table of corrections by its size, learned online too. The
+cost of all bits gives the log-probability and the bits per byte.
 
 Blocks of documents ask for the contexts they hold and the bytes after them, as they
 ask for words: what is known grows with the corpus, and no two contexts share counts.
@@ -34,13 +35,15 @@ SPACE, END = 0x20, 0x0A
 ORDERS = (2, 3, 4)
 #: Bytes of it at most, the last ones of a longer word.
 WORD_REACH = 6
-#: Bits that are mixed with the same weights, and blocks of them after which the
-#: weights start anew.
+#: Bits that are mixed with the same weights.
 BLOCK = 64
-SEGMENT = 64
 #: Costs of a bit in the block before that pick the weights.
 GATES = (0.25, 0.6)
 RATE = 0.002
+#: Mixed predictions, log(p / (1 - p)), are refined by the whole number next to them,
+#: up to this one; the corrections learn at a rate of their own.
+REACH = 8
+REFINE_RATE = 0.005
 FIRST_WEIGHTS = (0.1, 0.2, 0.45, 0.5)
 #: Bytes of text whose bits are laid out at once.
 LAYOUT = 1 << 19
@@ -245,9 +248,9 @@ def slot_inputs(table: np.ndarray, data: np.ndarray, offsets: np.ndarray, bits:
 def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> np.ndarray:
     """Bits that the mixed model spends on each text.
 
-    A lane is a segment of a text, a run of blocks of ``BLOCK`` bits. All lanes move
-    on by a block at a time: predict its bits with the weights that the gate picks,
-    pay for them, then let the weights learn from them.
+    A lane is a text, a run of blocks of ``BLOCK`` bits. All lanes move on by a block
+    at a time: predict its bits with the weights that the gate picks, correct the
+    predictions, pay for them, then let weights and corrections learn from them.
     """
     data, offsets = lay_out(parts)
     bits = bits_of(data, offsets, tree, BLOCK)
@@ -258,15 +261,12 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> n
         inputs[k] *= 1 / SCALE
     signs = (np.where(bits.bit, np.int8(-1), np.int8(1)) * bits.real).reshape(-1, BLOCK)
     spare = BLOCK - np.count_nonzero(signs, axis=1)
-    n_lanes = -(-bits.blocks // SEGMENT)
-    owner = np.repeat(np.arange(len(parts)), n_lanes)
-    nth = SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(n_lanes) - n_lanes, n_lanes))
-    begin = (np.cumsum(bits.blocks) - bits.blocks)[owner] + nth
-    width = np.minimum(SEGMENT, bits.blocks[owner] - nth)
+    begin, width, owner = np.cumsum(bits.blocks) - bits.blocks, bits.blocks, np.arange(len(parts))
     order = np.argsort(-width, kind="stable")
     owner, begin, width = owner[order], begin[order], width[order]
     weights = np.tile(np.array(FIRST_WEIGHTS, np.float32), (len(owner), len(GATES) + 1, 1))
     gate = np.ones(len(owner), np.int64)
+    corrections = np.zeros(len(owner) * (2 * REACH + 1), np.float32)
     cost = np.zeros(len(owner))
     for t in range(int(width.max(initial=0))):
         n = int(np.searchsorted(-width, -t, "left"))
@@ -274,6 +274,9 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> n
         x, sign = inputs[:, at], signs[at]
         w = weights[lane, gate[:n]]
         z = np.einsum("klt,lk->lt", x, w)
+        near = np.rint(np.clip(z, -REACH, REACH)).astype(np.int64)
+        near += ((2 * REACH + 1) * lane + REACH)[:, None]
+        z += corrections[near]
         # the signs are -1 for a 1, 1 for a 0 and 0 for filling, which costs 1 bit
         z *= sign
         np.minimum(z, 60, out=z)
@@ -285,6 +288,8 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> n
         cost[:n] += bill
         w -= RATE * np.einsum("klt,lt->lk", x, e)
         weights[lane, gate[:n]] = w
+        learned = np.bincount(near.ravel(), e.ravel(), minlength=n * (2 * REACH + 1))
+        corrections[: len(learned)] -= REFINE_RATE * learned
         gate[:n] = np.searchsorted(GATES, bill / (BLOCK - spare[at]))
     return np.bincount(owner, cost, minlength=len(parts))
 
@@ -480,8 +485,10 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
         table = _told(parts, replies)
         sizes = np.array([len(p) for p in parts], np.int64)
         bits = np.zeros(rows.num_rows)
-        for part in steps(sizes, LAYOUT):
-            bits[part] = code_lengths(parts[part], tree, table)
+        order = np.argsort(-sizes, kind="stable")  # lanes of like length move on together
+        ranked = [parts[i] for i in order]
+        for part in steps(sizes[order], LAYOUT):
+            bits[order[part]] = code_lengths(ranked[part], tree, table)
         return pa.table(
             {
                 "doc_id": rows.column("row_id"),

@@ -128,3 +128,17 @@ def test_contexts_do_not_crowd_each_other_out(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("own", F.lit(True))
     found = L.score(docs.repartition(4), "own").agg(F.avg("bits_per_byte")).first()[0]
     assert found < 3.0, found
+
+
+def test_a_long_text_keeps_what_its_mixer_learned(model):
+    """A stretch that comes again costs less, far beyond the first 4,096 bits."""
+    stretch = L.symbols(b"a dog sat on the hat zq " * 200)[:-1]
+    costs = np.diff([0, *(L.code_lengths([stretch * k], *model)[0] for k in (1, 2, 3, 4))])
+    assert costs[3] < 0.97 * costs[0] and costs[3] <= costs[1] * 1.001
+
+
+def test_the_mixed_probability_is_refined(model, monkeypatch):
+    text = [L.symbols(b"xq zzv the jkw cat pqx " * 300)]
+    refined = L.code_lengths(text, *model)[0]
+    monkeypatch.setattr(L, "REFINE_RATE", 0.0)
+    assert refined < L.code_lengths(text, *model)[0]
