@@ -16,16 +16,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import hashed_sample, joined, steps, text_of
+from dayledger.llm.common import joined, steps, text_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-#: Most labelled texts the network is trained on, and windows of each.
+#: Most labelled texts the network is trained on, unless more languages than that are
+#: labelled, and windows of each.
 SAMPLE_ROWS = 3000
 SAMPLE_WINDOWS = 3
 UNDETERMINED = "und"
@@ -144,9 +145,10 @@ def fit(
     label: str = "lang",
     sample_rows: int = SAMPLE_ROWS,
 ) -> Network | None:
-    """Train on windows of at most ``sample_rows`` rows, those with the smallest
-    hash of the id. Rows without label or letter are no examples; without any
-    example there is no network (None)."""
+    """Train on windows of about ``sample_rows`` rows, those with the smallest hash of
+    the id for each label. Labels share the rows evenly: rare ones are learned whole,
+    and every label has a row at least. Rows without label or letter are no examples;
+    without any example there is no network (None)."""
     whole = text_of(text)
     labelled = labelled.where(F.col(label).isNotNull())
     size = F.greatest(F.char_length(whole) - WINDOW, F.lit(0)) + 1
@@ -156,10 +158,13 @@ def fit(
             for k in range(SAMPLE_WINDOWS)
         )
     )
-    examples = labelled.where(has_letter(whole)).select(
+    labelled = labelled.where(has_letter(whole))
+    sizes = {r[0]: r[1] for r in labelled.groupBy(F.col(label)).count().collect()}
+    shares = {x: (n, own) for (x, n), own in zip(sizes.items(), even_shares(list(sizes.values()), sample_rows), strict=True)}
+    examples = labelled.select(
         F.xxhash64(F.col(id_column)).alias("h"), F.col(label).alias("label"), windows.alias("windows")
     )
-    rows = hashed_sample(examples, sample_rows, labelled.count()).collect()
+    rows = sample_by_label(examples, shares).collect() if shares else []
     rows.sort(key=lambda r: (r["h"], r["label"], r["windows"]))
     if not rows:
         return None
@@ -172,6 +177,29 @@ def fit(
     return train(data, np.array([t for _, t in pairs]), labels)
 
 
+def even_shares(sizes: list[int], total: int) -> list[int]:
+    """How many of each size to take: all of the small ones, as many of each other as
+    ``total`` leaves, one at least."""
+    taken, left = [0] * len(sizes), total
+    order = sorted(range(len(sizes)), key=lambda i: sizes[i])
+    for k, i in enumerate(order):
+        taken[i] = min(sizes[i], max(1, left // (len(order) - k)))
+        left -= taken[i]
+    return taken
+
+
+def sample_by_label(examples: DataFrame, shares: dict) -> DataFrame:
+    """Of each label the rows with the smallest ``h``: ``shares`` has its rows and how
+    many to take. A bound on the hash leaves about twice as many before they are
+    ranked by label, map side first."""
+    bounds = [(x, own, (1 << 63) - 1 if n <= 4 * own else -(1 << 63) + int(2 * own / n * (1 << 64))) for x, (n, own) in shares.items()]
+    kind = examples.schema["label"].dataType.simpleString()
+    wanted = examples.sparkSession.createDataFrame(bounds, f"label {kind}, own long, bound long")
+    near = examples.join(F.broadcast(wanted), "label").where("h <= bound")
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
+    return near.withColumn("rank", rank).where("rank <= own").select("h", "label", "windows")
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 

@@ -72,3 +72,16 @@ def test_nothing_to_learn_from(spark):
     docs = documents(spark).withColumn("lang", F.lit(None).cast("string"))
     assert L.fit(docs) is None
     assert {r["lang_pred"] for r in L.predict(docs, None).collect()} == {"und"}
+
+
+def test_rare_languages_and_rows_without_letters(spark, monkeypatch):
+    """A label on 3 of 4,003 rows is learned, and rows without a letter take no place."""
+    rows = [(k, f"common words {k}", "aa") for k in range(1000)] + [(k, f"other words {k}", "bb") for k in range(1000, 1200)]
+    rows += [(k, "12 34", "aa") for k in range(2000, 4800)] + [(k, f"seldom {k}", "cc") for k in range(5000, 5003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    monkeypatch.setattr(L, "train", lambda data, targets, labels: seen.update(n=np.bincount(targets).tolist(), labels=labels))
+    L.fit(docs, sample_rows=100)
+    assert seen == {"n": [49, 48, 3], "labels": ["aa", "bb", "cc"]} or seen == {"n": [48, 49, 3], "labels": ["aa", "bb", "cc"]}
+    L.fit(docs, sample_rows=2)
+    assert seen["labels"] == ["aa", "bb", "cc"]
