@@ -12,6 +12,7 @@ from dayledger.llm import (
     language_id,
     line_dedup,
     lm_scoring,
+    merkle,
     sentencepiece_scan,
     simhash,
     substring_dedup,
@@ -213,6 +214,75 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of every document in a Merkle tree of languages, folded again after
+    tampering with every seventh or so."""
+    return merkle.manifest(table(spark, folder, "documents"), fold("doc_id", 7, 0))
+
+
+#: crc32 byte by byte: the polynomial is its fixed value.
+OP13_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, lang, coalesce('=' || lang, '') AS tree, n_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail,
+         xor(list_reduce(
+           list_concat([4294967295::UBIGINT],
+                       list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x)::UBIGINT)),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)::UBIGINT[]),
+             lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
+           4294967295::UBIGINT) % 7 = 0 AS tampered
+  FROM documents),
+l AS (
+  SELECT doc_id, tree, tampered,
+         sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS changed
+  FROM t),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM l),
+nodes AS (
+  SELECT tree, 0 AS level, i, n, leaf AS h FROM r
+  UNION ALL
+  SELECT tree, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY tree, level + 1, i // 2),
+subroots AS (
+  SELECT tree, h, level, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, i, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM upper WHERE n > 1 GROUP BY level + 1, i // 2),
+steps AS (
+  SELECT r.tree, r.i, p.level AS step, s.h AS sibling, s.i < p.i AS before
+  FROM r JOIN nodes p ON p.tree = r.tree AND p.n > 1 AND p.i = r.i // (1 << p.level)
+  LEFT JOIN nodes s ON s.tree = p.tree AND s.level = p.level AND s.i = xor(p.i, 1)
+  UNION ALL
+  SELECT r.tree, r.i, b.level + p.level, s.h, s.i < p.i
+  FROM r JOIN subroots b USING (tree) JOIN upper p ON p.n > 1 AND p.i = b.i // (1 << p.level)
+  LEFT JOIN upper s ON s.level = p.level AND s.i = xor(p.i, 1)),
+proofs AS (
+  SELECT tree, i, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256,
+         list(coalesce(sibling, '') ORDER BY step) AS siblings, list(coalesce(before, false) ORDER BY step) AS befores
+  FROM steps GROUP BY tree, i),
+folding AS (
+  SELECT tree, i, 0 AS step, CASE WHEN tampered THEN changed ELSE leaf END AS h FROM r
+  UNION ALL
+  SELECT f.tree, f.i, f.step + 1,
+         CASE WHEN befores[f.step + 1] THEN sha256(siblings[f.step + 1] || h) ELSE sha256(h || siblings[f.step + 1]) END
+  FROM folding f JOIN proofs USING (tree, i) WHERE f.step < len(siblings)),
+folded AS (SELECT tree, i, max_by(h, step) AS folded_root FROM folding GROUP BY tree, i)
+SELECT r.doc_id, r.leaf, b.h AS subroot, u.h AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+       f.folded_root, f.folded_root = u.h AS verified, r.i AS leaf_rank
+FROM r JOIN subroots b USING (tree) JOIN folded f ON f.tree = r.tree AND f.i = r.i
+LEFT JOIN proofs p ON p.tree = r.tree AND p.i = r.i
+CROSS JOIN (SELECT h FROM upper WHERE n = 1) u
+"""
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -224,6 +294,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
@@ -231,4 +302,5 @@ ORACLES = {
     "op5_substring_dedup": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_decontamination": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
