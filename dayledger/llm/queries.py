@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm import (
+    conversations,
     decontaminate,
     exact_dedup,
     language_id,
@@ -214,25 +215,104 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, and the cheapest edits that mend it."""
+    return conversations.repair(conversations.damage(table(spark, folder, "conversations")))
+
+
+#: crc32 of an ASCII text, byte by byte: the polynomial is its fixed value.
+CRC32_SQL = """xor(list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(string_split({}, ''), lambda x: ord(x)::UBIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)::UBIGINT[]),
+      lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
+    4294967295::UBIGINT)"""
+
+
+def _edits_sql(state: int) -> str:
+    """The cheapest of the edits of a row, least letter first, then insertions."""
+    following = conversations.NEXT[state]
+    role = conversations.ROLE[following]
+    kept = {role: then for (s, role), then in conversations.KEPT.items() if s == state}
+    keep = " ".join(
+        f"WHEN class = '{'sua'[c]}' THEN {{'c': late + s{then}.c, 'a': 'K' || s{then}.a, 'r': line || s{then}.r}}"
+        for c, then in kept.items()
+    )
+    return f"""list_sort([
+      {{'c': 4 + s{state}.c, 'a': 'D' || s{state}.a, 'r': s{state}.r}},
+      CASE WHEN must THEN NULL ELSE {{'c': 3 + late + s{following}.c, 'a': 'R' || s{following}.a,
+                                     'r': chr(10) || '{role}:' || text || s{following}.r}} END,
+      CASE WHEN must THEN NULL {keep} END])[1] AS b{state}"""
+
+
+def _insert_sql(state: int) -> str:
+    one = conversations.NEXT[state]
+    two = conversations.NEXT[one]
+    first, second = (f"chr(10) || '{conversations.ROLE[q]}:'" for q in (one, two))
+    return f"""list_sort([b{state},
+      {{'c': 3 + b{one}.c, 'a': 'I' || b{one}.a, 'r': {first} || b{one}.r}},
+      {{'c': 6 + b{two}.c, 'a': 'II' || b{two}.a, 'r': {first} || {second} || b{two}.r}}])[1] AS s{state}"""
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE f AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC32_SQL.format("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")}
+           % 20 AS fault
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy FROM f WHERE fault <> 0)),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d),
+r AS (
+  SELECT *, substr(role, 1, 1) AS class, chr(10) || role || ':' || text AS line,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS kind
+  FROM o),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (kind = 'blank') AS blank, count(*) FILTER (kind = 'duplicate') AS duplicate,
+         count(*) FILTER (kind = 'truncated') AS truncated,
+         count(*) FILTER (earlier || class NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+ends AS (
+  SELECT {{'c': 0, 'a': '', 'r': ''}} AS s0,
+         {{'c': 6, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s1,
+         {{'c': 3, 'a': 'I', 'r': chr(10) || 'assistant:'}} AS s2, {{'c': 0, 'a': '', 'r': ''}} AS s3),
+dp AS (
+  SELECT c.conv_id, CAST(coalesce(max(r.i), 0) AS BIGINT) AS i, any_value(s0) AS s0, any_value(s1) AS s1,
+         any_value(s2) AS s2, any_value(s3) AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id, ends
+  GROUP BY c.conv_id
+  UNION ALL
+  SELECT conv_id, i - 1, {", ".join(_insert_sql(q) for q in range(4))}
+  FROM (SELECT dp.conv_id, dp.i, {", ".join(_edits_sql(q) for q in range(4))}
+        FROM dp JOIN (SELECT conv_id, i, class, line, text, coalesce(kind IN ('blank', 'duplicate'), false) AS must,
+                             CASE WHEN kind = 'truncated' THEN 3 ELSE 0 END AS late FROM r) r
+          ON r.i = dp.i AND r.conv_id IS NOT DISTINCT FROM dp.conv_id))
+SELECT dp.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(s0.c AS BIGINT) AS cost,
+       s0.a AS audit, sha256(substr(s0.r, 2)) AS repaired_sha256
+FROM dp LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM dp.conv_id WHERE i = 0
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Proofs of every document in a Merkle tree of languages, folded again after
     tampering with every seventh or so."""
     return merkle.manifest(table(spark, folder, "documents"), fold("doc_id", 7, 0))
 
 
-#: crc32 byte by byte: the polynomial is its fixed value.
-OP13_SQL = r"""
+OP13_SQL = rf"""
 WITH RECURSIVE t AS (
   SELECT doc_id, lang, coalesce('=' || lang, '') AS tree, n_chars,
          coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
            || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
          coalesce(strlen(text) || ':' || text, '-') AS tail,
-         xor(list_reduce(
-           list_concat([4294967295::UBIGINT],
-                       list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x)::UBIGINT)),
-           lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)::UBIGINT[]),
-             lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
-           4294967295::UBIGINT) % 7 = 0 AS tampered
+         {CRC32_SQL.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 AS tampered
   FROM documents),
 l AS (
   SELECT doc_id, tree, tampered,
@@ -294,6 +374,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -302,5 +383,6 @@ ORACLES = {
     "op5_substring_dedup": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
