@@ -10,6 +10,7 @@ from dayledger.llm import (
     conversations,
     decontaminate,
     exact_dedup,
+    html_extract,
     language_id,
     line_dedup,
     lm_scoring,
@@ -215,6 +216,12 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page, by the templates of its host."""
+    found = html_extract.extract(table(spark, folder, "pages"))
+    return found.select("rest.page_id", "rest.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults of every damaged conversation, and the cheapest edits that mend it."""
     return conversations.repair(conversations.damage(table(spark, folder, "conversations")))
@@ -374,6 +381,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_html_extraction": op11_html_extraction,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
