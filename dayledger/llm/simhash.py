@@ -80,8 +80,8 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return rows.mapInArrow(compute, f"row_id {kind}, row_hash bigint, bits bigint")
 
 
-def row_hash(id_column: str, text: str) -> Column:
-    return F.xxhash64(F.col(id_column), F.col(text))
+def row_hash(id_column: str, text: str, *more: Column) -> Column:
+    return F.xxhash64(F.col(id_column), F.col(text), *more)
 
 
 # --- the tree ----------------------------------------------------------------
@@ -278,29 +278,47 @@ def near_duplicates(
     count as smallest unless a component has no other. Repeated rows stay repeated;
     an empty table gives no rows; other columns are not read.
     """
+    found = rooted(docs, id_column, text, shingle, max_bits)
+    return found.withColumnRenamed("row_id", id_column).drop("root")
+
+
+def rooted(docs: DataFrame, id_column: str, text: str, shingle: int, max_bits: int) -> DataFrame:
+    """``row_id, fingerprint, component_id, row_hash`` and ``root``, a fingerprint of
+    the component: components of one smallest id, as of repeated ids, differ in it."""
     rows = stage(fingerprints(docs, id_column, text, shingle), "fingerprints")
     classes = stage(rows.groupBy("bits").agg(F.min("row_id").alias("least")), "classes")
     joins = components(links(classes.select("bits"), max_bits))
-    rooted = classes.join(joins.withColumnRenamed("node", "bits"), "bits", "left").withColumn(
+    placed = classes.join(joins.withColumnRenamed("node", "bits"), "bits", "left").withColumn(
         "root", F.coalesce("root", "bits")
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("bits", "component_id")
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = placed.join(least, "root").select("bits", "root", "component_id")
     return rows.join(named, "bits").select(
-        F.col("row_id").alias(id_column),
+        "row_id",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
         "row_hash",
+        "root",
     )
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id, and of rows
-    that repeat it that of the smallest hash of id and text, once."""
-    found = near_duplicates(docs, id_column, text, **options)
-    first = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
-    # a component without any id is known by its fingerprints' ids, all of them null
-    ids = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("?"), F.col("fingerprint")))
-    kept = first.groupBy(ids.alias("component")).agg(F.min("row_hash").alias("row_hash")).select("row_hash")
-    box = boxed(docs, text).withColumn("row_hash", row_hash(f"rest.`{id_column}`", "text"))
-    return unboxed(box.join(kept.distinct(), "row_hash", "left_semi").dropDuplicates(["row_hash"]), docs, text)
+def keep_one(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null ids
+    last, and of rows that repeat it that of the smallest hash of id and text, once.
+    Rows of one id whose texts are not linked are components of their own."""
+    found = rooted(docs, id_column, text, shingle, max_bits)
+    first = F.min(F.struct(F.col("row_id").isNull().alias("last"), "row_id", "row_hash")).alias("first")
+    kept = found.groupBy("root").agg(first).select("first.row_id", "first.row_hash").distinct()
+    # two hashes and the id: that different rows agree in all is out of the question
+    box = boxed(docs, text).withColumns(
+        {"row_hash": row_hash(f"rest.`{id_column}`", "text"), "again": row_hash(f"rest.`{id_column}`", "text", F.lit(1))}
+    )
+    same = (F.col("rest")[id_column].eqNullSafe(F.col("row_id"))) & (F.col("row_hash") == F.col("kept_hash"))
+    rows = box.join(kept.withColumnRenamed("row_hash", "kept_hash"), same, "left_semi")
+    return unboxed(rows.dropDuplicates(["row_hash", "again"]), docs, text)

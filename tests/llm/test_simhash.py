@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
-from odd import TEXTS, documents
+from odd import TEXTS, documents, plain
 from pyspark.sql import functions as F
 
 from dayledger.llm import simhash as S
@@ -106,12 +106,26 @@ def test_one_row_of_each_component_stays(spark):
     kept = S.keep_one(docs)
     assert kept.columns == docs.columns
     rows = kept.select("doc_id", "text", "found").collect()
-    everything = S.near_duplicates(docs).collect()
-    assert len(rows) == len({(r["component_id"], None if r["component_id"] is not None else r["fingerprint"]) for r in everything})
+    want = groups(np.array([by_hand(t) for _, t in TEXTS], np.uint64), 2)
+    member = {(i, t): g for (i, t), g in zip(TEXTS, want, strict=True)}
+    assert sorted(member[r["doc_id"], r["text"]] for r in rows) == sorted(set(want))
+    least = {}
+    for (i, _), g in zip(TEXTS, want, strict=True):
+        if i is not None:
+            least[g] = min(least.get(g, i), i)
+    assert all(r["doc_id"] == least.get(member[r["doc_id"], r["text"]]) for r in rows)
     assert all(r["found"] == "own found" for r in rows)
     assert S.keep_one(docs.where(F.lit(False))).count() == 0
 
 
+def test_unrelated_texts_of_one_id_both_stay(spark):
+    texts = ["alpha beta gamma delta epsilon", "one two three four five six seven", "alpha beta gamma delta epsilon"]
+    docs = plain(spark, [(7, t) for t in texts] + [(None, "un id nul tout seul ici"), (None, "another without an id")])
+    kept = sorted((r["doc_id"], r["text"]) for r in S.keep_one(docs).where("doc_id is not null").collect())
+    assert kept == [(7, texts[0]), (7, texts[1])]
+    assert S.keep_one(docs).where("doc_id is null").count() == 2
+
+
 def test_sample_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
     rows = docs.select("doc_id", "text").collect()
