@@ -13,17 +13,13 @@ from pyspark.sql import functions as F
 from dayledger.llm import decontaminate, language_id, line_dedup, sentencepiece_scan, simhash
 from dayledger.llm.common import boxed, stage, table, unboxed
 
-#: A language less likely than this is no finding; the network knows a handful.
-MIN_LANGUAGE_SCORE = 0.4
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the network; null texts and texts without a
     letter go. Where no document names its language, none is known and all go."""
     net = language_id.fit(docs)
     found = language_id.predict(boxed(docs), net)
-    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return unboxed(found.where(known), docs)
+    return unboxed(found.where(F.col("lang_pred") != language_id.UNDETERMINED), docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
