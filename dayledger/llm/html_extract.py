@@ -357,7 +357,7 @@ def extract(pages: DataFrame, url: str = "url", text: str = "html") -> DataFrame
         "rest",
     )
     keyed = rows.withColumn("page", F.xxhash64(F.col("rest").cast("string"), "text"))
-    found = stage(templates(vectors(keyed)), "page-templates")
+    found = stage(templates(stage(vectors(keyed), "page-vectors")), "page-templates")
     size = found.agg(F.sum(F.aggregate("classes", F.lit(0), lambda n, c: n + F.size(c["tokens"])))).first()[0] or 0
     if size <= SENT_TOKENS:
         joined = keyed.join(F.broadcast(found.withColumnRenamed("host", "of")), F.col("host") == F.col("of"), "left")
