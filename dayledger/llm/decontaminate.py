@@ -24,6 +24,7 @@ from dayledger.llm.common import (
     joined,
     stage,
     steps,
+    tidy,
     unboxed,
     word_spans,
 )
@@ -230,7 +231,7 @@ def find_items(
                     schema=batch.schema,
                 )
 
-        result = result.mapInArrow(scan, schema)
+        result = result.mapInArrow(tidy(scan), schema)
         if not last:
             result = stage(result, "decontaminate")
     return result
@@ -280,7 +281,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", cov
                     texts[i] = without_words(texts[i], [(s["first"], s["past"]) for s in own])
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return unboxed(kept.mapInArrow(cut, kept.schema), docs, text, F.size("found.spans") > 0)
+    return unboxed(kept.mapInArrow(tidy(cut), kept.schema), docs, text, F.size("found.spans") > 0)
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:

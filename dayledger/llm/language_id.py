@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import joined, steps, text_of
+from dayledger.llm.common import joined, steps, text_of, tidy
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -256,4 +256,4 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
                 schema=batch.schema,
             )
 
-    return marked.mapInArrow(score, marked.schema)
+    return marked.mapInArrow(tidy(score), marked.schema)

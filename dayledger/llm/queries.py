@@ -108,6 +108,7 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_scan.round_trips(docs, model).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
         F.xxhash64("ids").alias("ids_hash"),
         "round_trip",
     )

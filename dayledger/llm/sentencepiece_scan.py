@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import text_of
+from dayledger.llm.common import text_of, tidy
 
 SPACE = "▁"
 #: Characters of a chunk; longer texts are giant.
@@ -330,12 +330,6 @@ def raw_pieces(proto: bytes) -> list[bytes]:
     return out
 
 
-def decoded(raw: list[bytes], ids: list[int]) -> str:
-    """The text of some ids; bytes that are no UTF-8 become U+FFFD."""
-    text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if text.startswith(" ") else text
-
-
 WORD = re.compile(" *[^ ]+| +")
 
 
@@ -427,15 +421,19 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", chunk: int = CH
             yield batch.set_column(at, batch.schema.field(at), ids.cast(batch.schema.field(at).type))
         lattice.release()
 
-    giant = docs.where(size > chunk)
+    giants = _giants(docs.where(size > chunk), shared, text, chunk)
+    return whole.mapInArrow(tidy(encode_whole), whole.schema).unionByName(giants)
+
+
+def _giants(docs: DataFrame, shared, text: str, chunk: int) -> DataFrame:
+    """``docs``, all of giant texts, with their ``ids``; equal texts are worked on once."""
     name = "giant_text_key"
     while name in docs.columns:
         name += "_"
-    keyed = giant.withColumn(name, F.sha2(F.col(text).cast("binary"), 256))
+    keyed = docs.withColumn(name, F.sha2(F.col(text).cast("binary"), 256))
     texts = keyed.select(F.col(name).alias("key"), F.col(text).alias("text")).dropDuplicates(["key"])
     ids = _encode_giant(texts, shared, chunk)
-    joined = keyed.join(ids.withColumnRenamed("key", name), name).select(*docs.columns, "ids")
-    return whole.mapInArrow(encode_whole, whole.schema).unionByName(joined)
+    return keyed.join(ids.withColumnRenamed("key", name), name).select(*docs.columns, "ids")
 
 
 def _encode_giant(texts: DataFrame, shared, chunk: int) -> DataFrame:
@@ -523,40 +521,107 @@ def _encode_giant(texts: DataFrame, shared, chunk: int) -> DataFrame:
 
     chunks = texts.mapInArrow(split, "key string, k int, stretch string, low int, high int").repartition("key", "k")
     states = (
-        chunks.mapInArrow(matrices, f"key string, k int, entries {_ENTRIES}")
+        chunks.mapInArrow(tidy(matrices), f"key string, k int, entries {_ENTRIES}")
         .groupBy("key")
         .applyInArrow(scan, "key string, k int, a int, b int, c int, d int")
     )
     return (
         chunks.join(states, ["key", "k"])
-        .mapInArrow(trace, "key string, k int, part binary")
+        .mapInArrow(tidy(trace), "key string, k int, part binary")
         .groupBy("key")
         .applyInArrow(gather, "key string, ids array<int>")
     )
 
 
+class Pieces:
+    """The bytes of all pieces one after the other, so that ids become bytes by
+    gathering."""
+
+    def __init__(self, proto: bytes):
+        raw = raw_pieces(proto)
+        self.data = np.frombuffer(b"".join(raw), np.uint8)
+        self.sizes = np.array([len(p) for p in raw], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def __call__(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of texts of so many ids each; the first space is the model's."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        data = self.data[at].tobytes()
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        texts = [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        return [t[1:] if t[:1] == b" " else t for t in texts]
+
+
+_pieces: dict[int, Pieces] = {}
+
+
+def _piece_bytes(shared) -> Pieces:
+    key = hash(shared.value)
+    if key not in _pieces:
+        _pieces.clear()
+        _pieces[key] = Pieces(shared.value)
+    return _pieces[key]
+
+
+def _flat(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some lists, and how many each has; null lists have none."""
+    ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+    counts = np.diff(ids.offsets.to_numpy())
+    if ids.null_count:
+        counts = np.where(ids.is_valid().to_numpy(zero_copy_only=False), counts, 0)
+    return ids.flatten().to_numpy(zero_copy_only=False), counts
+
+
 def decode(encoded: DataFrame, model_file: str, ids: str = "ids") -> DataFrame:
-    """``encoded`` with a column ``decoded``, the text of its ids; null for null."""
+    """``encoded`` with a column ``decoded``, the text of its ids; null for null. Bytes
+    that are no UTF-8 become U+FFFD."""
     with open(model_file, "rb") as file:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
     out = encoded.withColumn("decoded", F.lit(None).cast("string"))
 
     def run(batches):
-        raw = raw_pieces(shared.value)
+        pieces = _piece_bytes(shared)
         for batch in slices(batches):
-            own = batch.column(batch.schema.names.index(ids)).to_pylist()
-            texts = pa.array([None if x is None else decoded(raw, x) for x in own], pa.string())
+            own = batch.column(batch.schema.names.index(ids))
+            texts = [t.decode("utf-8", "replace") for t in pieces(*_flat(own))]
+            found = [t if there else None for t, there in zip(texts, own.is_valid().to_pylist(), strict=True)]
             at = batch.schema.names.index("decoded")
-            yield batch.set_column(at, batch.schema.field(at), texts)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(found, pa.string()))
 
-    return out.mapInArrow(run, out.schema)
+    return out.mapInArrow(tidy(run), out.schema)
 
 
-def round_trips(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
+def round_trips(docs: DataFrame, model_file: str, text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``docs`` without its texts, but with ``ids`` and ``round_trip``: whether they
-    decode to the text, by a 64-bit hash of it, as the texts do not travel along. The
-    character that stands for a space in pieces counts as a space."""
-    plain = F.xxhash64(F.translate(text_of(text), SPACE, " "))
-    encoded = encode(docs.withColumn("text_hash", plain), model_file, text).drop(text)
-    found = decode(encoded, model_file).withColumn("round_trip", F.xxhash64("decoded") == F.col("text_hash"))
-    return found.drop("decoded", "text_hash")
+    decode to the text. The character that stands for a space in pieces counts as a
+    space. Texts that are not giant are encoded and decoded by one task; those of
+    giants do not travel with their ids, but a 64-bit hash does."""
+    with open(model_file, "rb") as file:
+        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    docs = docs.drop("ids", "round_trip")
+    rest = [c for c in docs.columns if c != text]
+    size = F.char_length(text_of(text))
+    body = F.translate(text_of(text), SPACE, " ").alias("body")
+    small = docs.where(size <= chunk).select(F.struct(*(rest or [F.lit(True).alias("none")])).alias("rest"), body)
+    kind = dict(small.dtypes)["rest"]
+
+    def run(batches):
+        lattice, pieces = _lattice(shared), _piece_bytes(shared)
+        for batch in slices(batches):
+            texts = batch.column(1).to_pylist()
+            ids = _lists([lattice.encode(t) for t in texts])
+            same = [a == b.encode() for a, b in zip(pieces(*_flat(ids)), texts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), ids.cast(pa.list_(pa.int32())), pa.array(same, pa.bool_())], names=["rest", "ids", "round_trip"]
+            )
+        lattice.release()
+
+    done = small.mapInArrow(tidy(run), f"rest {kind}, ids array<int>, round_trip boolean")
+    hashed = docs.where(size > chunk).withColumn("text_hash", F.xxhash64(body))
+    giants = decode(_giants(hashed, shared, text, chunk).drop(text), model_file)
+    same = F.xxhash64("decoded") == F.col("text_hash")
+    return done.select(*(F.col(f"rest.`{c}`").alias(c) for c in rest), "ids", "round_trip").unionByName(
+        giants.select(*(F.col(f"`{c}`") for c in rest), "ids", same.alias("round_trip"))
+    )

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import boxed, hashed_sample, stage, text_of, unboxed
+from dayledger.llm.common import boxed, hashed_sample, stage, text_of, tidy, unboxed
 from dayledger.llm.components import components
 
 SHINGLE = 3
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bits], names=["row_id", "row_hash", "bits"])
 
     kind = dict(rows.dtypes)["row_id"]
-    return rows.mapInArrow(compute, f"row_id {kind}, row_hash bigint, bits bigint")
+    return rows.mapInArrow(tidy(compute), f"row_id {kind}, row_hash bigint, bits bigint")
 
 
 def row_hash(id_column: str, text: str, *more: Column) -> Column:
