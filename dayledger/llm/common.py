@@ -189,6 +189,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+HALF_BITS = 16
+HALF = 1 << HALF_BITS
+
+
 class WordHasher:
     """64-bit hashes of byte spans by prefix sums of a polynomial modulo 2^64."""
 
@@ -198,21 +202,33 @@ class WordHasher:
         self.values = values[FOLD_CASE] if fold_case else values
         self.base = int(draw.integers(1, 2**62)) * 4 + 3
         self.inverse = pow(self.base, -1, 2**64)
-        self._powers = self._inverses = np.zeros(0, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self._powers) < n:
-            n = max(n, STEP_BYTES + (STEP_BYTES >> 2))
-            for name, base in (("_powers", self.base), ("_inverses", self.inverse)):
-                table = np.full(n, base, np.uint64)
-                table[0] = 1
-                setattr(self, name, np.multiply.accumulate(table))
+        self._powers, self._inverses = (self._tables(b) for b in (self.base, self.inverse))
+
+    def _tables(self, base: int) -> list[np.ndarray]:
+        """Powers of low and high halves of exponents below 2^32: any power is a
+        product of two, so the tables stay small however long the texts."""
+        out = []
+        for step in (base, pow(base, HALF, 2**64)):
+            table = np.full(HALF, step, np.uint64)
+            table[0] = 1
+            out.append(np.multiply.accumulate(table))
+        return out
+
+    def _run(self, n: int) -> np.ndarray:
+        """The first ``n`` powers of the base."""
+        low, high = self._powers
+        rows = -(-n // HALF)
+        if rows > HALF:
+            raise ValueError("a text of more than 2^32 bytes")
+        return np.multiply.outer(high[:rows], low).ravel()[:n]
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self._powers[: len(data)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * self._inverses[starts]
+        terms = self._run(len(data))
+        terms *= self.values[data]
+        np.cumsum(terms, out=sums[1:])
+        low, high = self._inverses
+        h = (sums[ends] - sums[starts]) * low[starts & (HALF - 1)] * high[starts >> HALF_BITS]
         return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 

@@ -235,9 +235,12 @@ class Lattice:
                 memory.clear()
 
     def release(self) -> None:
-        """Forget all at the end of a task: idle workers keep what they remember."""
+        """Forget all at the end of a task, the model too: idle workers keep what they
+        remember, and a model is read again in a fraction of a second."""
         for memory in (self.words, self.known_parts, self.pairs, self.last, self.profiles):
             memory.clear()
+        _lattices.clear()
+        _pieces.clear()
 
     # --- chunks of a giant text ---
 
