@@ -94,6 +94,58 @@ def append_if_changed(
     return rows.join(keys, [*by, on, _RANK], "left_semi").select(*incoming.columns)
 
 
+def repair_late(
+    late: DataFrame,
+    stored: DataFrame,
+    reports: DataFrame,
+    by: Sequence[str],
+    on: str,
+    tracked: Sequence[str],
+    order: Sequence[str | Column],
+) -> DataFrame:
+    """What rows that come late change in a change-only history: rows to ``insert`` and
+    stored ones to ``retract`` (column ``action``), with ``by``, ``on`` and ``tracked``.
+
+    ``reports`` holds the (by, on) that were reported before. A day that was reported
+    but not stored had the state of the day before it, so the history need not be
+    rebuilt from raw rows: a late row can only change what is to be stored for itself
+    and for the next day that was reported. That day is stored anew where the late row
+    parted it from an equal one, and retracted where it now equals the late row.
+
+    Of late rows of one (by, on) the first by ``order`` counts; those of a day that was
+    reported before are dropped, as stored rows are final. Each day of an entity is
+    one row; ``on`` must bound their number. Null states and first states follow
+    :func:`append_if_changed`: a first state of nulls is not stored.
+    """
+    keys, state = [*by, on], F.struct(*tracked)
+    entities = late.select(*by).distinct()
+    days = reports.select(*keys).distinct()
+    new = anti_existing(first_per_key(late, keys, order), days, keys).select(*keys, state.alias("__late"))
+    known = stored.join(entities, list(by), "left_semi").select(*keys, state.alias("__stored"))
+    seen = days.join(entities, list(by), "left_semi")
+    # one row per (by, on): what is stored, what comes late, and days without either
+    rows = (
+        seen.unionByName(new, allowMissingColumns=True)
+        .unionByName(known, allowMissingColumns=True)
+        .groupBy(*keys)
+        .agg(F.first("__late", True).alias("__late"), F.first("__stored", True).alias("__stored"))
+    )
+    line = Window.partitionBy(*by).orderBy(on)
+    upto = line.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn(_STATE, F.coalesce("__late", F.last("__stored", True).over(upto)))
+    rows = rows.withColumns(
+        {_PREV: F.lag(_STATE).over(line), "__after_late": F.lag(F.col("__late").isNotNull()).over(line)}
+    )
+    is_late, is_stored = F.col("__late").isNotNull(), F.col("__stored").isNotNull()
+    changed = _changed(F.col(_PREV), F.col(_STATE), tracked)
+    after = F.coalesce("__after_late", F.lit(False))
+    action = F.when((is_late | after & ~is_stored) & changed, "insert").when(
+        ~is_late & after & is_stored & ~changed, "retract"
+    )
+    found = rows.withColumn("action", action).where("action is not null")
+    return found.select("action", *keys, *[F.col(_STATE)[c].alias(c) for c in tracked])
+
+
 def _changed(before: Column, now: Column, tracked: Sequence[str]) -> Column:
     changed = F.lit(False)
     for column in tracked:

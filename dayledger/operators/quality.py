@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ERROR, WARNING, SUCCESS, INFO = "ERROR", "WARNING", "SUCCESS", "INFO"
+ERROR, WARNING, SUCCESS, INFO = LEVELS = "ERROR", "WARNING", "SUCCESS", "INFO"
 
 FINDINGS = "findings"
 

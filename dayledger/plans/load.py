@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions.dates import cell_date
@@ -438,6 +438,15 @@ def load_summary(findings: DataFrame, inserted: Mapping[str, DataFrame]) -> Data
     return summary
 
 
+def counted_summary(
+    spark: SparkSession, levels: Mapping[str, int], inserted: Mapping[str, int]
+) -> DataFrame:
+    """The same from counts that writes took."""
+    lines = [("level", name, rows) for name, rows in levels.items() if rows]
+    lines += [("table", name, rows) for name, rows in inserted.items()]
+    return spark.createDataFrame(lines, "section string, name string, rows bigint")
+
+
 def summary_lines(summary: DataFrame) -> DataFrame:
     """Right-aligned report lines of a summary."""
     tail = F.when(
@@ -452,9 +461,12 @@ def load_reports(
     """Load sheets into the catalog. Running it again inserts nothing.
 
     Everything is computed and staged against the tables as they were before
-    any is appended to. ``load_date`` becomes ``created_at``. The findings are kept
-    in the catalog; the result reads staged copies, until ``catalog.release()``.
+    any is appended to. The nine appends are one write: readers see them when all are
+    done, and what a load left that broke off is removed first. ``load_date`` becomes
+    ``created_at``. The findings are kept in the catalog; the result reads staged
+    copies, until ``catalog.release()``. Its summary is counted by the writes.
     """
+    catalog.discard_open()
     tables = catalog.tables()
     files = catalog.stage(checked_files(rows, tables))
     records = catalog.stage(checked_records(rows, files, tables))
@@ -473,7 +485,10 @@ def load_reports(
         meters = inserted["flowmeters"]
         inserted["flowmeters"] = meters.where("inserted")
         inserted = {n: df.withColumn("created_at", F.lit(load_date)) for n, df in inserted.items()}
-        list(pool.map(lambda name: catalog.append(inserted[name], name), names))
+        write = catalog.journal.start()
+        done = dict(zip(names, pool.map(lambda n: catalog.append(inserted[n], n, write), names)))
+    catalog.finish(write, done)
     findings = all_findings(files, records, meters)
-    findings = catalog.log(findings.unionByName(all_outcomes(files, records, meters, inserted)))
-    return LoadResult(inserted, findings, load_summary(findings, inserted))
+    findings, levels = catalog.log(findings.unionByName(all_outcomes(files, records, meters, inserted)))
+    summary = counted_summary(catalog.spark, levels, {n: done[n].rows for n in names})
+    return LoadResult(inserted, findings, summary)

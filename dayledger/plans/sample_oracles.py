@@ -295,6 +295,32 @@ seen AS (
 SELECT well_id, d, event_id, category_id, sub_category_id, method_id FROM seen
 WHERE src = 1 AND (a IS DISTINCT FROM category_id OR b IS DISTINCT FROM sub_category_id
   OR c IS DISTINCT FROM method_id)""",
+    "state_snapshots": VIEWS
+    + """, both_tables AS (
+  SELECT 'well_stock' AS table_name, well_id, d, CAST(method_id AS DOUBLE) AS amount, d AS tie FROM fx_well_stock_raw
+  UNION ALL SELECT 'well_tests', well_id, d, liquid_ton, well_test_date FROM fx_well_tests),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY table_name, well_id ORDER BY d DESC, tie DESC) AS rn
+  FROM both_tables WHERE d < DATE '2024-01-26')
+SELECT table_name, well_id, CAST(date_diff('day', DATE '2015-01-01', d) + 1 AS INT) AS report_date_id,
+       round(amount, 9) AS amount FROM ranked WHERE rn = 1""",
+    "late_repair": VIEWS
+    + """, raw AS (
+  SELECT *, (day(d) + well_id) % 3 = 0 AS late FROM fx_well_stock_raw),
+before_late AS (
+  SELECT well_id, d, category_id, sub_category_id, method_id,
+         lag(category_id) OVER w AS a, lag(sub_category_id) OVER w AS b, lag(method_id) OVER w AS c
+  FROM raw WHERE NOT late WINDOW w AS (PARTITION BY well_id ORDER BY d)),
+after_late AS (
+  SELECT well_id, d, category_id, sub_category_id, method_id,
+         lag(category_id) OVER w AS a, lag(sub_category_id) OVER w AS b, lag(method_id) OVER w AS c
+  FROM raw WINDOW w AS (PARTITION BY well_id ORDER BY d)),
+old AS (SELECT well_id, d, category_id, sub_category_id, method_id FROM before_late
+  WHERE a IS DISTINCT FROM category_id OR b IS DISTINCT FROM sub_category_id OR c IS DISTINCT FROM method_id),
+new AS (SELECT well_id, d, category_id, sub_category_id, method_id FROM after_late
+  WHERE a IS DISTINCT FROM category_id OR b IS DISTINCT FROM sub_category_id OR c IS DISTINCT FROM method_id)
+SELECT 'insert' AS action, * FROM (SELECT * FROM new EXCEPT SELECT * FROM old)
+UNION ALL SELECT 'retract', * FROM (SELECT * FROM old EXCEPT SELECT * FROM new)""",
     "append_if_changed_repeated": _WALK
     + """, se AS (
   SELECT user_id AS well_id, d, event_id, k % 2 AS category_id, CASE WHEN k % 5 <> 0 THEN 1 + k % 2 END AS method_id

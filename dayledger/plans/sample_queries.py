@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,15 +23,18 @@ from dayledger.operators import allocation as A
 from dayledger.operators import maintenance as M
 from dayledger.operators import quality as Q
 from dayledger.operators.asof import State, asof_join, asof_join_many, densify
-from dayledger.operators.incremental import append_if_absent, append_if_changed, changes
+from dayledger.operators.incremental import append_if_absent, append_if_changed, changes, repair_late
 from dayledger.operators.lookup import Dimension, denormalise, lookup, prefix_lookup
 from dayledger.operators.meters import check_meters
+from dayledger.operators.picks import last_per_key
 from dayledger.plans import load as L
 from dayledger.plans import mart
 from dayledger.plans import rules as R
 from dayledger.sources import reports as P
+from dayledger.sources.catalog import Catalog
 from dayledger.sources.sample_sheets import SampleSheets
 from dayledger.sources.samples import Samples
+from dayledger.sources.schemas import FACTS
 from dayledger.sources.seeds import (
     CALENDAR_START,
     OLD_CALENDAR_START,
@@ -38,6 +42,7 @@ from dayledger.sources.seeds import (
     SUB_CATEGORY_RECODING,
     seed,
 )
+from dayledger.sources.staging import scratch, stage_at, stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,6 +219,45 @@ def append_if_changed_repeated(s: Samples) -> DataFrame:
     )
 
 
+SNAPSHOT_PERIOD = 7
+SNAPSHOT_DAYS = (dt.date(2024, 1, 9), dt.date(2024, 1, 18), dt.date(2024, 1, 26))
+
+
+def _number(day: dt.date) -> int:
+    return (day - CALENDAR_START).days + 1
+
+
+@query
+def state_snapshots(s: Samples) -> DataFrame:
+    """Stock and test states before a day, of tables that were stored in four writes,
+    the last of them late, from one snapshot and the periods that follow it."""
+    catalog = Catalog(s.spark, scratch(s.spark, "snapshots"), SNAPSHOT_PERIOD)
+    one, two, asked = map(_number, SNAPSHOT_DAYS)
+    day, is_late = F.col("report_date_id"), (F.col("well_id") % 5 == 0) & (F.col("report_date_id") < two)
+    writes = (~is_late & (day < one), ~is_late & day.between(one, two - 1), ~is_late & (day >= two), is_late)
+    found = None
+    for name, value in (("well_stock", "production_method_id"), ("well_tests", "liquid_ton")):
+        for batch in writes:
+            catalog.append(s.mart_tables[name].where(batch), name)
+        fact = FACTS[name]
+        rows = catalog.history(name, asked, asked).where(day < asked)
+        state = last_per_key(rows, fact.by, fact.state_order).select(
+            F.lit(name).alias("table_name"), "well_id", "report_date_id", _round(F.col(value).cast("double")).alias("amount")
+        )
+        found = state if found is None else found.unionByName(state)
+    return found
+
+
+@query
+def late_repair(s: Samples) -> DataFrame:
+    """What the rows of every third day, coming late, change in the stock history."""
+    raw = s.well_stock_raw.select("well_id", "d", "event_id", *STOCK)
+    is_late = (F.dayofmonth("d") + F.col("well_id")) % 3 == 0
+    known = raw.where(~is_late)
+    history = _stock_history(known)
+    return repair_late(raw.where(is_late), history, known, ["well_id"], "d", STOCK, ["event_id"])
+
+
 @query
 def change_detail(s: Samples) -> DataFrame:
     found = changes(s.completions_raw, ["well_id"], "d", ["horizon_id", "casing"])
@@ -231,15 +275,19 @@ RESULTS = {
 
 
 class SheetLoad:
-    """The load steps over the sample sheets, without a catalog to write to. What
-    several steps read is kept by Spark once it has been computed."""
+    """The load steps over the sample sheets, without a catalog to write to. Each step
+    is written once, as a load does, so later ones plan and read nothing but that."""
 
     def __init__(self, s: Samples):
+        self.folder = scratch(s.spark, "sheets")
         sheets = SampleSheets(s)
         self.tables = sheets.tables
-        self.rows = sheets.rows.persist()
-        self.files = L.checked_files(self.rows, self.tables).persist()
-        self.records = L.checked_records(self.rows, self.files, self.tables).persist()
+        self.rows = self.kept(sheets.rows)
+        self.files = self.kept(L.checked_files(self.rows, self.tables))
+        self.records = self.kept(L.checked_records(self.rows, self.files, self.tables))
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        return stage_at(df, self.folder)[0]
 
     def routed(self) -> dict[str, DataFrame]:
         routed = L.route(self.records.where(~Q.rejected()))
@@ -250,12 +298,18 @@ class SheetLoad:
             return self.meters.where("inserted")
         return L.new_rows(name, self.routed()[name], None)
 
-    def all_inserted(self) -> dict[str, DataFrame]:
-        return {n: self.inserted(n) for n in (*self.routed(), "flowmeters")}
+    def all_inserted(self) -> dict[str, tuple[DataFrame, int]]:
+        """The new rows of each fact, written, and how many they are."""
+        names = [*self.routed(), "flowmeters"]
+        rows = {"rows": F.count(F.lit(1))}
+        self.meters  # noqa: B018 - written before the others need it
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            found = pool.map(lambda n: stage_counted(self.inserted(n), self.folder, rows), names)
+            return {n: (df, counts["rows"]) for n, (df, counts) in zip(names, found, strict=True)}
 
     @cached_property
     def meters(self) -> DataFrame:
-        return L.meter_fates(self.files, None).persist()
+        return self.kept(L.meter_fates(self.files, None))
 
 
 def _entity(name: str) -> Column:
@@ -302,7 +356,7 @@ def _fact_lines(frames: dict[str, DataFrame]) -> DataFrame:
 @query
 def sheet_facts(s: Samples) -> DataFrame:
     """Every row the sample sheets insert into the nine facts."""
-    return _fact_lines(SheetLoad(s).all_inserted())
+    return _fact_lines({n: df for n, (df, _) in SheetLoad(s).all_inserted().items()})
 
 
 @query
@@ -351,11 +405,14 @@ def sheet_findings(s: Samples) -> DataFrame:
 
 @query
 def load_summary(s: Samples) -> DataFrame:
+    """Findings by level and new rows by table, counted by the tasks that write them."""
     load = SheetLoad(s)
-    inserted = {n: df.persist() for n, df in load.all_inserted().items()}
+    inserted = load.all_inserted()
     frames = (load.files, load.records, load.meters)
-    findings = L.all_findings(*frames).unionByName(L.all_outcomes(*frames, inserted))
-    return L.load_summary(findings, inserted)
+    findings = L.all_findings(*frames).unionByName(L.all_outcomes(*frames, {n: df for n, (df, _) in inserted.items()}))
+    levels = {level: F.count_if(F.col("level") == level) for level in Q.LEVELS}
+    _, seen = stage_counted(findings, load.folder, levels)
+    return L.counted_summary(s.spark, seen, {n: rows for n, (_, rows) in inserted.items()})
 
 
 @query

@@ -19,6 +19,12 @@ class Fact:
     def by(self) -> tuple[str, ...]:
         return tuple(c for c in self.key if c != self.on)
 
+    @property
+    def state_order(self) -> tuple[str, ...]:
+        """What orders the rows of an entity where its last one is its state: the day
+        they were reported on, then that of the test."""
+        return tuple(dict.fromkeys(("report_date_id", self.on)))
+
 
 # Table and column names and types of the mart.
 DIMENSIONS = {
@@ -151,6 +157,12 @@ FACTS = {
     ),
 }
 
+# Facts that are read as the last state of an entity.
+STATES = (
+    "well_stock", "completions", "well_downtime_reasons", "well_tests", "gas_well_tests",
+    "laboratory_results", "daily_general_comments",
+)
+
 # Stored but not loaded from reports.
 REPORTED = {
     "daily_operatives": f"ogpd_id int, report_date_id int, "

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from helpers import fill_dimensions
 from pyspark.sql import SparkSession
@@ -27,3 +29,9 @@ def filled(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("filled") / "mart")
     fill_dimensions(Catalog(spark, folder))
     return folder
+
+
+@pytest.fixture
+def catalog(spark, filled, tmp_path):
+    shutil.copytree(filled, tmp_path / "mart")
+    return Catalog(spark, str(tmp_path / "mart"))

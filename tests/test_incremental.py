@@ -2,7 +2,7 @@ import random
 
 from helpers import rows_of
 
-from dayledger.operators.incremental import append_if_absent, append_if_changed, changes
+from dayledger.operators.incremental import append_if_absent, append_if_changed, changes, repair_late
 from dayledger.operators.picks import first_per_key, number_rows
 
 HISTORY = "k int, d int, s string, n int, o int"
@@ -117,3 +117,37 @@ def test_number_rows_over_small_blocks(spark):
     for key in {k for _, k in rows}:
         ids = sorted(i for i, k in rows if k == key)
         assert [got[i, key] for i in ids] == list(range(1, len(ids) + 1))
+
+
+def test_late_rows_repair_a_history(spark):
+    """3,000 entities whose days come in shuffled batches: after each one the history is
+    that of a rebuild from all raw rows."""
+    draw = random.Random(10)
+    schema = "k int, d int, a int, b string, e int"
+    batches = [[], [], [], []]
+    for k in range(3000):
+        for d in draw.sample(range(12), draw.randrange(1, 10)):
+            batches[draw.randrange(4)].append((k, d, draw.choice([None, 1, 2]), draw.choice([None, "x"]), len(batches)))
+    tracked = ["a", "b"]
+
+    def rebuild(rows):
+        history, last = [], {}
+        for k, d, a, b, _ in sorted(rows, key=lambda r: r[:2]):
+            if last.get(k, (None, None)) != (a, b):
+                history.append((k, d, a, b))
+            last[k] = (a, b)
+        return sorted(history, key=str)
+
+    stored, raw = [], []
+    for batch in batches:
+        late = spark.createDataFrame(batch + batch[:50], schema)
+        reports = spark.createDataFrame(raw, schema)
+        found = repair_late(
+            late, spark.createDataFrame(stored, "k int, d int, a int, b string"), reports, ["k"], "d", tracked, ["e"]
+        ).collect()
+        gone = {(r["k"], r["d"]) for r in found if r["action"] == "retract"}
+        assert gone <= {r[:2] for r in stored}
+        stored = [r for r in stored if r[:2] not in gone]
+        stored += [(r["k"], r["d"], r["a"], r["b"]) for r in found if r["action"] == "insert"]
+        raw += batch
+        assert sorted(stored, key=str) == rebuild(raw)

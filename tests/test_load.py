@@ -1,5 +1,4 @@
 import datetime as dt
-import shutil
 from pathlib import Path
 
 import pytest
@@ -16,12 +15,6 @@ from dayledger.sources.schemas import FACTS
 LOADED = dt.date(2025, 2, 1)
 
 
-@pytest.fixture
-def catalog(spark, filled, tmp_path):
-    shutil.copytree(filled, tmp_path / "mart")
-    return Catalog(spark, str(tmp_path / "mart"))
-
-
 def load(catalog, *sheets, **options):
     rows = report_rows(cells_frame(catalog.spark, *sheets))
     return load_reports(rows, catalog, LOADED, **options)
