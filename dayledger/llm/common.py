@@ -214,19 +214,23 @@ class WordHasher:
             out.append(np.multiply.accumulate(table))
         return out
 
-    def _run(self, n: int) -> np.ndarray:
-        """The first ``n`` powers of the base."""
+    def _sums(self, data: np.ndarray) -> np.ndarray:
+        """Prefix sums of the terms of all bytes, a stretch that caches hold at a time."""
         low, high = self._powers
-        rows = -(-n // HALF)
-        if rows > HALF:
+        if len(data) > HALF * HALF:
             raise ValueError("a text of more than 2^32 bytes")
-        return np.multiply.outer(high[:rows], low).ravel()[:n]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        for k, first in enumerate(range(0, len(data), HALF)):
+            terms = self.values[data[first : first + HALF]]
+            terms *= low[: len(terms)]
+            own = sums[first + 1 : first + 1 + len(terms)]
+            np.cumsum(terms, out=own)
+            own *= high[k]
+            own += sums[first]
+        return sums
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(data) + 1, np.uint64)
-        terms = self._run(len(data))
-        terms *= self.values[data]
-        np.cumsum(terms, out=sums[1:])
+        sums = self._sums(data)
         low, high = self._inverses
         h = (sums[ends] - sums[starts]) * low[starts & (HALF - 1)] * high[starts >> HALF_BITS]
         return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
