@@ -192,9 +192,11 @@ def find_items(
     item_text: str = "text",
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
+    cut: bool = False,
 ) -> DataFrame:
     """``docs`` with one struct column ``found``: ``n_words``, ``spans`` (start and
-    end word of each maximal run of hit words) and ``items`` (sorted item ids).
+    end word of each maximal run of hit words) and ``items`` (sorted item ids). With
+    ``cut`` the texts have lost the words of these spans.
 
     Words are lower-cased runs of letters, digits and non-ASCII characters. A window
     is ``window`` consecutive words of an item, or the whole of a shorter item; a
@@ -210,7 +212,7 @@ def find_items(
         shared = spark.sparkContext.broadcast((automaton, _vocabulary(automaton)))
         schema = result.schema
 
-        def scan(batches, shared=shared, column=text):
+        def scan(batches, shared=shared, column=text, cutting=cut and last):
             automaton, vocabulary = shared.value
             for batch in batches:
                 names = batch.schema.names
@@ -225,9 +227,15 @@ def find_items(
                     )
                     for k, n in enumerate(counts.tolist()):
                         merged[part.start + k] = _merge(merged[part.start + k], n, found.get(k), automaton.ids)
-                columns = [merged if n == "found" else batch.column(i) for i, n in enumerate(names)]
+                new = {"found": merged}
+                if cutting and any(m["spans"] for m in merged):
+                    whole = batch.column(names.index(column)).to_pylist()
+                    new[column] = [_cut(t, m["spans"]) for t, m in zip(whole, merged, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=batch.schema.field(i).type) if c is merged else c for i, c in enumerate(columns)],
+                    [
+                        pa.array(new[n], type=batch.schema.field(i).type) if n in new else batch.column(i)
+                        for i, n in enumerate(names)
+                    ],
                     schema=batch.schema,
                 )
 
@@ -268,20 +276,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", cov
     the characters between those words. Texts without hits stay as they are. Where
     there is an ``n_chars`` column, it follows a shortened text.
     """
-    kept = find_items(boxed(docs, text), benchmark, **options).where(~is_contaminated(coverage))
-
-    def cut(batches):
-        for batch in batches:
-            names = batch.schema.names
-            spans = batch.column(names.index("found")).field("spans").to_pylist()
-            at = names.index("text")
-            texts = batch.column(at).to_pylist()
-            for i, own in enumerate(spans):
-                if own:
-                    texts[i] = without_words(texts[i], [(s["first"], s["past"]) for s in own])
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-
-    return unboxed(kept.mapInArrow(tidy(cut), kept.schema), docs, text, F.size("found.spans") > 0)
+    kept = find_items(boxed(docs, text), benchmark, cut=True, **options).where(~is_contaminated(coverage))
+    return unboxed(kept, docs, text, F.size("found.spans") > 0)
+
+
+def _cut(text: str | None, spans: list[dict]) -> str | None:
+    return without_words(text, [(s["first"], s["past"]) for s in spans]) if spans else text
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:
