@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,5 +96,85 @@ def nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
+@dataclass(frozen=True)
+class Constraint:
+    """What a table declares of ``columns``: each not null (``not_null``), together
+    held by one row (``unique``), or, of one column, held by ``parent`` (``refers``,
+    to its column ``parent_key``)."""
+
+    kind: str
+    columns: tuple[str, ...]
+    parent: str | None = None
+    parent_key: str = "id"
+
+    def name(self, table: str) -> str:
+        target = f" -> {self.parent}.{self.parent_key}" if self.parent else ""
+        return f"{table}({', '.join(self.columns)}) {self.kind}{target}"
+
+
+def check_constraints(
+    tables: Mapping[str, DataFrame], declared: Mapping[str, Sequence[Constraint]]
+) -> DataFrame:
+    """(constraint, checked, violations) for every declared constraint: rows checked,
+    and rows that hold a null, a value the parent does not hold, or a key that another
+    row holds too.
+
+    Each table is scanned once, whatever it declares: a row becomes a (constraint, key)
+    for each, these are counted map side, so a hot value is a row a task, and the keys
+    of references meet the united parents in one anti-join. A null reference passes;
+    nulls in unique keys equal each other.
+    """
+    pairs, parents = [], {}
+    names: list[tuple[str, str]] = []
+    for table, constraints in declared.items():
+        parts = []
+        for c in constraints:
+            name = c.name(table)
+            names.append((name, c.kind))
+            if c.kind == "refers":
+                key, bad = F.col(c.columns[0]).cast("string"), F.lit(False)
+                parents[c.parent, c.parent_key] = None
+            elif c.kind == "unique":
+                key, bad = F.to_json(F.struct(*c.columns)), F.lit(False)
+            else:
+                bad = F.lit(False)
+                for column in c.columns:
+                    bad = bad | F.col(column).isNull()
+                key = F.lit(None).cast("string")
+            parent = F.lit(f"{c.parent}.{c.parent_key}" if c.parent else None).cast("string")
+            parts.append(
+                F.struct(F.lit(name).alias("constraint"), parent.alias("parent"), key.alias("key"), bad.alias("bad"))
+            )
+        if parts:
+            pairs.append(tables[table].select(F.inline(F.array(*parts))))
+    lines = reduce(DataFrame.unionByName, pairs)
+    rows = F.count(F.lit(1)).alias("rows")
+    counted = lines.groupBy("constraint", "parent", "key", "bad").agg(rows)
+    known = [
+        tables[table].select(F.lit(f"{table}.{key}").alias("parent"), F.col(key).cast("string").alias("key"))
+        for table, key in parents
+    ]
+    if known:
+        held = reduce(DataFrame.unionByName, known).where("key is not null").distinct().withColumn("held", F.lit(True))
+        counted = counted.join(held, ["parent", "key"], "left")
+    else:
+        counted = counted.withColumn("held", F.lit(None).cast("boolean"))
+    spark = lines.sparkSession
+    all_names = spark.createDataFrame(names, "constraint string, kind string")
+    orphan = F.col("key").isNotNull() & F.col("held").isNull()
+    judged = counted.join(F.broadcast(all_names), "constraint").withColumn(
+        "violates",
+        F.when(F.col("kind") == "not_null", F.col("bad"))
+        .when(F.col("kind") == "unique", F.col("rows") > 1)
+        .otherwise(orphan),
+    )
+    totals = judged.groupBy("constraint").agg(
+        F.sum("rows").alias("checked"), F.sum(F.when(F.col("violates"), F.col("rows")).otherwise(0)).alias("violations")
+    )
+    found = all_names.join(totals, "constraint", "left")
+    none = F.lit(0).cast("bigint")
+    return found.select("constraint", *[F.coalesce(c, none).alias(c) for c in ("checked", "violations")])
+
+
 def findings_by_level(findings: DataFrame) -> DataFrame:
     return findings.groupBy("level").agg(F.count(F.lit(1)).alias("rows"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dayledger.functions.dates import days_between
 from dayledger.functions.numbers import UNPARSABLE, rule_value
 from dayledger.functions.text import truthy
-from dayledger.operators.quality import INFO, WARNING, Rule
+from dayledger.operators.quality import INFO, WARNING, Constraint, Rule
 from dayledger.sources.reports import number_columns
+from dayledger.sources.schemas import FACTS, REPORTED_KEYS
 
 # Limits of the checks.
 METERED_FIELD = 1
@@ -129,3 +132,32 @@ def age_rule() -> Rule:
         F.col("last_lab_date"),
     )
     return Rule("RESULTS_TOO_OLD", old, "test or laboratory result over 15 days old", WARNING, False)
+
+
+# Which dimension each reference of a fact is to.
+REFERENCES = {
+    "well_id": "wells",
+    "platform_id": "platforms",
+    "field_id": "fields",
+    "ogpd_id": "ogpd",
+    "report_date_id": "report_dates",
+    "well_stock_category_id": "well_stock_categories",
+    "production_well_stock_sub_category_id": "production_well_stock_sub_categories",
+    "production_method_id": "production_methods",
+    "horizon_id": "horizons",
+    "production_sub_skins_activity_id": "production_sub_skins_activities",
+}
+
+
+def declared_constraints(
+    tables: Mapping[str, Sequence[str]], dimensions: Sequence[str]
+) -> dict[str, list[Constraint]]:
+    """What the facts declare, of the tables given with their columns: references to
+    these dimensions, their key unique, and no null in it."""
+    found = {}
+    for name, columns in tables.items():
+        key = FACTS[name].key if name in FACTS else REPORTED_KEYS[name]
+        found[name] = [Constraint("not_null", tuple(key)), Constraint("unique", tuple(key))] + [
+            Constraint("refers", (c,), REFERENCES[c]) for c in columns if REFERENCES.get(c) in dimensions
+        ]
+    return found

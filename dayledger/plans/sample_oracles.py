@@ -659,3 +659,52 @@ ORACLES["complete_table"] = ORACLES["complete_table"].replace("{nulls}", _null_d
 ORACLES["complete_table_range"] = (
     f"SELECT * FROM ({ORACLES['complete_table']}) WHERE report_date BETWEEN DATE '2024-01-12' AND DATE '2024-01-14'"
 )
+
+
+def _constraints() -> str:
+    """A line of SQL for each constraint of the sample mart."""
+    wells, days = ("well_id", "well_id", "wells", "fx_wells"), ("report_date_id", "d", "report_dates", "calendar_days")
+    names = "fx_fields"
+    tables = {
+        "well_stock": ("fx_well_stock_raw", ("well_id", "d"), "well_id, report_date_id", [
+            wells, days,
+            ("well_stock_category_id", "category_id", "well_stock_categories", names),
+            ("production_well_stock_sub_category_id", "sub_category_id", "production_well_stock_sub_categories", names),
+            ("production_method_id", "method_id", "production_methods", names),
+        ]),
+        "completions": ("fx_completions_raw", ("well_id", "d"), "well_id, report_date_id", [
+            wells, days, ("horizon_id", "horizon_id", "horizons", "fx_horizons"),
+        ]),
+        "well_downtime_reasons": ("fx_downtime_raw", ("well_id", "d"), "well_id, report_date_id", [
+            wells, days,
+            ("production_sub_skins_activity_id", "category + 1", "production_sub_skins_activities", names),
+        ]),
+        "daily_well_parameters": ("fx_daily", ("well_id", "d"), "well_id, report_date_id", [wells, days]),
+        "well_tests": ("fx_well_tests", ("well_id", "well_test_date"), "well_id, well_test_date", [wells, days]),
+        "gas_well_tests": ("fx_gas_well_tests", ("well_id", "well_test_date"), "well_id, well_test_date", [wells, days]),
+        "laboratory_results": ("fx_lab", ("well_id", "lab_date"), "well_id, last_lab_date", [wells, days]),
+        "monthly_reported": ("fx_monthly", ("field_id", "report_date"), "field_id, report_date_id", [
+            ("field_id", "field_id", "fields", names), ("report_date_id", "report_date", "report_dates", "calendar_days"),
+        ]),
+    }
+    lines = []
+
+    def line(name: str, source: str, violating: str) -> None:
+        lines.append(
+            f"SELECT '{name}' AS \"constraint\", (SELECT count(*) FROM {source}) AS checked, "
+            f"(SELECT count(*) FROM {source} WHERE {violating}) AS violations"
+        )
+
+    for table, (source, key, key_name, references) in tables.items():
+        line(f"{table}({key_name}) not_null", source, " OR ".join(f"{c} IS NULL" for c in key))
+        columns = ", ".join(key)
+        repeated = f"({columns}) IN (SELECT ({columns}) FROM {source} GROUP BY {columns} HAVING count(*) > 1)"
+        line(f"{table}({key_name}) unique", source, repeated)
+        for column, value, parent, rows in references:
+            missing = f"{value} IS NOT NULL AND {value} NOT IN (SELECT id FROM {rows})"
+            line(f"{table}({column}) refers -> {parent}.id", source, missing)
+    days_sql = "calendar_days AS (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2030-01-01', INTERVAL 1 DAY)) AS DATE) AS id)"
+    return VIEWS + f", {days_sql}\n" + "\nUNION ALL ".join(lines)
+
+
+ORACLES["mart_constraints"] = _constraints()

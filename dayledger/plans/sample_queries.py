@@ -34,7 +34,7 @@ from dayledger.sources import reports as P
 from dayledger.sources.catalog import Catalog
 from dayledger.sources.sample_sheets import SampleSheets
 from dayledger.sources.samples import Samples
-from dayledger.sources.schemas import FACTS
+from dayledger.sources.schemas import FACTS, REPORTED_KEYS
 from dayledger.sources.seeds import (
     CALENDAR_START,
     OLD_CALENDAR_START,
@@ -708,6 +708,14 @@ def nulls(s: Samples) -> DataFrame:
     return stock.unionByName(Q.nulls(wells, ["name", "square"]))
 
 
+@query
+def mart_constraints(s: Samples) -> DataFrame:
+    """Every constraint that the sample mart declares, from one scan of each fact."""
+    tables = s.mart_tables
+    columns = {n: df.columns for n, df in tables.items() if n in FACTS or n in REPORTED_KEYS}
+    return Q.check_constraints(tables, R.declared_constraints(columns, list(s.mart_dimensions)))
+
+
 # Mart formulas.
 
 

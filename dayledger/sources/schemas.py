@@ -171,6 +171,11 @@ REPORTED = {
     f"{_columns(REPORTED_MEASURES, 'double')}, {_CREATED}",
 }
 
+REPORTED_KEYS = {
+    "daily_operatives": ("ogpd_id", "report_date_id"),
+    "monthly_reported": ("field_id", "report_date_id"),
+}
+
 TABLES = DIMENSIONS | {n: f.ddl for n, f in FACTS.items()} | REPORTED
 
 # Positions in a report sheet, 0-based (row, column).

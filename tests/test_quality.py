@@ -117,3 +117,36 @@ def test_second_candidate_of_a_day_is_already_there(spark):
         df, None, "p", "d", ["f"], F.lit(False), F.lit(False), pairs=[("reading1", "reading2")]
     )
     assert rows_of(got, "f", "inserted", "exists") == [("a", True, False), ("b", False, True)]
+
+
+def test_constraints_of_tables(spark):
+    tables = {
+        "child": spark.createDataFrame(
+            [(1, 10, "a"), (2, 10, "a"), (2, 99, None), (None, None, "a"), (None, 98, "b"), (5, 98, None)],
+            "id int, ref int, name string",
+        ),
+        "parent": spark.createDataFrame([(10,), (11,), (11,), (None,)], "id bigint"),
+        "empty": spark.createDataFrame([], "id int, ref int"),
+    }
+    refers = Q.Constraint("refers", ("ref",), "parent")
+    declared = {
+        "child": [refers, Q.Constraint("unique", ("id",)), Q.Constraint("not_null", ("id", "name")), Q.Constraint("unique", ("id", "ref"))],
+        "empty": [refers, Q.Constraint("unique", ("id",))],
+    }
+    assert rows_of(Q.check_constraints(tables, declared)) == sorted([
+        ("child(ref) refers -> parent.id", 6, 3),
+        ("child(id) unique", 6, 4),
+        ("child(id, name) not_null", 6, 4),
+        ("child(id, ref) unique", 6, 0),
+        ("empty(ref) refers -> parent.id", 0, 0),
+        ("empty(id) unique", 0, 0),
+    ], key=repr)
+    only = {"child": [Q.Constraint("not_null", ("id",))]}
+    assert rows_of(Q.check_constraints(tables, only)) == [("child(id) not_null", 6, 2)]
+
+
+def test_constraints_scan_a_table_once(spark):
+    child = spark.range(9).selectExpr("id", "id % 3 as ref")
+    declared = {"child": [Q.Constraint("refers", ("ref",), "parent"), Q.Constraint("unique", ("id",))]}
+    found = Q.check_constraints({"child": child, "parent": spark.createDataFrame([(0,)], "id int")}, declared)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 9") == 1
