@@ -3,12 +3,13 @@
 ``on`` must be a date or an integer day number. That bounds the timeline of
 one key by the length of the calendar, whatever share of the rows the key
 holds, so a plain window per key is safe once each side has one row per
-(key, day).
+(key, day). Timelines without that bound, as of timestamps, go through
+:func:`asof_timeline`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -91,6 +92,51 @@ def asof_join(
     return joined.select(*left.columns, *flat)
 
 
+def asof_timeline(
+    left: DataFrame,
+    right: DataFrame,
+    by: Sequence[str],
+    on: str,
+    bucket: Callable[[Column], Column] = F.to_date,
+    inclusive: bool = True,
+    ties: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+    prefix: str = "",
+) -> DataFrame:
+    """As :func:`asof_join`, over timelines that nothing bounds: ``on`` is anything that
+    sorts, a timestamp say, and ``bucket`` a column of it that never falls as it grows.
+
+    The sweep has two levels. Inside a (key, bucket) rows are swept as usual, so the
+    rows of a hot key are spread over its buckets; they alone must fit a task's sort,
+    which spills. What a bucket begins with is the last state of the buckets before it:
+    the last one of each is found map side, and carried over a key's buckets in a
+    window that holds one row a bucket. It then joins the sweep of its bucket as one
+    state more, so no join back is needed.
+
+    Left rows without a key or ``on`` find nothing; states without are not read. Of
+    states with equal ``on`` the greatest by ``ties`` counts.
+    """
+    keys, by = [*by, on], list(by)
+    payload = State(right, columns, ties).payload(keys)
+    name, own = "__bucket", [*by, "__bucket"]
+    body = list(dict.fromkeys([on, *payload, *ties]))
+    states = right.dropna(subset=keys).select(*by, *body).withColumn(name, bucket(F.col(on)))
+    rows = left.withColumn(name, bucket(F.col(on)))
+    row = F.struct(*[F.col(c) for c in body])
+    newest = F.max_by(row, F.struct(on, *ties)).alias("__last")
+    lasts = states.groupBy(*own).agg(newest, F.lit(False).alias("__asked"))
+    asked = rows.select(*own, F.lit(None).cast(lasts.schema["__last"].dataType).alias("__last"), F.lit(True).alias("__asked"))
+    steps = lasts.unionByName(asked.dropna(subset=own).distinct())
+    # of a bucket the asking row comes before its own last state
+    line = Window.partitionBy(*by).orderBy(name, F.desc("__asked")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = steps.withColumn("__before", F.last("__last", ignorenulls=True).over(line))
+    carried = carried.where(F.col("__asked") & F.col("__before").isNotNull()).select(*own, "__before.*")
+    state = State(states.unionByName(carried), payload, ties)
+    joined = _sweep(rows, {"__state": state}, own, on, inclusive)
+    flat = [F.col("__state")[c].alias(f"{prefix}{c}") for c in payload]
+    return joined.select(*left.columns, *flat)
+
+
 def _sweep(
     left: DataFrame,
     states: Mapping[str, State],

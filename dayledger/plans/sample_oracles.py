@@ -295,6 +295,12 @@ seen AS (
 SELECT well_id, d, event_id, category_id, sub_category_id, method_id FROM seen
 WHERE src = 1 AND (a IS DISTINCT FROM category_id OR b IS DISTINCT FROM sub_category_id
   OR c IS DISTINCT FROM method_id)""",
+    "asof_timeline_events": """
+WITH views AS (SELECT user_id, ts, max(event_id) AS event_id, max_by(value, event_id) AS value
+  FROM events WHERE event_type = 'view' GROUP BY user_id, ts)
+SELECT e.event_id, e.user_id, e.event_type, v.event_id AS view_event_id, round(v.value, 9) AS view_value
+FROM (SELECT * FROM events WHERE event_type IN ('purchase', 'error')) e
+ASOF LEFT JOIN views v ON e.user_id = v.user_id AND e.ts >= v.ts""",
     "state_snapshots": VIEWS
     + """, both_tables AS (
   SELECT 'well_stock' AS table_name, well_id, d, CAST(method_id AS DOUBLE) AS amount, d AS tie FROM fx_well_stock_raw

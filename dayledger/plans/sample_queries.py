@@ -22,7 +22,7 @@ from dayledger.functions.text import (
 from dayledger.operators import allocation as A
 from dayledger.operators import maintenance as M
 from dayledger.operators import quality as Q
-from dayledger.operators.asof import State, asof_join, asof_join_many, densify
+from dayledger.operators.asof import State, asof_join, asof_join_many, asof_timeline, densify
 from dayledger.operators.incremental import append_if_absent, append_if_changed, changes, repair_late
 from dayledger.operators.lookup import Dimension, denormalise, lookup, prefix_lookup
 from dayledger.operators.meters import check_meters
@@ -168,6 +168,16 @@ def asof_orders_lineitem(s: Samples) -> DataFrame:
     )
 
 
+@query
+def asof_timeline_events(s: Samples) -> DataFrame:
+    """Every purchase and error with the user's latest view up to that moment."""
+    events = s.table("events").select("event_id", "ts", "user_id", "event_type", "value")
+    asked = events.where(F.col("event_type").isin("purchase", "error"))
+    views = events.where("event_type = 'view'").select("user_id", "ts", "event_id", "value")
+    found = asof_timeline(asked, views, ["user_id"], "ts", ties=["event_id"], columns=["event_id", "value"], prefix="view_")
+    return found.select("event_id", "user_id", "event_type", "view_event_id", _round("view_value").alias("view_value"))
+
+
 STOCK = ("category_id", "sub_category_id", "method_id")
 
 

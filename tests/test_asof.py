@@ -3,8 +3,9 @@ import random
 
 import pytest
 from helpers import rows_of
+from pyspark.sql import functions as F
 
-from dayledger.operators.asof import State, asof_join, asof_join_many, densify
+from dayledger.operators.asof import State, asof_join, asof_join_many, asof_timeline, densify
 
 DAY = dt.date
 
@@ -112,3 +113,42 @@ def test_densify_repeats_until_the_next_state(spark):
         ],
         key=repr,
     )
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_timeline_equals_brute_force(spark, inclusive):
+    """Timestamps of few keys, one of them with most rows, in hourly buckets."""
+    draw = random.Random(11)
+    start = dt.datetime(2024, 3, 30)
+
+    def rows(n):
+        found = []
+        for i in range(n):
+            key = draw.choice([1] * 8 + [2, None])
+            at = draw.choice([start + dt.timedelta(minutes=draw.randrange(6000)), start, None if draw.random() < 0.1 else start])
+            found.append((key, at, i))
+        return found
+
+    left, right = rows(700), rows(300)
+    asked = spark.createDataFrame(left, "k int, at timestamp_ntz, id int")
+    states = spark.createDataFrame([(*r, None if r[2] % 7 == 0 else r[2]) for r in right], "k int, at timestamp_ntz, tie int, v int")
+    hour = lambda t: F.floor(F.timestamp_diff("MINUTE", F.lit(start), t) / 60)
+    found = asof_timeline(asked, states, ["k"], "at", hour, inclusive, ties=["tie"], columns=["tie", "v"])
+    want = []
+    for k, at, i in left:
+        known = [
+            (s_at, tie) for s_k, s_at, tie in right
+            if None not in (k, at, s_k, s_at) and s_k == k and (s_at <= at if inclusive else s_at < at)
+        ]
+        tie = max(known)[1] if known else None
+        want.append((k, at, i, tie, None if tie is None or tie % 7 == 0 else tie))
+    assert rows_of(found) == sorted(want, key=repr)
+    assert found.columns == ["k", "at", "id", "tie", "v"]
+
+
+def test_timeline_spreads_a_hot_key(spark):
+    days = spark.range(4000).selectExpr("1 as k", "timestamp_seconds(id * 1000) as at", "id")
+    found = asof_timeline(days, days.withColumnRenamed("id", "v"), ["k"], "at")
+    parts = found.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 3000
+    assert found.where("id = v").count() == 4000
