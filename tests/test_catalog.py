@@ -8,7 +8,9 @@ from helpers import rows_of
 from pyspark.sql import functions as F
 from test_load import counts, load, partition_filters, three_wells
 
+from dayledger.operators.incremental import append_if_changed
 from dayledger.operators.picks import last_per_key
+from dayledger.plans import upkeep
 from dayledger.plans.mart import complete_table
 from dayledger.sources.catalog import Catalog
 from dayledger.sources.schemas import FACTS, TABLES
@@ -81,3 +83,28 @@ def test_bounded_mart_from_snapshots(catalog):
     found = complete_table(catalog.of_days(first, first + 1), days=(first, first + 1))
     whole = complete_table(catalog.tables()).where(F.col("report_date") >= dt.date(2025, 4, 1))
     assert rows_of(found) == rows_of(whole) and found.count() == 6
+
+
+def test_late_rows_are_stored_as_if_they_had_come_in_time(spark, tmp_path):
+    draw = random.Random(8)
+    catalog = Catalog(spark, str(tmp_path / "mart"), period_days=8)
+    fact, schema = FACTS["well_stock"], TABLES["well_stock"]
+    raw = [stock_row(w, d, draw) for w in range(40) for d in range(8, 32) if draw.random() < 0.6]
+    draw.shuffle(raw)
+    cuts = [(0, 500), (500, 560), (560, len(raw))]
+    totals = {"insert": 0, "retract": 0}
+    catalog.append(spark.createDataFrame([], schema), "well_stock")
+    daily = TABLES["daily_well_parameters"]
+    catalog.append(spark.createDataFrame([], daily), "daily_well_parameters")
+    for a, b in cuts:
+        late = spark.createDataFrame(raw[a:b], schema)
+        done = upkeep.store_late(catalog, "well_stock", late, LOADED, {"well_stock_sub_category_id": F.lit(1)})
+        totals = {k: totals[k] + done[k] for k in totals}
+        keys = late.select("well_id", "report_date_id")
+        empty = spark.createDataFrame([], daily)
+        catalog.append(empty.unionByName(keys, allowMissingColumns=True), "daily_well_parameters")
+        seen = spark.createDataFrame(raw[:b], schema)
+        rebuilt = append_if_changed(seen, None, fact.by, fact.on, fact.tracked, ["created_at"])
+        columns = [*fact.key, *fact.tracked]
+        assert rows_of(catalog.table("well_stock"), *columns) == rows_of(rebuilt, *columns)
+    assert totals["retract"] > 0 and catalog.table("well_stock").count() == totals["insert"] - totals["retract"]
