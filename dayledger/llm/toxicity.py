@@ -339,17 +339,19 @@ def fit(
 ) -> Network | None:
     """Train on at most ``sample_rows`` texts of the labels 0 and 1, those with the
     smallest hash of the id; of a text beyond ``WHOLE_CHARS`` characters, stretches of
-    it at hashed places. Null labels and empty texts are no examples. Without
+    it at hashed places. Null labels and empty texts are no examples. An id that
+    repeats is one example, of its greatest label and its least text. Without
     examples of both there is no network (None).
 
     Only ids and labels are shuffled; the chosen ids, a bounded number, are sent to
     where the texts are.
     """
     whole = text_of(text)
-    given = labels.select(F.col(id_column).alias("id"), F.col(label).alias("label"))
-    there = docs.where(F.length(F.trim(whole)) > 0).select(F.col(id_column).alias("id"))
+    given = labels.select(F.col(id_column).alias("id"), F.col(label).alias("label")).where("label in (0, 1)")
+    given = given.groupBy("id").agg(F.max("label").alias("label"))
+    there = docs.where(F.length(F.trim(whole)) > 0).select(F.col(id_column).alias("id")).distinct()
     known = there.join(given, "id").select("id", "label", F.xxhash64("id").alias("h"))
-    sizes = {r["label"]: r["count"] for r in known.where("label in (0, 1)").groupBy("label").count().collect()}
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
     picked = [hashed_sample(known.where(F.col("label") == k), sample_rows[k], sizes[k]) for k in (0, 1)]
@@ -361,7 +363,8 @@ def fit(
     )
     own = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(id_column)).alias("id_hash"), whole.alias("whole"))
     part = F.when(F.char_length("whole") <= WHOLE_CHARS, F.col("whole")).otherwise(F.concat_ws(" ", stretches))
-    rows = own.join(F.broadcast(chosen), "id").select("h", "label", part.alias("part")).collect()
+    texts = own.where(F.length(F.trim("whole")) > 0).join(F.broadcast(chosen), "id")
+    rows = texts.groupBy("h", "label").agg(F.min(part).alias("part")).collect()
     rows.sort(key=lambda r: (r["label"], r["h"], r["part"]))
     return train([r["part"].encode() for r in rows], np.array([r["label"] for r in rows]))
 

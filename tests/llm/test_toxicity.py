@@ -114,3 +114,17 @@ def test_the_sample_is_bounded_and_balanced(spark, monkeypatch):
     assert seen["targets"].tolist() == [0] * 30 + [1] * 20 and {t.decode() for t in seen["parts"]} <= set(own)
     T.fit(docs, marks, sample_rows=(1000, 1000))
     assert len(seen["parts"]) == 401 and max(map(len, seen["parts"])) <= T.WHOLE_CHARS + 40
+
+
+def test_repeated_ids_are_one_example(spark, monkeypatch):
+    rows = [(i % 4, f"text {i}") for i in range(200)] + [(i, f"other {i}") for i in range(10, 30)] + [(1, None), (2, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = [(i, i % 2) for i in range(30)] * 5 + [(0, 1), (3, None)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(T, "train", lambda texts, targets: seen.update(texts=texts, targets=targets.tolist()))
+    T.fit(docs, labels, sample_rows=(50, 50))
+    assert len(seen["texts"]) == 24 and sum(seen["targets"]) == 13
+    assert {b"text 0", b"text 1", b"text 10", b"text 103"} <= set(seen["texts"])
+    T.fit(docs, labels, sample_rows=(3, 2))
+    assert len(seen["texts"]) == 5
