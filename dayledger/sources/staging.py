@@ -33,7 +33,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     ``spark.checkpoint.dir``, as in tests, gets one of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = _own(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
