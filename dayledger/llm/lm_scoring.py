@@ -47,6 +47,10 @@ REFINE_RATE = 0.005
 FIRST_WEIGHTS = (0.1, 0.2, 0.45, 0.5)
 #: Bytes of text whose bits are laid out at once.
 LAYOUT = 1 << 19
+#: Bytes of texts that are mixed side by side; a longer text is alone.
+MIXED = 1 << 23
+#: Places of a table that numbers values, for each value.
+ROOM = 16
 SCALE = 4096.0
 
 _hasher = WordHasher(8, fold_case=True)
@@ -100,31 +104,93 @@ def lay_out(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
+def places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes of its text, and of its word (up to ``WORD_REACH``), stand before
+    each byte."""
+    at = np.arange(len(data))
+    begins = offsets[:-1][offsets[:-1] < offsets[1:]]
+    edge = np.ones(len(data), bool)
+    edge[1:] = data[:-1] == SPACE
+    edge[begins] = True
+    into = at - np.repeat(offsets[:-1], np.diff(offsets))
+    return into, np.minimum(at - np.maximum.accumulate(np.where(edge, at, 0)), WORD_REACH)
+
+
+def context(kind: int, data: np.ndarray, into: np.ndarray, written: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The context of a kind before some positions, in 51 bits; none reaches into
+    another text."""
+    into, written, word = into[at], written[at], kind == len(ORDERS)
+    found = written.astype(np.uint64) << np.uint64(48) if word else np.zeros(len(at), np.uint64)
+    for k in range(1, (WORD_REACH if word else ORDERS[kind]) + 1):
+        before = data[np.maximum(at - k, 0)]
+        before = np.where(written < k, 0, before) if word else np.where(into < k, END, before)
+        found |= before.astype(np.uint64) << np.uint64(8 * (k - 1))
+    return found
+
+
 def contexts(data: np.ndarray, offsets: np.ndarray, table_bits: int | None = None) -> Iterator[np.ndarray]:
     """For each context, what it is before each byte, in 53 bits of which the first two
-    are its kind; none reaches into another text. ``table_bits`` keeps that many bits
-    of a hash instead."""
-    n = len(data)
-    at = np.arange(n)
-    into = at - np.repeat(offsets[:-1], np.diff(offsets))
-    edge = np.ones(n, bool)
-    edge[1:] = data[:-1] == SPACE
-    edge[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    written = np.minimum(at - np.maximum.accumulate(np.where(edge, at, 0)), WORD_REACH)
-    word = written.astype(np.uint64) << np.uint64(48)
-    tail, kind = np.zeros(n, np.uint64), 0
-    for k in range(1, max(*ORDERS, WORD_REACH) + 1):
-        before = np.zeros(n, np.uint64)
-        before[k:] = data[:-k] if k < n else data[:0]
-        before <<= np.uint64(8 * (k - 1))
-        if k <= WORD_REACH:
-            word |= np.where(written >= k, before, np.uint64(0))
-        if k <= max(ORDERS):
-            tail |= np.where(into < k, np.uint64(END << 8 * (k - 1)), before)
+    are its kind. ``table_bits`` keeps that many bits of a hash instead."""
+    into, written = places(data, offsets)
+    for kind in range(CONTEXTS):
+        yield _of_kind(kind, context(kind, data, into, written, np.arange(len(data))), table_bits)
+
+
+def numbered(values: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """Numbers of the distinct among some values below ``size``, and how many they are."""
+    if size > ROOM * len(values) + (1 << 16):
+        every, number = np.unique(values, return_inverse=True)
+        return number.astype(np.int32), len(every)
+    there = np.zeros(size, bool)
+    there[values] = True
+    every = np.flatnonzero(there)
+    number = np.empty(size, np.int32)
+    number[every] = np.arange(len(every), dtype=np.int32)
+    return number[values], len(every)
+
+
+def pair_numbers(data: np.ndarray, offsets: np.ndarray, written: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """For each context, numbers of the pairs of it and the byte after it, and how many
+    they are. A run of bytes is numbered by the number of all but its last byte and that
+    one, so tables take the place of sorting. Few pairs may have two numbers."""
+    begins = offsets[:-1][offsets[:-1] < offsets[1:]]
+    there = np.bincount(data, minlength=256) > 0
+    there[END] = True
+    code, size = np.cumsum(there) - 1, int(np.count_nonzero(there))
+    byte = code[data]
+    run, count, outside = byte, size, code[END]
+    for k in range(1, max(ORDERS) + 1):
+        before = np.empty(len(data), np.int64)
+        before[1:] = run[:-1]
+        before[begins] = outside
+        before *= size
+        before += byte
+        run, count = numbered(before, (count + 1) * size)
+        outside = count
         if k in ORDERS:
-            yield _of_kind(kind, tail, table_bits)
-            kind += 1
-    yield _of_kind(kind, word, table_bits)
+            yield run, count
+    word, first, total = np.empty(len(data), np.int32), 0, 0
+    for n in range(WORD_REACH):
+        at = np.flatnonzero(written == n)
+        own = (word[at - 1].astype(np.int64) - first) * size + byte[at] if n else byte[at]
+        number, found = numbered(own, max(1, total - first) * size)
+        word[at] = number + total
+        first, total = total, total + found
+    at = np.flatnonzero(written == WORD_REACH)
+    number, found = run[at - (WORD_REACH - max(ORDERS))], count
+    for n in range(WORD_REACH - max(ORDERS) - 1, -1, -1):
+        number, found = numbered(number.astype(np.int64) * size + byte[at - n], found * size)
+    word[at] = number + total
+    yield word, total + found
+
+
+def pairs_of(data: np.ndarray, offsets: np.ndarray, table_bits: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each context: (context, byte) pairs, and which of them is at each byte."""
+    into, written = places(data, offsets)
+    for kind, (number, count) in enumerate(pair_numbers(data, offsets, written)):
+        at = np.empty(count, np.int64)
+        at[number] = np.arange(len(number))
+        yield followed(_of_kind(kind, context(kind, data, into, written, at), table_bits), data[at]), number
 
 
 def _of_kind(kind: int, context: np.ndarray, table_bits: int | None) -> np.ndarray:
@@ -193,44 +259,40 @@ def stretched(counts: np.ndarray) -> np.ndarray:
     return np.round(np.clip(value, -7.9, 7.9) * SCALE).astype(np.int16)
 
 
+def _value_codes() -> np.ndarray:
+    """All values of bits; those after few bits, whose codes are small, come first."""
+    few = [stretched(np.array([n - ones, ones])) for n in range(MANY_BITS) for ones in range(n + 1)]
+    every = np.concatenate([*few, np.arange(-(1 << 15), 1 << 15, dtype=np.int16)])
+    _, first = np.unique(every, return_index=True)
+    return every[np.sort(first)]
+
+
+MANY_BITS = 256
+#: The value that a code stands for, and the code of each value, as an unsigned number.
+VALUES = _value_codes()
+CODES = np.empty(1 << 16, np.uint16)
+CODES[VALUES.view(np.uint16)] = np.arange(1 << 16, dtype=np.uint16)
+
+
 class Known:
     """What is known of each bit after the contexts that some texts hold: for each
-    (context, byte), a value for each bit of the byte, found by open addressing."""
+    (context, byte), in order, a value for each bit of the byte."""
 
     def __init__(self, keys: np.ndarray, starts: np.ndarray, values: np.ndarray, table_bits: int | None):
-        self.keys, self.starts, self.values, self.table_bits = keys, starts, values, table_bits
-        size = max(4, int(4 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - size), (1 << size) - 1
-        self.places = np.full(1 << size, -1, np.int32)
-        waiting, place = np.arange(len(keys), dtype=np.int32), self._first(keys)
-        while len(waiting):
-            free = self.places[place] < 0
-            self.places[place[free]] = waiting[free]
-            left = self.places[place] != waiting
-            waiting, place = waiting[left], (place[left] + 1) & self.mask
-
-    def _first(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def rows(self, keys: np.ndarray) -> np.ndarray:
-        """Where each of these keys, all of them held, stands in ``keys``."""
-        place = self._first(keys)
-        found = self.places[place]
-        wrong = np.flatnonzero(self.keys[found] != keys)
-        while len(wrong):
-            place[wrong] = (place[wrong] + 1) & self.mask
-            found[wrong] = self.places[place[wrong]]
-            wrong = wrong[self.keys[found[wrong]] != keys[wrong]]
-        return found
-
-    def inputs(self, data: np.ndarray, offsets: np.ndarray, bits: Bits) -> Iterator[np.ndarray]:
+        self.keys, self.starts, self.table_bits = keys, starts, table_bits
+        self.values = np.append(values, np.zeros(BLOCK, values.dtype))  # filling may read past the end
+
+    def inputs(self, data: np.ndarray, offsets: np.ndarray, bits: Bits, rows: list[np.ndarray] | None = None):
+        """The values of the bits of some texts, context by context. ``rows`` tells where
+        the pair at each byte stands in ``keys``, all of which are held."""
+        if rows is None:
+            rows = [np.searchsorted(self.keys, pairs)[number] for pairs, number in pairs_of(data, offsets, self.table_bits)]
         first = np.cumsum(bits.counts) - bits.counts
-        nth = np.arange(len(bits.bit))
-        for context in contexts(data, offsets, self.table_bits):
-            begin = self.starts[self.rows(followed(context, data))]
-            cell = np.repeat(begin - first, bits.counts)
+        owner = np.repeat(np.arange(len(data)), bits.counts)
+        nth = np.arange(len(owner))
+        for own in rows:
+            cell = (self.starts[own] - first)[owner]
             cell += nth
-            np.minimum(cell, len(self.values) - 1, out=cell)  # filling may read past the end
             yield self.values[cell]
 
 
@@ -245,23 +307,35 @@ def slot_inputs(table: np.ndarray, data: np.ndarray, offsets: np.ndarray, bits:
         yield own[slots(context, bits, table_bits)]
 
 
-def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> np.ndarray:
-    """Bits that the mixed model spends on each text.
+def code_lengths(
+    parts: list[bytes], tree: Tree, table: np.ndarray | Known, rows: list[np.ndarray] | None = None
+) -> np.ndarray:
+    """Bits that the mixed model spends on each text. ``rows`` are those of ``Known.inputs``.
 
     A lane is a text, a run of blocks of ``BLOCK`` bits. All lanes move on by a block
     at a time: predict its bits with the weights that the gate picks, correct the
     predictions, pay for them, then let weights and corrections learn from them.
     """
-    data, offsets = lay_out(parts)
-    bits = bits_of(data, offsets, tree, BLOCK)
-    found = table.inputs(data, offsets, bits) if isinstance(table, Known) else slot_inputs(table, data, offsets, bits)
-    inputs = np.empty((CONTEXTS, len(bits.bit) // BLOCK, BLOCK), np.float32)
-    for k, value in enumerate(found):
-        inputs[k] = value.reshape(-1, BLOCK)
-        inputs[k] *= 1 / SCALE
-    signs = (np.where(bits.bit, np.int8(-1), np.int8(1)) * bits.real).reshape(-1, BLOCK)
+    sizes = np.array([len(p) for p in parts], np.int64)
+    blocks = np.array([-(-int(tree.length[np.frombuffer(p, np.uint8)].sum()) // BLOCK) for p in parts], np.int64)
+    inputs = np.empty((int(blocks.sum()), CONTEXTS, BLOCK), np.int16)
+    signs = np.empty((len(inputs), BLOCK), np.int8)
+    low = byte = 0
+    for part in steps(sizes, LAYOUT):
+        data, offsets = lay_out(parts[part])
+        bits = bits_of(data, offsets, tree, BLOCK)
+        high = low + int(blocks[part].sum())
+        if isinstance(table, Known):
+            own = None if rows is None else [row[byte : byte + len(data)] for row in rows]
+            found = table.inputs(data, offsets, bits, own)
+        else:
+            found = slot_inputs(table, data, offsets, bits)
+        for k, value in enumerate(found):
+            inputs[low:high, k] = value.reshape(-1, BLOCK)
+        signs[low:high] = (np.where(bits.bit, np.int8(-1), np.int8(1)) * bits.real).reshape(-1, BLOCK)
+        low, byte = high, byte + len(data)
     spare = BLOCK - np.count_nonzero(signs, axis=1)
-    begin, width, owner = np.cumsum(bits.blocks) - bits.blocks, bits.blocks, np.arange(len(parts))
+    begin, width, owner = np.cumsum(blocks) - blocks, blocks, np.arange(len(parts))
     order = np.argsort(-width, kind="stable")
     owner, begin, width = owner[order], begin[order], width[order]
     weights = np.tile(np.array(FIRST_WEIGHTS, np.float32), (len(owner), len(GATES) + 1, 1))
@@ -271,9 +345,9 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> n
     for t in range(int(width.max(initial=0))):
         n = int(np.searchsorted(-width, -t, "left"))
         at, lane = begin[:n] + t, np.arange(n)
-        x, sign = inputs[:, at], signs[at]
+        x, sign = inputs[at] * np.float32(1 / SCALE), signs[at]
         w = weights[lane, gate[:n]]
-        z = np.einsum("klt,lk->lt", x, w)
+        z = np.einsum("lkt,lk->lt", x, w)
         near = np.rint(np.clip(z, -REACH, REACH)).astype(np.int64)
         near += ((2 * REACH + 1) * lane + REACH)[:, None]
         z += corrections[near]
@@ -284,9 +358,9 @@ def code_lengths(parts: list[bytes], tree: Tree, table: np.ndarray | Known) -> n
         one = e + 1
         e /= one
         e *= sign
-        bill = np.log2(one, out=one).sum(axis=1) - spare[at]
+        bill = np.log(one, out=one).sum(axis=1) / np.float32(np.log(2)) - spare[at]
         cost[:n] += bill
-        w -= RATE * np.einsum("klt,lt->lk", x, e)
+        w -= RATE * np.einsum("lkt,lt->lk", x, e)
         weights[lane, gate[:n]] = w
         learned = np.bincount(near.ravel(), e.ravel(), minlength=n * (2 * REACH + 1))
         corrections[: len(learned)] -= REFINE_RATE * learned
@@ -311,27 +385,30 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def pair_rows(parts: list[bytes], table_bits: int | None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct (context, byte) of some texts in order and, for each context, where
+    among them the one at each byte of the texts stands."""
+    found = [[] for _ in range(CONTEXTS)]
+    for part in steps(np.array([len(p) for p in parts], np.int64)):
+        for k, own in enumerate(pairs_of(*lay_out(parts[part]), table_bits)):
+            found[k].append(own)
+    keys, rows, total = [], [], 0
+    for own in found:
+        every, row = np.unique(np.concatenate([pairs for pairs, _ in own]), return_inverse=True)
+        row = (row + total).astype(np.int32)
+        low = np.cumsum([0, *(len(pairs) for pairs, _ in own)])
+        rows.append(np.concatenate([row[a:b][number] for a, b, (_, number) in zip(low[:-1], low[1:], own, strict=True)]))
+        keys.append(every)
+        total += len(every)
+    return np.concatenate(keys), rows
+
+
 def held(parts: list[bytes], learned: np.ndarray, table_bits: int | None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (context, byte) of some texts in order, and how often those texts
     that are learned from hold each."""
-    found = [[] for _ in range(CONTEXTS)]
-    for part in steps(np.array([len(p) for p in parts], np.int64), LAYOUT):
-        data, offsets = lay_out(parts[part])
-        own = np.repeat(learned[part], np.diff(offsets))
-        for k, context in enumerate(contexts(data, offsets, table_bits)):
-            every = followed(context, data)
-            known, n = np.unique(every[own], return_counts=True)
-            other = np.unique(every[~own])
-            found[k] += [(known, n), (other, np.zeros(len(other), n.dtype))]
-    keys, seen = [], []
-    for own in found:
-        every, n = (np.concatenate(x) for x in zip(*own, strict=True))
-        order = np.argsort(every)
-        every = every[order]
-        first = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-        keys.append(every[first])
-        seen.append(np.add.reduceat(n[order], first))
-    return np.concatenate(keys), np.concatenate(seen)
+    keys, rows = pair_rows(parts, table_bits)
+    own = np.repeat(learned, [len(p) for p in parts])
+    return keys, sum(np.bincount(row if own.all() else row[own], minlength=len(keys)) for row in rows)
 
 
 def by_bucket(keys: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
@@ -379,12 +456,16 @@ def gather(starts: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(starts - skip, length) + np.arange(int(length.sum()))
 
 
-#: Words and their counts; contexts with the byte after them, as differences, and counts.
-WORDS = {"key": "<u8", "trained": "<u4"}
-ASKED = WORDS | {"pairs": "u1", "seen": "u1"}
-#: Counts of the words, the bucket's distinct trained words and their occurrences, and
-#: values of the bits.
-TOLD = {"key": "<u8", "count": "<i8", "totals": "<i8", "values": "u1"}
+#: All are compressed: words, as differences, and their counts; contexts with the byte
+#: after them, likewise.
+ASKED = {"words": "u1", "trained": "u1", "pairs": "u1", "seen": "u1"}
+#: Counts of the words in the order they were asked in, the bucket's distinct trained
+#: words and their occurrences, and codes of the values of the bits.
+TOLD = {"count": "u1", "totals": "<i8", "values": "u1"}
+
+
+def _bytes(values: np.ndarray) -> np.ndarray:
+    return np.frombuffer(squeezed(values), np.uint8)
 
 
 def _block_words(rows: pa.Table):
@@ -428,41 +509,42 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
         none, parts = np.zeros(0, np.int64), []
         for b in range(buckets):  # all, as each tells its totals
             at, own = words.get(b, none), after.get(b, none)
-            part = {"key": keys[at], "trained": counts[at]}
-            part["pairs"] = np.frombuffer(squeezed(np.diff(pairs[own], prepend=np.uint64(0))), np.uint8)
-            part["seen"] = np.frombuffer(squeezed(seen[own].astype(np.uint32)), np.uint8)
+            part = {
+                "words": _bytes(np.diff(keys[at], prepend=np.uint64(0))),
+                "trained": _bytes(counts[at].astype(np.uint32)),
+                "pairs": _bytes(np.diff(pairs[own], prepend=np.uint64(0))),
+                "seen": _bytes(seen[own].astype(np.uint32)),
+            }
             parts.append((b, part))
         return B.pack(ASKED, key[0].as_py(), parts)
 
     def add(key, rows):
-        found, row = B.unpack(rows, WORDS)
-        keys, number = np.unique(found["key"], return_inverse=True)
-        counts = np.bincount(number, found["trained"], minlength=len(keys)).astype(np.int64)
+        words = [np.cumsum(expanded(x, "<u8"), dtype=np.uint64) for x in rows.column("words").to_pylist()]
+        trained = np.concatenate([expanded(x, "<u4") for x in rows.column("trained").to_pylist()])
+        keys, number = np.unique(np.concatenate(words), return_inverse=True)
+        counts = np.bincount(number, trained, minlength=len(keys)).astype(np.int64)
         block, made = rows.column("block").to_numpy(), []
-        ends = np.cumsum(np.bincount(row, minlength=rows.num_rows))
+        ends = np.cumsum([len(x) for x in words])
         totals = np.array([np.count_nonzero(counts), counts.sum()])
         asked = [np.cumsum(expanded(x, "<u8"), dtype=np.uint64) for x in rows.column("pairs").to_pylist()]
         seen = np.concatenate([expanded(x, "<u4") for x in rows.column("seen").to_pylist()])
         pairs, nth = np.unique(np.concatenate(asked), return_inverse=True)
         values, starts = bit_values(pairs, np.bincount(nth, seen, minlength=len(pairs)), tree)
-        length = tree.length[(pairs & np.uint64(255)).astype(np.int64)]
+        codes, length = CODES[values.view(np.uint16)], tree.length[(pairs & np.uint64(255)).astype(np.int64)]
         own = np.split(nth, np.cumsum([len(x) for x in asked])[:-1])
         for i, end in enumerate(ends.tolist()):
             at = slice(ends[i - 1] if i else 0, end)
-            part = {"key": found["key"][at], "count": counts[number[at]], "totals": totals}
-            told = values[gather(starts[own[i]], length[own[i]])]
-            part["values"] = np.frombuffer(squeezed(told), np.uint8)
+            told = codes[gather(starts[own[i]], length[own[i]])]
+            part = {"count": _bytes(counts[number[at]]), "totals": totals, "values": _bytes(told)}
             made.append((key[0].as_py(), part))
         return B.pack(TOLD, 0, made).set_column(0, "block", pa.array(block, pa.int32()))
 
     counts = B.answer(B.ask(blocks, ask, ASKED), add, TOLD)
     n_ends = learned.count()
 
-    def _told(parts, replies):
-        pairs, _ = held(parts, np.zeros(len(parts), bool), table_bits)
+    def _told(pairs, replies):
         order = np.concatenate([at for _, at in sorted(by_bucket(pairs, buckets).items())])
-        replies = replies.select(["bucket", "values"]).sort_by("bucket").column("values").to_pylist()
-        values = np.concatenate([expanded(x, "<i2") for x in replies])
+        values = VALUES[np.concatenate([expanded(x, "<u2") for x in replies.column("values").to_pylist()])]
         length = tree.length[(pairs[order] & np.uint64(255)).astype(np.int64)]
         starts = np.empty(len(pairs), np.int64)
         starts[order] = np.cumsum(length) - length
@@ -470,25 +552,31 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
 
     def judge(rows, replies):
         hashes, doc = _block_words(rows)
-        told, _ = B.unpack(replies, {k: TOLD[k] for k in ("key", "count")})
+        replies = replies.sort_by("bucket")
         totals = B.unpack(replies, {"totals": TOLD["totals"]})[0]["totals"].reshape(-1, 2).sum(axis=0)
         n_train = int(totals[1]) + n_ends
         n_distinct = int(totals[0]) + (n_ends > 0)
-        order = np.argsort(told["key"])
-        ranked, known = told["key"][order], told["count"][order]
-        c = known[np.searchsorted(ranked, hashes)] if len(ranked) else np.zeros(len(hashes), np.int64)
+        keys, number = np.unique(hashes, return_inverse=True)
+        known = np.zeros(len(keys), np.int64)
+        if len(keys):
+            known[np.concatenate([at for _, at in B.by_bucket(keys, buckets)])] = np.concatenate(
+                [expanded(x, "<i8") for x in replies.column("count").to_pylist()]
+            )
+        c = known[number]
         total = np.log10(n_train + n_distinct + 1)
         words = np.bincount(doc, minlength=rows.num_rows)
         base = np.bincount(doc, np.log10(c + 1) - total, minlength=rows.num_rows) + np.log10(n_ends + 1) - total
         n_known = np.bincount(doc[c > 0], minlength=rows.num_rows) + (n_ends > 0)
         parts = [symbols(t) for t in rows.column("body").to_pylist()]
-        table = _told(parts, replies)
         sizes = np.array([len(p) for p in parts], np.int64)
         bits = np.zeros(rows.num_rows)
-        order = np.argsort(-sizes, kind="stable")  # lanes of like length move on together
+        order = np.argsort(-sizes, kind="stable")
         ranked = [parts[i] for i in order]
-        for part in steps(sizes[order], LAYOUT):
-            bits[order[part]] = code_lengths(ranked[part], tree, table)
+        pairs, own = pair_rows(ranked, table_bits)
+        table, ends = _told(pairs, replies), np.cumsum(sizes[order])
+        for part in steps(sizes[order], MIXED):
+            at = slice(ends[part.start] - sizes[order[part.start]], ends[part.stop - 1])
+            bits[order[part]] = code_lengths(ranked[part], tree, table, [row[at] for row in own])
         return pa.table(
             {
                 "doc_id": rows.column("row_id"),
