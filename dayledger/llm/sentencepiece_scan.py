@@ -33,7 +33,7 @@ SPACE = "▁"
 #: Characters of a chunk; longer texts are giant.
 CHUNK = 1 << 15
 #: Words, pieces of words and pairs of pieces that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Ids that become bytes in one step.
 GATHERED = 1 << 16
 NEVER = float("-inf")
@@ -45,6 +45,74 @@ Matrix = dict[State, set[State]]
 START: State = (0, 0)
 
 
+def _characters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _joined_keys(characters: np.ndarray) -> np.ndarray:
+    """Each two characters in a row as one number."""
+    return characters[:-1].astype(np.int64) << 32 | characters[1:]
+
+
+def _member(values: np.ndarray, ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values stand among distinct ones in order, and whether they do."""
+    at = np.searchsorted(ranked, values)
+    if not len(ranked):
+        return at, np.zeros(len(at), bool)
+    np.minimum(at, len(ranked) - 1, out=at)
+    return at, ranked[at] == values
+
+
+class Trie:
+    """The pieces as a trie that many positions of a text walk together. A node is its
+    rank among those of its depth, by the node before and the character after that."""
+
+    def __init__(self, ids: dict[str, int]):
+        single = {p for p in ids if len(p) == 1}
+        pieces = [p for p in ids if single.issuperset(p)]  # the others need a letter that has no code
+        self.letters = np.sort(_characters("".join(single)))
+        self.sizes = np.zeros(max(ids.values(), default=0) + 1, np.int64)
+        number = np.array([ids[p] for p in pieces], np.int64)
+        self.sizes[number] = [len(p) for p in pieces]
+        starts = np.cumsum(self.sizes[number]) - self.sizes[number]
+        code = self.codes(_characters("".join(pieces)))
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        node, depth = np.zeros(len(pieces), np.int64), 0
+        while len(number):
+            keys, node = np.unique(node * len(self.letters) + code[starts + depth], return_inverse=True)
+            depth += 1
+            piece, ending = np.full(len(keys), -1, np.int64), self.sizes[number] == depth
+            piece[node[ending]] = number[ending]
+            self.levels.append((keys, piece))
+            number, node, starts = number[~ending], node[~ending], starts[~ending]
+        self.known_alone: dict[int, bool] = {}
+
+    def codes(self, characters: np.ndarray) -> np.ndarray:
+        """The rank of each character among those that are pieces, or -1."""
+        at, there = _member(characters, self.letters)
+        return np.where(there, at, -1)
+
+    def walk(self, code: np.ndarray, left: np.ndarray):
+        """For each size: where pieces of it start, and which. ``left`` says how many
+        characters from each on are in its part."""
+        start, node = np.arange(len(code)), np.zeros(len(code), np.int64)
+        for n, (keys, piece) in enumerate(self.levels):
+            inside = left[start] > n
+            start, node = start[inside], node[inside]
+            node, there = _member(node * len(self.letters) + code[start + n], keys)
+            start, node = start[there], node[there]
+            own = piece[node]
+            yield start[own >= 0], own[own >= 0]
+
+    def alone(self, lattice: Lattice, pieces: np.ndarray) -> np.ndarray:
+        """Which pieces stay whole where nothing is beside them."""
+        known, distinct = self.known_alone, np.unique(pieces)
+        for i in distinct.tolist():
+            if i not in known:
+                known[i] = lattice.profile(lattice.pieces[i]) is not None
+        return np.array([known[i] for i in pieces.tolist()], bool)
+
+
 class Lattice:
     """Pieces of a merging model with byte fallback, and which of them are stable."""
 
@@ -65,6 +133,9 @@ class Lattice:
         #: Two characters in a row of any piece.
         self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.by_space = not any(x[0] != SPACE and x[1] == SPACE for x in self.joins)
+        self.join_keys = np.sort(_joined_keys(_characters("".join(self.joins)))[::2])
+        self.trie = Trie(self.ids)
+        self.number_pairs: dict[int, bool] = {}
         self.profiles: dict[str, tuple | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
@@ -98,25 +169,26 @@ class Lattice:
         """Whether two neighbours stay apart: no merge across comes before theirs."""
         known = self.pairs.get((a, b))
         if known is None:
-            one, two = self.profile(a), self.profile(b)
-            known = one is not None and two is not None
-            if known:
-                right, left, i, j = one[0], two[1], 0, 0
-                while True:
-                    (x, next_a), (y, next_b) = right[i], left[j]
-                    across = self.scores.get(x + y, NEVER)
-                    if across > next_a and across >= next_b and across > NEVER:
-                        known = False
-                        break
-                    if next_a == NEVER and next_b == NEVER:
-                        break
-                    if next_a >= next_b:
-                        i += 1
-                    else:
-                        j += 1
-            self.pairs[a, b] = known
+            known = self.pairs[a, b] = self._apart(a, b)
         return known
 
+    def _apart(self, a: str, b: str) -> bool:
+        one, two = self.profile(a), self.profile(b)
+        if one is None or two is None:
+            return False
+        right, left, i, j = one[0], two[1], 0, 0
+        while True:
+            (x, next_a), (y, next_b) = right[i], left[j]
+            across = self.scores.get(x + y, NEVER)
+            if across > next_a and across >= next_b and across > NEVER:
+                return False
+            if next_a == NEVER and next_b == NEVER:
+                return True
+            if next_a >= next_b:
+                i += 1
+            else:
+                j += 1
+
     # --- the lattice of a stretch of text ---
 
     def forward(self, text: str, first: int, last: int, entries: dict[int, list[tuple[str, int]]]):
@@ -161,8 +233,8 @@ class Lattice:
 
     def cuts(self, text: str) -> list[int]:
         """Positions between characters that no piece holds in a row."""
-        joins = self.joins
-        return [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in joins]
+        keys = _joined_keys(_characters(text))
+        return (np.flatnonzero(~_member(keys, self.join_keys)[1]) + 1).tolist()
 
     def parts(self, word: str) -> list[str]:
         at = self.cuts(word)
@@ -198,6 +270,78 @@ class Lattice:
             end -= len(path[-1])
         return path[::-1]
 
+    def learn_parts(self, parts: list[str]) -> None:
+        """Remember the ids of distinct texts that stand alone: ``pieces_of`` for all of
+        them together, by the end of a piece and then from long pieces to short ones."""
+        trie = self.trie
+        code = trie.codes(_characters("".join(parts)))
+        sizes = np.array([len(p) for p in parts], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        plain = np.minimum.reduceat(code, starts) >= 0 if len(parts) else np.zeros(0, bool)
+        for i in np.flatnonzero(~plain).tolist():
+            self.part(parts[i])
+        code, parts, sizes = code[np.repeat(plain, sizes)], [parts[i] for i in np.flatnonzero(plain).tolist()], sizes[plain]
+        begins = np.cumsum(sizes) - sizes
+        offset = np.arange(len(code)) - np.repeat(begins, sizes)
+        found = trie.walk(code, np.repeat(sizes, sizes) - offset)
+        by_end = []
+        for n, (start, piece) in enumerate(found, 1):
+            end = offset[start] + n
+            order = np.argsort(end, kind="stable")
+            by_end.append((start[order], piece[order], np.searchsorted(end[order], np.arange(int(sizes.max(initial=0)) + 2))))
+        last = np.full(len(code), -1, np.int64)
+        for end in range(1, int(sizes.max(initial=0)) + 1):
+            for n in range(min(end, len(by_end)), 0, -1):
+                start, piece, bounds = by_end[n - 1]
+                own = slice(bounds[end], bounds[end + 1])
+                start, piece = start[own], piece[own]
+                free = last[start + n - 1] < 0
+                start, piece = start[free], piece[free]
+                if not len(start):
+                    continue
+                if n == end:
+                    stable = trie.alone(self, piece)
+                else:
+                    stable = self._stable_numbers(last[start - 1] * len(self.pieces) + piece)
+                last[start[stable] + n - 1] = piece[stable]
+        owner, at, steps = np.arange(len(parts)), begins + sizes, []
+        while len(owner):
+            piece = last[at - 1]
+            steps.append((owner, piece))
+            at = at - trie.sizes[piece]
+            more = at > begins[owner]
+            owner, at = owner[more], at[more]
+        owner, piece = (np.concatenate(x[::-1]) for x in zip(*steps, strict=True)) if steps else (np.zeros(0, int),) * 2
+        data = piece[np.argsort(owner, kind="stable")].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(parts)))).tolist()
+        self.known_parts.update(zip(parts, (data[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+
+    def _stable_numbers(self, keys: np.ndarray) -> np.ndarray:
+        """Which pairs of pieces stay apart, each as one number."""
+        distinct, place = np.unique(keys, return_inverse=True)
+        known, pieces = self.number_pairs, self.pieces
+        distinct = distinct.tolist()
+        for key in distinct:
+            if key not in known:
+                a, b = divmod(key, len(pieces))
+                known[key] = self._apart(pieces[a], pieces[b])
+        return np.array([known[k] for k in distinct], bool)[place]
+
+    def learn_words(self, words: list[str]) -> None:
+        """Remember the ids of words, all that are new in some texts."""
+        text = "".join(words).replace(" ", SPACE)
+        ends = np.cumsum([len(w) for w in words])
+        keys = _joined_keys(_characters(text))
+        cut = ~_member(keys, self.join_keys)[1]
+        cut[ends[:-1] - 1] = True
+        bounds = [0, *(np.flatnonzero(cut) + 1).tolist(), len(text)]
+        parts = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        self.learn_parts(list(set(parts).difference(self.known_parts)))
+        found = list(map(self.known_parts.__getitem__, parts))
+        sizes, data = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))), b"".join(found)
+        cuts = [0, *sizes[np.searchsorted(bounds[1:], ends)].tolist()]
+        self.words.update(zip(words, (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+
     def numbers(self, pieces: list[str]) -> list[int]:
         out: list[int] = []
         for p in pieces:
@@ -220,26 +364,30 @@ class Lattice:
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text."""
-        if not text:
-            return b""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts; what is new in them is worked on together."""
         if not self.by_space:
-            return self.word(" " + text)
-        words, known = WORD.findall(" " + text.replace(SPACE, " ")), self.words
-        for word in set(words).difference(known):
-            known[word] = self.word(word)
-        ids = b"".join(map(known.__getitem__, words))
+            return [self.word(" " + t) if t else b"" for t in texts]
+        words = [WORD.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        new = set().union(*words).difference(self.words)
+        if new:
+            self.learn_words(list(new))
+        get = self.words.__getitem__
+        ids = [b"".join(map(get, own)) for own in words]
         self.forget()
         return ids
 
     def forget(self) -> None:
-        for memory in (self.words, self.known_parts, self.pairs, self.last):
+        for memory in (self.words, self.known_parts, self.pairs, self.number_pairs, self.last):
             if len(memory) > REMEMBERED:
                 memory.clear()
 
     def release(self) -> None:
         """Forget all at the end of a task, the model too: idle workers keep what they
         remember, and a model is read again in a fraction of a second."""
-        for memory in (self.words, self.known_parts, self.pairs, self.last, self.profiles):
+        for memory in (self.words, self.known_parts, self.pairs, self.number_pairs, self.last, self.profiles):
             memory.clear()
         _lattices.clear()
         _pieces.clear()
@@ -308,7 +456,9 @@ class Lattice:
                 ends = self._ends(text, first, hard[0], [entry])
                 whole = next(iter(p for p, own in ends[hard[0]].items() if own))
                 out.append(self._packed(self.trace(text, ends, hard[0], whole, 1, begin)))
-            out += [self.part(text[a:b]) for a, b in zip(hard[:-1], hard[1:], strict=True)]
+            parts = [text[a:b] for a, b in zip(hard[:-1], hard[1:], strict=True)]
+            self.learn_parts(list(set(parts).difference(self.known_parts)))
+            out += map(self.known_parts.__getitem__, parts)
             begin = hard[-1]
             ends = self.forward(text, begin, last, {begin: [("", 1)]})
         else:
@@ -422,7 +572,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", chunk: int = CH
         for batch in slices(batches):
             own = batch.column(batch.schema.names.index(text)).to_pylist()
             at = batch.schema.names.index("ids")
-            ids = _lists([lattice.encode(t or "") for t in own])
+            ids = _lists(lattice.encode_all([t or "" for t in own]))
             yield batch.set_column(at, batch.schema.field(at), ids.cast(batch.schema.field(at).type))
         lattice.release()
 
@@ -622,7 +772,7 @@ def round_trips(docs: DataFrame, model_file: str, text: str = "text", chunk: int
         lattice, pieces = _lattice(shared), _piece_bytes(shared)
         for batch in slices(batches):
             texts = batch.column(1).to_pylist()
-            ids = _lists([lattice.encode(t) for t in texts])
+            ids = _lists(lattice.encode_all(texts))
             same = [a == b.encode() for a, b in zip(pieces(*_flat(ids)), texts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), ids.cast(pa.list_(pa.int32())), pa.array(same, pa.bool_())], names=["rest", "ids", "round_trip"]

@@ -92,3 +92,32 @@ def test_odd_documents(spark, library, chunk):
     assert Counter((r["doc_id"], tuple(r["ids"])) for r in trips) == Counter(want)
     assert {r["round_trip"] for r in trips} == {True} and {r["found"] for r in trips} == {"own found"}
     assert S.encode(documents(spark).where(F.lit(False)), FILE).count() == 0
+
+
+def test_new_words_of_many_texts_are_worked_on_together(library, monkeypatch):
+    with open(FILE, "rb") as file:
+        lattice = S.Lattice(file.read())
+    texts = ODD_TEXTS + random_texts(11, 300) + random_texts(12, 100, "abcdeinorst") + ["", "x 中y🦙z."]
+    taken, learn = [], lattice.learn_parts
+    monkeypatch.setattr(lattice, "learn_parts", lambda parts: taken.append(len(parts)) or learn(parts))
+    assert [ids(raw) for raw in lattice.encode_all(texts)] == [library.encode(t) for t in texts]
+    assert len(taken) == 1 and taken[0] > 500
+    assert [ids(raw) for raw in lattice.encode_all(texts[::-1])] == [library.encode(t) for t in texts[::-1]]
+    assert len(taken) == 1
+
+
+def test_parts_of_all_sizes_alone(lattice):
+    """The same path as a walk over one text at a time finds."""
+    parts = sorted({t.replace(" ", S.SPACE) for t in random_texts(13, 400, "aeinorst▁")} | {"a", "▁", "é中", "🦙a", "\x00"})
+    lattice.known_parts.clear()
+    lattice.learn_parts(parts)
+    assert [ids(lattice.known_parts[p]) for p in parts] == [lattice.numbers(lattice.pieces_of(p)) for p in parts]
+    lattice.learn_parts([])
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(S, "REMEMBERED", 3)
+    with open(FILE, "rb") as file:
+        lattice = S.Lattice(file.read())
+    for text in ODD_TEXTS * 2 + random_texts(14, 20):
+        assert ids(lattice.encode(text)) == library.encode(text)
