@@ -98,3 +98,15 @@ def test_selective_reads(spark, tmp_path):
 def test_no_documents(spark, tmp_path):
     S.write_tokens(documents(spark).where(F.lit(False)), str(tmp_path / "t"), FILE, files=2)
     assert S.read_tokens(spark, str(tmp_path / "t")).count() == 0
+
+
+def test_words_of_letters_and_marks_are_learned_together(tokenizer, monkeypatch):
+    draw = np.random.default_rng(3)
+    pick = lambda of, n: "".join(draw.choice(list(of), n))
+    words = [pick("abeinrst\xdf\xe9\xf8\xf7\xd7\u0101'1", a) + pick(".,!()\"'-_x\n", b).strip() for a, b in draw.integers(0, 7, (600, 2))]
+    encoder = S.WordEncoder(Path(FILE).read_text(encoding="utf-8"))
+    taken, learn = [], encoder._learn_pieces
+    monkeypatch.setattr(encoder, "_learn_pieces", lambda pieces: taken.append(len(pieces)) or learn(pieces))
+    for text in (" ".join(words), "  ".join(words[::-1])):
+        assert np.frombuffer(encoder([text.encode()])[0], "<i4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(taken) > 100 and len(taken) <= 2
