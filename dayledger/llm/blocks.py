@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.common import joined, partitions, text_of
+from dayledger.llm.common import joined, partitions, text_of, tidy_group
 
 BLOCKS_PER_PARTITION = 4
 NO_ID = np.iinfo(np.int64).max
@@ -82,21 +82,21 @@ def ask(blocks: DataFrame, emit: Callable, schema: dict[str, str], *answers: Dat
     """Packed rows that ``emit(rows[, answer rows])`` makes from each block."""
     if answers:
         heard = answers[0].repartition(partitions(blocks.sparkSession), "block")
-        return blocks.groupBy("block").cogroup(heard.groupBy("block")).applyInArrow(emit, packed(schema))
-    return blocks.groupBy("block").applyInArrow(emit, packed(schema))
+        return blocks.groupBy("block").cogroup(heard.groupBy("block")).applyInArrow(tidy_group(emit), packed(schema))
+    return blocks.groupBy("block").applyInArrow(tidy_group(emit), packed(schema))
 
 
 def answer(asked: DataFrame, reduce: Callable, schema: dict[str, str]) -> DataFrame:
     """Packed rows that ``reduce(rows of one bucket)`` sends back to the blocks."""
     return asked.repartition(partitions(asked.sparkSession), "bucket").groupBy("bucket").applyInArrow(
-        reduce, packed(schema)
+        tidy_group(reduce), packed(schema)
     )
 
 
 def conclude(blocks: DataFrame, heard: DataFrame, conclude: Callable, schema: str) -> DataFrame:
     """What ``conclude(rows, answer rows)`` makes of each block that has rows."""
     replies = heard.repartition(partitions(blocks.sparkSession), "block")
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(conclude, schema)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(tidy_group(conclude), schema)
 
 
 # --- which keys do several sources hold? --------------------------------------

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from functools import lru_cache
+from inspect import Parameter, Signature, signature
 
 import numpy as np
 import pyarrow as pa
@@ -105,14 +106,32 @@ def tidy(run: Callable) -> Callable:
     def tidied(batches):
         yield from run(batches)
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
 
     return tidied
 
 
+def tidy_group(run: Callable) -> Callable:
+    """``run`` over one group, after which memory it freed goes back to the system."""
+
+    def tidied(*group):
+        found = run(*group)
+        give_back()
+        return found
+
+    # Spark counts the parameters, to know whether the key is wanted
+    names = [Parameter(n, Parameter.POSITIONAL_OR_KEYWORD) for n in signature(run).parameters]
+    tidied.__signature__ = Signature(names)
+    return tidied
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from dayledger.llm import blocks as B
-from dayledger.llm.common import WordHasher, boxed, mix, partitions, unboxed, word_spans
+from dayledger.llm.common import WordHasher, boxed, mix, partitions, steps, unboxed, word_spans
 
 #: Lines of fewer words only go if equal to an earlier one: a word in so few is
 #: more than a tenth of the line.
 MIN_WORDS = 10
 WHOLE = -1
+#: Bytes of text whose words are found and hashed at once.
+STRETCH = 1 << 18
 
 _hasher = WordHasher(7)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -43,16 +45,28 @@ class Lines:
     def __init__(self, rows: pa.Table):
         self.ids = B.row_ids(rows)
         data, offsets = B.bodies(rows)
-        starts, ends, doc = word_spans(data, offsets)
-        breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
-        number = breaks[starts] - breaks[offsets[doc]]
-        first = np.ones(len(starts), bool)
-        first[1:] = (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])
-        self.begin = np.flatnonzero(first)
-        self.size = np.diff(np.append(self.begin, len(starts)))
-        self.doc, self.number = doc[self.begin], number[self.begin].astype(np.int32)
+        n, begin, doc, number, words = 0, [], [], [], []
+        for part in steps(np.diff(offsets), STRETCH):
+            low = offsets[part.start]
+            own = data[low : offsets[part.stop]]
+            bounds = offsets[part.start : part.stop + 1] - low
+            starts, ends, of = word_spans(own, bounds)
+            breaks = np.flatnonzero(own == 0x0A)
+            line = np.searchsorted(breaks, starts) - np.searchsorted(breaks, bounds)[of]
+            first = np.ones(len(starts), bool)
+            first[1:] = (of[1:] != of[:-1]) | (line[1:] != line[:-1])
+            at = np.flatnonzero(first)
+            begin.append(at + n)
+            doc.append(of[at] + part.start)
+            number.append(line[at].astype(np.int32))
+            words.append(_hasher(own, starts, ends))
+            n += len(starts)
+        none = np.zeros(0, np.int64)
+        self.begin, self.doc = np.concatenate([none, *begin]), np.concatenate([none, *doc])
+        self.number = np.concatenate([none.astype(np.int32), *number])
+        self.words = np.concatenate([none.astype(np.uint64), *words])
+        self.size = np.diff(np.append(self.begin, n))
         self.row_id = self.ids[self.doc]
-        self.words = _hasher(data, starts, ends)
 
     def whole(self, seed: int = 0) -> np.ndarray:
         """A key for each line: a polynomial over its word hashes."""
@@ -62,15 +76,20 @@ class Lines:
 
     def variants(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Line, place of the missing word and key of each variant of some lines."""
-        size = self.size[chosen]
-        line = np.repeat(chosen, size)
-        place = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size)
+        size, begin = self.size[chosen], self.begin[chosen]
+        line = np.repeat(chosen.astype(np.int32), size)
+        place = np.arange(len(line), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size)
         sums = self._sums(0)
-        begin = self.begin[line]
-        before = sums[begin + place] - sums[begin]
-        after = sums[begin + self.size[line]] - sums[begin + place + 1]
-        total = before + after * _INVERSE
-        return line, place.astype(np.int32), self._key(total * _power(_INVERSE, begin), self.size[line] - 1)
+        at = np.repeat(begin, size)
+        at += place
+        # the words before, and those after by one power less
+        total = sums[at]
+        at += 1
+        total -= sums[at] * _INVERSE
+        del at
+        total += np.repeat(sums[begin + size] * _INVERSE - sums[begin], size)
+        total *= np.repeat(_power(_INVERSE, begin), size)
+        return line, place, self._key(total, np.repeat(size - 1, size))
 
     def _sums(self, seed: int) -> np.ndarray:
         words = mix(self.words + np.uint64(seed)) if seed else self.words

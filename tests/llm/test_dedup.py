@@ -2,14 +2,17 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from odd import TEXTS, documents, plain
 from pyspark.sql import functions as F
 
 from dayledger.llm.exact_dedup import exact_dedup
-from dayledger.llm.line_dedup import line_dedup, mark_lines
+from dayledger.llm.line_dedup import STRETCH, Lines, line_dedup, mark_lines
 from dayledger.llm.substring_dedup import difference_cover, substring_dedup
 
 
@@ -150,3 +153,19 @@ def test_lines_of_odd_documents(spark):
     assert rows[2, None]["text"] == "" and rows[2, None]["found"] == "own found"
     assert rows[9, 0]["text"] == "" and rows[6, 0]["text"] == ""
     assert line_dedup(docs.where(F.lit(False))).count() == 0
+
+
+def test_lines_of_a_block_take_little_memory():
+    """Beside the text; a word has some 6 bytes here. (Before: 25 times the text.)"""
+    draw = np.random.default_rng(5)
+    pick = ["a", "word", "some", "longer", "été", "words of", "line\n", "\n"]
+    texts = [" ".join(draw.choice(pick, n)).encode() for n in [*draw.integers(0, 600, 600), 2 * STRETCH // 4, 0, 1]]
+    rows = pa.table({"row_id": pa.array(range(len(texts))), "body": pa.array(texts, pa.binary())})
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    lines = Lines(rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = [(i, n, len(x.split())) for i, t in enumerate(texts) for n, x in enumerate(t.split(b"\n")) if x.split()]
+    assert list(zip(lines.row_id.tolist(), lines.number.tolist(), lines.size.tolist(), strict=True)) == want
+    assert size > 4 * STRETCH and most < 12 * size
