@@ -45,10 +45,14 @@ RATE = 0.002
 REACH = 8
 REFINE_RATE = 0.005
 FIRST_WEIGHTS = (0.1, 0.2, 0.45, 0.5)
+#: Bytes of text whose words are hashed at once.
+STRETCH = 1 << 18
 #: Bytes of text whose bits are laid out at once.
 LAYOUT = 1 << 19
 #: Bytes of texts that are mixed side by side; a longer text is alone.
 MIXED = 1 << 23
+#: Blocks of bits whose numbers are made floating together.
+CAST = 1024
 #: Places of a table that numbers values, for each value.
 ROOM = 16
 SCALE = 4096.0
@@ -288,12 +292,11 @@ class Known:
         if rows is None:
             rows = [np.searchsorted(self.keys, pairs)[number] for pairs, number in pairs_of(data, offsets, self.table_bits)]
         first = np.cumsum(bits.counts) - bits.counts
-        owner = np.repeat(np.arange(len(data)), bits.counts)
-        nth = np.arange(len(owner))
+        nth = np.arange(len(bits.real))
         for own in rows:
-            cell = (self.starts[own] - first)[owner]
+            cell = np.repeat(self.starts[own] - first, bits.counts)
             cell += nth
-            yield self.values[cell]
+            yield self.values.take(cell)
 
 
 def followed(context: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -314,12 +317,20 @@ def code_lengths(
 
     A lane is a text, a run of blocks of ``BLOCK`` bits. All lanes move on by a block
     at a time: predict its bits with the weights that the gate picks, correct the
-    predictions, pay for them, then let weights and corrections learn from them.
+    predictions, pay for them, then let weights and corrections learn from them. The
+    blocks of a step lie side by side, those of longer texts first.
     """
     sizes = np.array([len(p) for p in parts], np.int64)
     blocks = np.array([-(-int(tree.length[np.frombuffer(p, np.uint8)].sum()) // BLOCK) for p in parts], np.int64)
-    inputs = np.empty((int(blocks.sum()), CONTEXTS, BLOCK), np.int16)
-    signs = np.empty((len(inputs), BLOCK), np.int8)
+    order = np.argsort(-blocks, kind="stable")
+    lanes = np.searchsorted(-blocks[order], -np.arange(blocks.max(initial=0)), "left")  # of each step
+    rank = np.empty(len(parts), np.int64)
+    rank[order] = np.arange(len(parts))
+    step = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    place = (np.cumsum(lanes) - lanes)[step] + np.repeat(rank, blocks)
+    total = len(place)
+    inputs = np.empty((total, CONTEXTS, BLOCK), np.int16)
+    signs = np.empty((total, BLOCK), np.int8)
     low = byte = 0
     for part in steps(sizes, LAYOUT):
         data, offsets = lay_out(parts[part])
@@ -331,41 +342,61 @@ def code_lengths(
         else:
             found = slot_inputs(table, data, offsets, bits)
         for k, value in enumerate(found):
-            inputs[low:high, k] = value.reshape(-1, BLOCK)
-        signs[low:high] = (np.where(bits.bit, np.int8(-1), np.int8(1)) * bits.real).reshape(-1, BLOCK)
+            inputs[place[low:high], k] = value.reshape(-1, BLOCK)
+        signs[place[low:high]] = ((1 - 2 * bits.bit.view(np.int8)) * bits.real).reshape(-1, BLOCK)
         low, byte = high, byte + len(data)
     spare = BLOCK - np.count_nonzero(signs, axis=1)
-    begin, width, owner = np.cumsum(blocks) - blocks, blocks, np.arange(len(parts))
-    order = np.argsort(-width, kind="stable")
-    owner, begin, width = owner[order], begin[order], width[order]
-    weights = np.tile(np.array(FIRST_WEIGHTS, np.float32), (len(owner), len(GATES) + 1, 1))
-    gate = np.ones(len(owner), np.int64)
-    corrections = np.zeros(len(owner) * (2 * REACH + 1), np.float32)
-    cost = np.zeros(len(owner))
-    for t in range(int(width.max(initial=0))):
-        n = int(np.searchsorted(-width, -t, "left"))
-        at, lane = begin[:n] + t, np.arange(n)
-        x, sign = inputs[at] * np.float32(1 / SCALE), signs[at]
-        w = weights[lane, gate[:n]]
-        z = np.einsum("lkt,lk->lt", x, w)
-        near = np.rint(np.clip(z, -REACH, REACH)).astype(np.int64)
-        near += ((2 * REACH + 1) * lane + REACH)[:, None]
-        z += corrections[near]
-        # the signs are -1 for a 1, 1 for a 0 and 0 for filling, which costs 1 bit
-        z *= sign
-        np.minimum(z, 60, out=z)
-        e = np.exp(z, out=z)
-        one = e + 1
-        e /= one
-        e *= sign
-        bill = np.log(one, out=one).sum(axis=1) / np.float32(np.log(2)) - spare[at]
-        cost[:n] += bill
-        w -= RATE * np.einsum("lkt,lt->lk", x, e)
-        weights[lane, gate[:n]] = w
-        learned = np.bincount(near.ravel(), e.ravel(), minlength=n * (2 * REACH + 1))
-        corrections[: len(learned)] -= REFINE_RATE * learned
-        gate[:n] = np.searchsorted(GATES, bill / (BLOCK - spare[at]))
-    return np.bincount(owner, cost, minlength=len(parts))
+    return _mixed(inputs, signs, spare, lanes)[rank]
+
+
+def _mixed(inputs: np.ndarray, signs: np.ndarray, spare: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+    """Bits that the texts take, longer ones first. ``lanes`` tells how many blocks each
+    step has. Inputs stay in steps of 1 / ``SCALE``; weights are that much smaller for it.
+
+    Most steps have few lanes, so what they cost is the number of operations."""
+    n, cells, sets = int(lanes.max(initial=0)), 2 * REACH + 1, len(GATES) + 1
+    n = max(n, 1)
+    weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(SCALE), (sets * n, 1))
+    corrections = np.zeros(n * cells, np.float32)
+    first_set = sets * np.arange(n)
+    chosen = first_set + 1
+    middle = (cells * np.arange(n) + REACH)[:, None]
+    cost, gates, unit, learn = np.zeros(n), np.array(GATES), np.float32(np.log(2)), RATE / SCALE**2
+    real = BLOCK - spare
+    first = 0
+    for some in steps(lanes, CAST):
+        counts = lanes[some].tolist()
+        last = first + sum(counts)
+        xs, ss = inputs[first:last].astype(np.float32), signs[first:last].astype(np.float32)
+        at = 0
+        for n in counts:
+            x, sign, own = xs[at : at + n], ss[at : at + n], chosen[:n]
+            w = weights[own]
+            z = np.einsum("lkt,lk->lt", x, w)
+            near = np.maximum(z, -REACH)
+            np.minimum(near, REACH, out=near)
+            near = np.rint(near, out=near).astype(np.int64)
+            near += middle[:n]
+            z += corrections.take(near)
+            # the signs are -1 for a 1, 1 for a 0 and 0 for filling, which costs 1 bit
+            z *= sign
+            np.minimum(z, 60, out=z)
+            e = np.exp(z, out=z)
+            one = e + 1
+            e /= one
+            e *= sign
+            bill = np.add.reduce(np.log(one, out=one), axis=1) / unit - spare[first + at : first + at + n]
+            cost[:n] += bill
+            w -= learn * np.einsum("lkt,lt->lk", x, e)
+            weights[own] = w
+            learned = np.bincount(near.ravel(), e.ravel(), n * cells)
+            learned *= REFINE_RATE
+            corrections[: n * cells] -= learned
+            bill /= real[first + at : first + at + n]
+            np.add(first_set[:n], gates.searchsorted(bill), out=own)
+            at += n
+        first = last
+    return cost
 
 
 def byte_counts(docs: DataFrame) -> np.ndarray:
@@ -406,9 +437,17 @@ def pair_rows(parts: list[bytes], table_bits: int | None) -> tuple[np.ndarray, l
 def held(parts: list[bytes], learned: np.ndarray, table_bits: int | None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (context, byte) of some texts in order, and how often those texts
     that are learned from hold each."""
-    keys, rows = pair_rows(parts, table_bits)
-    own = np.repeat(learned, [len(p) for p in parts])
-    return keys, sum(np.bincount(row if own.all() else row[own], minlength=len(keys)) for row in rows)
+    found = [[] for _ in range(CONTEXTS)]
+    for part in steps(np.array([len(p) for p in parts], np.int64)):
+        own = np.repeat(learned[part], [len(p) for p in parts[part]])
+        for k, (pairs, number) in enumerate(pairs_of(*lay_out(parts[part]), table_bits)):
+            found[k].append((pairs, np.bincount(number if own.all() else number[own], minlength=len(pairs))))
+    keys, seen = [], []
+    for pairs, counts in (map(np.concatenate, zip(*own, strict=True)) for own in found):
+        every, row = np.unique(pairs, return_inverse=True)
+        keys.append(every)
+        seen.append(np.bincount(row, counts, minlength=len(every)).astype(np.int64))
+    return np.concatenate(keys), np.concatenate(seen)
 
 
 def by_bucket(keys: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
@@ -469,9 +508,15 @@ def _bytes(values: np.ndarray) -> np.ndarray:
 
 
 def _block_words(rows: pa.Table):
+    """Hashes of the words of a block, found a stretch at a time, and their texts."""
     data, offsets = B.bodies(rows)
-    starts, ends, doc = word_spans(data, offsets)
-    return _hasher(data, starts, ends), doc
+    hashes, doc = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for part in steps(np.diff(offsets), STRETCH):
+        low, high = offsets[part.start], offsets[part.stop]
+        starts, ends, own = word_spans(data[low:high], offsets[part.start : part.stop + 1] - low)
+        hashes.append(_hasher(data[low:high], starts, ends))
+        doc.append(own + part.start)
+    return np.concatenate(hashes), np.concatenate(doc)
 
 
 def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str = "text", table_bits: int | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import TEXTS, documents
 from pyspark.sql import functions as F
@@ -174,3 +176,27 @@ def test_questions_and_answers_are_small(spark, monkeypatch):
     size = lambda frame: frame.select(sum(F.octet_length(c) for c in frame.columns[2:]).alias("n")).agg(F.sum("n")).first()[0]
     text = docs.agg(F.sum(F.octet_length("text"))).first()[0]
     assert size(asked[0]) < 2.1 * text and size(told[0]) < 4.5 * text
+
+
+def test_words_of_a_block_are_hashed_in_stretches():
+    """The hashes are those of the whole block, without sums over it. (Before: 9 bytes
+    a byte of text.)"""
+    draw = np.random.default_rng(9)
+    sizes = [*draw.integers(0, 20_000, 150), 2 * L.STRETCH, 0, 1]
+    texts = [b" ".join([b"x%d" % n * 12 for n in draw.integers(0, 999, size // 40)]) for size in sizes]
+    rows = pa.table({"body": pa.array(texts, pa.binary())})
+    data, offsets = L.B.bodies(rows)
+    tracemalloc.start()
+    hashes, doc = L._block_words(rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    starts, ends, want = L.word_spans(data, offsets)
+    assert (hashes == L._hasher(data, starts, ends)).all() and (doc == want).all()
+    assert len(data) > 4 * L.STRETCH and most < 5 * len(data), most / len(data)
+
+
+def test_pairs_are_counted_without_a_place_for_each_byte(monkeypatch):
+    monkeypatch.setattr(L, "pair_rows", None)
+    parts = [L.symbols(t) for t in (b"the cat sat", b"", b"the cat ran")]
+    keys, seen = L.held(parts, np.array([True, True, False]), None)
+    assert seen.sum() == L.CONTEXTS * (len(parts[0]) + 1) and (seen == 0).any()
