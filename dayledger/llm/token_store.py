@@ -30,7 +30,8 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 FILE_SCHEMA = "doc_id bigint, part int, part_start bigint, n_tokens int, tokens array<int>"
 
-#: Distinct words whose ids a worker remembers; beyond it, it starts anew.
+#: Distinct words whose ids a worker remembers; beyond it, it goes on with those that
+#: the texts at hand have as well, mostly frequent ones.
 REMEMBERED_WORDS = 500_000
 
 
@@ -93,10 +94,12 @@ class WordEncoder:
             return self._ids([t.decode() for t in texts])
         # a special token's own string must keep its case
         words = [(t.lower() if self.folds and b"<|" not in t else t).split() for t in texts]
+        every = set(chain.from_iterable(words))
         if len(self.known) + len(self.known_pieces) > REMEMBERED_WORDS:
-            self.known.clear()
+            self.known = {w: self.known[w] for w in every.intersection(self.known)}
             self.known_pieces.clear()
-        self._learn(list(set(chain.from_iterable(words)).difference(self.known)))
+        self._learn(list(every.difference(self.known)))
+        del every
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in words]
 

@@ -110,3 +110,14 @@ def test_words_of_letters_and_marks_are_learned_together(tokenizer, monkeypatch)
     for text in (" ".join(words), "  ".join(words[::-1])):
         assert np.frombuffer(encoder([text.encode()])[0], "<i4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     assert max(taken) > 100 and len(taken) <= 2
+
+
+def test_words_in_use_are_not_learned_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(S, "REMEMBERED_WORDS", 3)
+    encoder = S.WordEncoder(Path(FILE).read_text(encoding="utf-8"))
+    learned, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learned.append(sorted(words)) or learn(words))
+    for text in (b"the cat, sat on", b"the dog sat,", b"the dog ran"):
+        assert np.frombuffer(encoder([text])[0], "<i4").tolist() == tokenizer.encode(text.decode(), add_special_tokens=False).ids
+    assert learned == [[b"cat,", b"on", b"sat", b"the"], [b"dog", b"sat,"], [b"ran"]]
+    assert set(encoder.known) == {b"the", b"dog", b"ran"}
