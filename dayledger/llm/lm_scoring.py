@@ -19,7 +19,7 @@ words over all training texts.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,13 +48,15 @@ FIRST_WEIGHTS = (0.1, 0.2, 0.45, 0.5)
 #: Bytes of text whose words are hashed at once.
 STRETCH = 1 << 18
 #: Bytes of text whose bits are laid out at once.
-LAYOUT = 1 << 19
+LAYOUT = 1 << 16
+#: Bits of a byte's path that are laid out together.
+FIRST = 8
 #: Bytes of texts that are mixed side by side; a longer text is alone.
 MIXED = 1 << 23
 #: Blocks of bits whose numbers are made floating together.
 CAST = 1024
-#: Places of a table that numbers values, for each value.
-ROOM = 16
+#: Bytes whose pairs are sorted at once; 64 bits hold five bytes and a place among them.
+PIECE = 1 << 23
 SCALE = 4096.0
 
 _hasher = WordHasher(8, fold_case=True)
@@ -140,61 +142,74 @@ def contexts(data: np.ndarray, offsets: np.ndarray, table_bits: int | None = Non
         yield _of_kind(kind, context(kind, data, into, written, np.arange(len(data))), table_bits)
 
 
-def numbered(values: np.ndarray, size: int) -> tuple[np.ndarray, int]:
-    """Numbers of the distinct among some values below ``size``, and how many they are."""
-    if size > ROOM * len(values) + (1 << 16):
-        every, number = np.unique(values, return_inverse=True)
-        return number.astype(np.int32), len(every)
-    there = np.zeros(size, bool)
-    there[values] = True
-    every = np.flatnonzero(there)
-    number = np.empty(size, np.int32)
-    number[every] = np.arange(len(every), dtype=np.int32)
-    return number[values], len(every)
-
-
-def pair_numbers(data: np.ndarray, offsets: np.ndarray, written: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """For each context, numbers of the pairs of it and the byte after it, and how many
-    they are. A run of bytes is numbered by the number of all but its last byte and that
-    one, so tables take the place of sorting. Few pairs may have two numbers."""
-    begins = offsets[:-1][offsets[:-1] < offsets[1:]]
-    there = np.bincount(data, minlength=256) > 0
-    there[END] = True
-    code, size = np.cumsum(there) - 1, int(np.count_nonzero(there))
-    byte = code[data]
-    run, count, outside = byte, size, code[END]
-    for k in range(1, max(ORDERS) + 1):
-        before = np.empty(len(data), np.int64)
-        before[1:] = run[:-1]
-        before[begins] = outside
-        before *= size
-        before += byte
-        run, count = numbered(before, (count + 1) * size)
-        outside = count
-        if k in ORDERS:
-            yield run, count
-    word, first, total = np.empty(len(data), np.int32), 0, 0
-    for n in range(WORD_REACH):
-        at = np.flatnonzero(written == n)
-        own = (word[at - 1].astype(np.int64) - first) * size + byte[at] if n else byte[at]
-        number, found = numbered(own, max(1, total - first) * size)
-        word[at] = number + total
-        first, total = total, total + found
-    at = np.flatnonzero(written == WORD_REACH)
-    number, found = run[at - (WORD_REACH - max(ORDERS))], count
-    for n in range(WORD_REACH - max(ORDERS) - 1, -1, -1):
-        number, found = numbered(number.astype(np.int64) * size + byte[at - n], found * size)
-    word[at] = number + total
-    yield word, total + found
-
-
-def pairs_of(data: np.ndarray, offsets: np.ndarray, table_bits: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each context: (context, byte) pairs, and which of them is at each byte."""
-    into, written = places(data, offsets)
-    for kind, (number, count) in enumerate(pair_numbers(data, offsets, written)):
-        at = np.empty(count, np.int64)
-        at[number] = np.arange(len(number))
-        yield followed(_of_kind(kind, context(kind, data, into, written, at), table_bits), data[at]), number
+def before(parts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Some bytes of the texts after others: each and the seven before it as one number,
+    the byte lowest, and how many bytes of its word (up to ``WORD_REACH``) stand before
+    it. Before a text stand ends."""
+    gap = bytes([END]) * 7
+    laid = np.frombuffer(gap.join([b"", *parts]), np.uint8)
+    sizes = np.array([len(p) for p in parts], np.int64)
+    ends = np.cumsum(sizes + 7)  # of the texts in ``laid``
+    real = np.ones(max(0, len(laid) - 7), bool)
+    real[(ends[:-1, None] - 7 + np.arange(7)).ravel()] = False
+    within = laid[6:-1] != SPACE
+    within[ends[:-1][ends[:-1] < len(within)]] = False
+    within[:1] = False
+    run, written = within, within.astype(np.uint8)
+    for _ in range(1, WORD_REACH):
+        last, run = run, np.zeros(len(run), bool)
+        np.logical_and(last[:-1], within[1:], out=run[1:])
+        written += run
+    for low in range(0, len(real), PIECE):
+        some = slice(low, min(len(real), low + PIECE))
+        eight = np.ndarray(some.stop - low, ">u8", laid, low, (1,))
+        yield eight.astype(np.uint64)[real[some]], written[some][real[some]]
+
+
+def last_bytes(eight: np.ndarray, n: int) -> np.ndarray:
+    return eight & np.uint64((1 << 8 * n) - 1)
+
+
+def in_word(eight: np.ndarray, written: np.ndarray) -> np.ndarray:
+    """The pairs of the word so far and the byte after it."""
+    own = WORD_MASKS[written]
+    own &= eight
+    own |= written.astype(np.uint64) << np.uint64(56)
+    return own
+
+
+def changes(ranked: np.ndarray) -> np.ndarray:
+    """Where values in order differ from the one before."""
+    first = np.ones(len(ranked), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=first[1:])
+    return first
+
+
+def ranks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the number of each value among them. Values
+    and their places share 64 bits, so plain numbers are sorted."""
+    bits = max(1, len(values) - 1).bit_length()
+    both = values << np.uint64(bits)
+    both |= np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    at = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    both >>= np.uint64(bits)
+    first = changes(both)
+    number = np.empty(len(values), np.int32)
+    number[at] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+    return both[first], number
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sums of their counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(changes(keys))
+    return keys[at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+
+
+def key_of(kind: int, pairs: np.ndarray, table_bits: int | None) -> np.ndarray:
+    return followed(_of_kind(kind, pairs >> np.uint64(8), table_bits), last_bytes(pairs, 1))
 
 
 def _of_kind(kind: int, context: np.ndarray, table_bits: int | None) -> np.ndarray:
@@ -206,6 +221,8 @@ def _of_kind(kind: int, context: np.ndarray, table_bits: int | None) -> np.ndarr
 CONTEXTS = len(ORDERS) + 1
 #: Added to the hash of a context for each node of the tree.
 NODES = np.random.default_rng(8).integers(0, 2**32, 511, np.uint32)
+#: The bits of a byte and of those of its word before it.
+WORD_MASKS = np.array([(1 << 8 * (n + 1)) - 1 for n in range(WORD_REACH + 1)], np.uint64)
 
 
 @dataclass
@@ -278,25 +295,72 @@ CODES = np.empty(1 << 16, np.uint16)
 CODES[VALUES.view(np.uint16)] = np.arange(1 << 16, dtype=np.uint16)
 
 
+@dataclass
+class Places:
+    """Where the bits of some bytes are taken from: the first ones of a byte's path from
+    a row for each byte, the few others one by one."""
+
+    at: np.ndarray  # in the rows of all bytes
+    late: np.ndarray  # the bits that are not in the rows
+    owner: np.ndarray  # their bytes
+    nth: np.ndarray  # and which of a byte's bits they are
+
+    def take(self, rows: np.ndarray, late: Callable[[], np.ndarray]) -> np.ndarray:
+        found = rows.ravel().take(self.at)
+        if len(self.late):
+            found[self.late] = late()
+        return found
+
+
+def places_of(length: np.ndarray, offsets: np.ndarray, filling: np.ndarray) -> tuple[Places, np.ndarray]:
+    """Places of the bits of some texts, whose bytes have codes of these lengths, and
+    where the filling stands that follows each text."""
+    ends = np.concatenate([[0], np.cumsum(length)])
+    past = np.cumsum(filling)
+    void = np.repeat(ends[offsets[1:]] + past - filling, filling) + counted_up(filling)
+    direct = np.ones(int(ends[-1]) + len(void), bool)
+    direct[void] = False
+    longer = np.flatnonzero(length > FIRST)
+    more = length[longer] - FIRST
+    owner, nth = np.repeat(longer, more), counted_up(more) + FIRST
+    late = ends[owner] + nth + np.concatenate([[0], past])[np.searchsorted(offsets[1:], owner, "right")]
+    direct[late] = False
+    at = np.zeros(len(direct), np.int64)
+    at[direct] = np.flatnonzero(WITHIN.take(length, 0, mode="clip"))
+    return Places(at, late, owner, nth), void
+
+
+def counted_up(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+#: Which of its first bits a byte has, whose code is so long; a longer one has all.
+WITHIN = np.arange(FIRST) < np.arange(FIRST + 1)[:, None]
+
+
 class Known:
     """What is known of each bit after the contexts that some texts hold: for each
     (context, byte), in order, a value for each bit of the byte."""
 
     def __init__(self, keys: np.ndarray, starts: np.ndarray, values: np.ndarray, table_bits: int | None):
         self.keys, self.starts, self.table_bits = keys, starts, table_bits
-        self.values = np.append(values, np.zeros(BLOCK, values.dtype))  # filling may read past the end
+        self.values = np.append(values, np.zeros(FIRST, values.dtype))  # a row may read past the end
+        self.first = self.values[starts[:, None] + np.arange(FIRST)]
 
-    def inputs(self, data: np.ndarray, offsets: np.ndarray, bits: Bits, rows: list[np.ndarray] | None = None):
-        """The values of the bits of some texts, context by context. ``rows`` tells where
-        the pair at each byte stands in ``keys``, all of which are held."""
-        if rows is None:
-            rows = [np.searchsorted(self.keys, pairs)[number] for pairs, number in pairs_of(data, offsets, self.table_bits)]
+    def inputs(self, data: np.ndarray, offsets: np.ndarray, bits: Bits):
+        """The values of the bits of some texts, context by context."""
         first = np.cumsum(bits.counts) - bits.counts
         nth = np.arange(len(bits.real))
+        for context in contexts(data, offsets, self.table_bits):
+            own = np.searchsorted(self.keys, followed(context, data))
+            yield self.values[np.repeat(self.starts[own] - first, bits.counts) + nth]
+
+    def laid(self, places: Places, rows: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """The values of the bits at some places, context by context; of filling, any.
+        ``rows`` tells where the pair at each byte stands in ``keys``."""
         for own in rows:
-            cell = np.repeat(self.starts[own] - first, bits.counts)
-            cell += nth
-            yield self.values.take(cell)
+            yield places.take(self.first.take(own, 0), lambda: self.values[self.starts[own[places.owner]] + places.nth])
 
 
 def followed(context: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -321,7 +385,8 @@ def code_lengths(
     blocks of a step lie side by side, those of longer texts first.
     """
     sizes = np.array([len(p) for p in parts], np.int64)
-    blocks = np.array([-(-int(tree.length[np.frombuffer(p, np.uint8)].sum()) // BLOCK) for p in parts], np.int64)
+    own = np.array([int(tree.length[np.frombuffer(p, np.uint8)].sum()) for p in parts], np.int64)
+    blocks = -(-own // BLOCK)
     order = np.argsort(-blocks, kind="stable")
     lanes = np.searchsorted(-blocks[order], -np.arange(blocks.max(initial=0)), "left")  # of each step
     rank = np.empty(len(parts), np.int64)
@@ -331,29 +396,37 @@ def code_lengths(
     total = len(place)
     inputs = np.empty((total, CONTEXTS, BLOCK), np.int16)
     signs = np.empty((total, BLOCK), np.int8)
+    sign = 1 - 2 * np.pad(tree.bit, ((0, 0), (0, max(0, FIRST - tree.bit.shape[1])))).astype(np.int8)
+    first_signs = np.ascontiguousarray(sign[:, :FIRST])
+    filling = blocks * BLOCK - own
     low = byte = 0
     for part in steps(sizes, LAYOUT):
         data, offsets = lay_out(parts[part])
-        bits = bits_of(data, offsets, tree, BLOCK)
         high = low + int(blocks[part].sum())
         if isinstance(table, Known):
-            own = None if rows is None else [row[byte : byte + len(data)] for row in rows]
-            found = table.inputs(data, offsets, bits, own)
+            spots, void = places_of(tree.length[data], offsets, filling[part])
+            found = table.laid(spots, [row[byte : byte + len(data)] for row in rows])
+            signed = spots.take(first_signs.take(data, 0), lambda: sign[data[spots.owner], spots.nth])
+            signed[void] = 0
         else:
+            bits = bits_of(data, offsets, tree, BLOCK)
             found = slot_inputs(table, data, offsets, bits)
+            signed = (1 - 2 * bits.bit.view(np.int8)) * bits.real
+        to = place[low:high]
         for k, value in enumerate(found):
-            inputs[place[low:high], k] = value.reshape(-1, BLOCK)
-        signs[place[low:high]] = ((1 - 2 * bits.bit.view(np.int8)) * bits.real).reshape(-1, BLOCK)
+            inputs[:, k][to] = value.reshape(-1, BLOCK)
+        signs[to] = signed.reshape(-1, BLOCK)
         low, byte = high, byte + len(data)
-    spare = BLOCK - np.count_nonzero(signs, axis=1)
-    return _mixed(inputs, signs, spare, lanes)[rank]
+    return _mixed(inputs, signs, lanes)[rank] / np.log(2) - filling
 
 
-def _mixed(inputs: np.ndarray, signs: np.ndarray, spare: np.ndarray, lanes: np.ndarray) -> np.ndarray:
-    """Bits that the texts take, longer ones first. ``lanes`` tells how many blocks each
-    step has. Inputs stay in steps of 1 / ``SCALE``; weights are that much smaller for it.
+def _mixed(inputs: np.ndarray, signs: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+    """What the texts cost, longer ones first, and their filling, as natural logarithms.
+    ``lanes`` tells how many blocks each step has. Inputs stay in steps of 1 / ``SCALE``;
+    weights are that much smaller for it.
 
-    Most steps have few lanes, so what they cost is the number of operations."""
+    Most steps have few lanes, so what they cost is the number of operations. Only the
+    last block of a text has filling, and no block follows that its gate could pick for."""
     n, cells, sets = int(lanes.max(initial=0)), 2 * REACH + 1, len(GATES) + 1
     n = max(n, 1)
     weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(SCALE), (sets * n, 1))
@@ -361,8 +434,8 @@ def _mixed(inputs: np.ndarray, signs: np.ndarray, spare: np.ndarray, lanes: np.n
     first_set = sets * np.arange(n)
     chosen = first_set + 1
     middle = (cells * np.arange(n) + REACH)[:, None]
-    cost, gates, unit, learn = np.zeros(n), np.array(GATES), np.float32(np.log(2)), RATE / SCALE**2
-    real = BLOCK - spare
+    cost, gates = np.zeros(n), (np.array(GATES) * BLOCK * np.log(2)).astype(np.float32)
+    learn, most = np.float32(RATE / SCALE**2), np.float32(60)
     first = 0
     for some in steps(lanes, CAST):
         counts = lanes[some].tolist()
@@ -371,8 +444,8 @@ def _mixed(inputs: np.ndarray, signs: np.ndarray, spare: np.ndarray, lanes: np.n
         at = 0
         for n in counts:
             x, sign, own = xs[at : at + n], ss[at : at + n], chosen[:n]
-            w = weights[own]
-            z = np.einsum("lkt,lk->lt", x, w)
+            w = weights.take(own, 0)
+            z = np.vecmat(w, x)
             near = np.maximum(z, -REACH)
             np.minimum(near, REACH, out=near)
             near = np.rint(near, out=near).astype(np.int64)
@@ -380,19 +453,20 @@ def _mixed(inputs: np.ndarray, signs: np.ndarray, spare: np.ndarray, lanes: np.n
             z += corrections.take(near)
             # the signs are -1 for a 1, 1 for a 0 and 0 for filling, which costs 1 bit
             z *= sign
-            np.minimum(z, 60, out=z)
+            np.minimum(z, most, out=z)
             e = np.exp(z, out=z)
             one = e + 1
             e /= one
             e *= sign
-            bill = np.add.reduce(np.log(one, out=one), axis=1) / unit - spare[first + at : first + at + n]
+            bill = np.add.reduce(np.log(one, out=one), axis=1)
             cost[:n] += bill
-            w -= learn * np.einsum("lkt,lt->lk", x, e)
+            grown = np.matvec(x, e)
+            grown *= learn
+            w -= grown
             weights[own] = w
             learned = np.bincount(near.ravel(), e.ravel(), n * cells)
             learned *= REFINE_RATE
             corrections[: n * cells] -= learned
-            bill /= real[first + at : first + at + n]
             np.add(first_set[:n], gates.searchsorted(bill), out=own)
             at += n
         first = last
@@ -416,37 +490,101 @@ def byte_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def _rows_of_piece(eight: np.ndarray, written: np.ndarray):
+    """The distinct pairs of the highest order and of words, and which is at each byte."""
+    runs, row = ranks(last_bytes(eight, max(ORDERS) + 1))
+    word, words = np.empty(len(row), np.int32), []
+    # a run of bytes tells a word that is no longer; beyond that, those before it do
+    at = written <= max(ORDERS)
+    size = max(ORDERS) + 1
+    own = row[at].astype(np.int64) * size + written[at]
+    there = np.zeros(len(runs) * size, bool)
+    there[own] = True
+    every = np.flatnonzero(there)
+    found, number = np.unique(in_word(runs[every // size], every % size), return_inverse=True)
+    numbers = np.empty(len(there), np.int32)
+    numbers[every] = number
+    word[at] = numbers[own]
+    words.append(found)
+    at = np.flatnonzero(written > max(ORDERS))
+    if len(at):
+        far = in_word(eight[at], written[at])
+        beyond = 8 * (max(ORDERS) + 1)
+        own = (far >> np.uint64(beyond)) - np.uint64((max(ORDERS) + 1) << 56 - beyond)
+        own |= row[at].astype(np.uint64) << np.uint64(17)
+        found, number = ranks(own)
+        word[at] = number + np.int32(len(words[0]))
+        some = np.empty(len(found), np.int64)
+        some[number] = np.arange(len(at))
+        words.append(far[some])
+    return (runs, row), (np.concatenate(words), word)
+
+
+def _merged(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of all pieces in order, and which is at each byte."""
+    every, number = np.unique(np.concatenate([pairs for pairs, _ in pieces]), return_inverse=True)
+    parts = np.split(number.astype(np.int32), np.cumsum([len(pairs) for pairs, _ in pieces])[:-1])
+    return every, np.concatenate([own[row] for own, (_, row) in zip(parts, pieces, strict=True)])
+
+
 def pair_rows(parts: list[bytes], table_bits: int | None) -> tuple[np.ndarray, list[np.ndarray]]:
     """The distinct (context, byte) of some texts in order and, for each context, where
     among them the one at each byte of the texts stands."""
-    found = [[] for _ in range(CONTEXTS)]
-    for part in steps(np.array([len(p) for p in parts], np.int64)):
-        for k, own in enumerate(pairs_of(*lay_out(parts[part]), table_bits)):
-            found[k].append(own)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    runs, words = [none], [none]
+    for piece in before(parts):
+        for found, own in zip((runs, words), _rows_of_piece(*piece), strict=True):
+            found.append(own)
+    (every, row), word = _merged(runs), _merged(words)
+    found = [(every, row)]
+    for order in ORDERS[-2::-1]:  # what is shorter is told by what is longer
+        own, number = np.unique(last_bytes(every, order + 1), return_inverse=True)
+        found.append((own, number.astype(np.int32)[row]))
     keys, rows, total = [], [], 0
-    for own in found:
-        every, row = np.unique(np.concatenate([pairs for pairs, _ in own]), return_inverse=True)
-        row = (row + total).astype(np.int32)
-        low = np.cumsum([0, *(len(pairs) for pairs, _ in own)])
-        rows.append(np.concatenate([row[a:b][number] for a, b, (_, number) in zip(low[:-1], low[1:], own, strict=True)]))
-        keys.append(every)
-        total += len(every)
+    for kind, (pairs, row) in enumerate([*found[::-1], word]):
+        own = key_of(kind, pairs, table_bits)
+        if table_bits is not None:
+            own, number = np.unique(own, return_inverse=True)
+            row = number.astype(np.int32)[row]
+        keys.append(own)
+        rows.append(row + np.int32(total))
+        total += len(own)
     return np.concatenate(keys), rows
 
 
+def _counted(pairs: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs in order, and how many of each are marked."""
+    both = pairs << np.uint64(1)
+    both |= marks
+    both.sort()
+    marks = (both & np.uint64(1)).astype(np.int64)
+    both >>= np.uint64(1)
+    at = np.flatnonzero(changes(both))
+    return both[at], np.add.reduceat(marks, at) if len(at) else marks
+
+
 def held(parts: list[bytes], learned: np.ndarray, table_bits: int | None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (context, byte) of some texts in order, and how often those texts
     that are learned from hold each."""
-    found = [[] for _ in range(CONTEXTS)]
-    for part in steps(np.array([len(p) for p in parts], np.int64)):
-        own = np.repeat(learned[part], [len(p) for p in parts[part]])
-        for k, (pairs, number) in enumerate(pairs_of(*lay_out(parts[part]), table_bits)):
-            found[k].append((pairs, np.bincount(number if own.all() else number[own], minlength=len(pairs))))
+    own = np.repeat(learned, [len(p) for p in parts])
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    runs, words, low = [none], [none], 0
+    for eight, written in before(parts):
+        marks = own[low : low + len(eight)]
+        low += len(eight)
+        runs.append(_counted(last_bytes(eight, max(ORDERS) + 1), marks))
+        words.append(_counted(in_word(eight, written), marks))
+    found = [summed(*map(np.concatenate, zip(*runs, strict=True)))]
+    for order in ORDERS[-2::-1]:  # what is shorter is told by what is longer
+        found.append(summed(last_bytes(found[-1][0], order + 1), found[-1][1]))
+    found = [*found[::-1], summed(*map(np.concatenate, zip(*words, strict=True)))]
     keys, seen = [], []
-    for pairs, counts in (map(np.concatenate, zip(*own, strict=True)) for own in found):
-        every, row = np.unique(pairs, return_inverse=True)
-        keys.append(every)
-        seen.append(np.bincount(row, counts, minlength=len(every)).astype(np.int64))
+    for kind, (pairs, counts) in enumerate(found):
+        pairs = key_of(kind, pairs, table_bits)
+        if table_bits is not None:
+            pairs, counts = summed(pairs, counts)
+        keys.append(pairs)
+        seen.append(counts)
     return np.concatenate(keys), np.concatenate(seen)
 
 
@@ -545,9 +683,10 @@ def score(docs: DataFrame, trained: str, id_column: str = "doc_id", text: str =
     def ask(key, rows):
         hashes, doc = _block_words(rows)
         flags = rows.column("learned").to_numpy()
-        in_training = flags[doc]
-        keys, number = np.unique(hashes, return_inverse=True)
-        counts = np.bincount(number[in_training], minlength=len(keys))
+        keys = np.unique(hashes)
+        trained, often = np.unique(hashes[flags[doc]], return_counts=True)
+        counts = np.zeros(len(keys), np.int64)
+        counts[np.searchsorted(keys, trained)] = often
         words = dict(B.by_bucket(keys, buckets))
         pairs, seen = held([symbols(t) for t in rows.column("body").to_pylist()], flags, table_bits)
         after = by_bucket(pairs, buckets)

@@ -200,3 +200,64 @@ def test_pairs_are_counted_without_a_place_for_each_byte(monkeypatch):
     parts = [L.symbols(t) for t in (b"the cat sat", b"", b"the cat ran")]
     keys, seen = L.held(parts, np.array([True, True, False]), None)
     assert seen.sum() == L.CONTEXTS * (len(parts[0]) + 1) and (seen == 0).any()
+
+
+ODD_PARTS = [b"the cat sat on the mat \n", b"", "été the hat ".encode() * 9, bytes(range(0x21, 0x100)), b"\n\nab", b"unseenwordsofalongtext \n", b""]
+
+
+class Counting(np.ndarray):
+    """Values that count how many of them are looked up."""
+
+    looked_up = 0
+
+    def take(self, at, *more, **named):
+        Counting.looked_up += np.size(at)
+        return np.asarray(self).take(at, *more, **named)
+
+    def __getitem__(self, at):
+        Counting.looked_up += np.size(at)
+        return np.asarray(self)[at]
+
+
+def test_bits_of_a_byte_are_looked_up_together(model):
+    """(Before: one look-up for each bit and context, half of what laying out took.)"""
+    tree, parts = model[0], [L.symbols(b"the cat sat on the mat, a dog ran " * 200), b"xq"]
+    keys, rows = L.pair_rows(parts, None)
+    values, starts = L.bit_values(keys, np.ones(len(keys), np.int64), tree)
+    table = L.Known(keys, starts, values, None)
+    want = L.code_lengths(parts, tree, table, rows)
+    Counting.looked_up, table.values = 0, table.values.view(Counting)
+    assert (L.code_lengths(parts, tree, table, rows) == want).all()
+    bits = sum(int(tree.length[np.frombuffer(p, np.uint8)].sum()) for p in parts)
+    assert Counting.looked_up < 0.2 * L.CONTEXTS * bits, Counting.looked_up / bits
+
+
+def test_bits_that_are_laid_out_together_are_those_one_by_one(model):
+    tree = model[0]
+    keys, rows = L.pair_rows(ODD_PARTS, None)
+    values, starts = L.bit_values(keys, np.arange(len(keys)) % 7, tree)
+    table = L.Known(keys, starts, values, None)
+    data, offsets = L.lay_out(ODD_PARTS)
+    places, void = L.places_of(tree.length[data], offsets, np.array([3, 0, 63, 1, 0, 20, 0]))
+    assert len(void) == 87 and len(places.late) and tree.length[data].max() > L.FIRST
+    bits = L.bits_of(data, offsets, tree)
+    for own, want in zip(table.laid(places, rows), table.inputs(data, offsets, bits), strict=True):
+        assert (np.delete(own, void) == want).all()
+
+
+@pytest.mark.parametrize("table_bits", [None, 12])
+def test_pairs_are_alike_in_pieces(monkeypatch, table_bits):
+    learned = np.array([True, False, True, True, False, True, True])
+    keys, rows = L.pair_rows(ODD_PARTS, table_bits)
+    asked, seen = L.held(ODD_PARTS, learned, table_bits)
+    data, offsets = L.lay_out(ODD_PARTS)
+    marks = np.repeat(learned, np.diff(offsets))
+    want = np.zeros(len(keys), np.int64)
+    for row, context in zip(rows, L.contexts(data, offsets, table_bits), strict=True):
+        assert (keys[row] == L.followed(context, data)).all()
+        np.add.at(want, row[marks], 1)
+    assert (asked == keys).all() and (seen == want).all()
+    monkeypatch.setattr(L, "PIECE", 16)
+    assert all((a == b).all() for a, b in zip(L.held(ODD_PARTS, learned, table_bits), (asked, seen), strict=True))
+    again, own = L.pair_rows(ODD_PARTS, table_bits)
+    assert (again == keys).all() and all((a == b).all() for a, b in zip(own, rows, strict=True))
