@@ -34,6 +34,10 @@ SPACE = "▁"
 CHUNK = 1 << 15
 #: Words, pieces of words and pairs of pieces that a worker remembers.
 REMEMBERED = 400_000
+#: Slots of pairs of pieces that are looked up together, as a power of two.
+PAIR_BITS = 20
+#: Spreads numbers over slots.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Ids that become bytes in one step.
 GATHERED = 1 << 16
 NEVER = float("-inf")
@@ -54,13 +58,35 @@ def _joined_keys(characters: np.ndarray) -> np.ndarray:
     return characters[:-1].astype(np.int64) << 32 | characters[1:]
 
 
-def _member(values: np.ndarray, ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where values stand among distinct ones in order, and whether they do."""
-    at = np.searchsorted(ranked, values)
-    if not len(ranked):
-        return at, np.zeros(len(at), bool)
-    np.minimum(at, len(ranked) - 1, out=at)
-    return at, ranked[at] == values
+def _slots(values: np.ndarray, bits: int) -> np.ndarray:
+    """A number of so many bits for each value."""
+    return (values.astype(np.uint64) * SPREAD >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Ranks:
+    """Distinct numbers in order. Most are found by a slot of their own; the order tells
+    where those stand that share one."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = np.sort(values)
+        self.bits = max(8, len(values).bit_length() + 3)
+        slot = _slots(self.values, self.bits)
+        self.at = np.full(1 << self.bits, -1, np.int64)
+        self.at[slot] = np.arange(len(values))
+        self.at[np.bincount(slot, minlength=1 << self.bits) > 1] = -2
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where some values stand, and whether they do."""
+        if not len(self.values):
+            return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+        at = self.at[_slots(values, self.bits)]
+        shared = np.flatnonzero(at == -2)
+        at[shared] = np.searchsorted(self.values, values[shared])
+        np.clip(at, 0, len(self.values) - 1, out=at)
+        return at, self.values[at] == values
 
 
 class Trie:
@@ -70,26 +96,26 @@ class Trie:
     def __init__(self, ids: dict[str, int]):
         single = {p for p in ids if len(p) == 1}
         pieces = [p for p in ids if single.issuperset(p)]  # the others need a letter that has no code
-        self.letters = np.sort(_characters("".join(single)))
+        self.letters = Ranks(_characters("".join(single)))
         self.sizes = np.zeros(max(ids.values(), default=0) + 1, np.int64)
         number = np.array([ids[p] for p in pieces], np.int64)
         self.sizes[number] = [len(p) for p in pieces]
         starts = np.cumsum(self.sizes[number]) - self.sizes[number]
         code = self.codes(_characters("".join(pieces)))
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[Ranks, np.ndarray]] = []
         node, depth = np.zeros(len(pieces), np.int64), 0
         while len(number):
             keys, node = np.unique(node * len(self.letters) + code[starts + depth], return_inverse=True)
             depth += 1
             piece, ending = np.full(len(keys), -1, np.int64), self.sizes[number] == depth
             piece[node[ending]] = number[ending]
-            self.levels.append((keys, piece))
+            self.levels.append((Ranks(keys), piece))
             number, node, starts = number[~ending], node[~ending], starts[~ending]
-        self.known_alone: dict[int, bool] = {}
+        self.known_alone = np.full(len(self.sizes), -1, np.int8)  # 1 if so, 0 if not
 
     def codes(self, characters: np.ndarray) -> np.ndarray:
         """The rank of each character among those that are pieces, or -1."""
-        at, there = _member(characters, self.letters)
+        at, there = self.letters.find(characters)
         return np.where(there, at, -1)
 
     def walk(self, code: np.ndarray, left: np.ndarray):
@@ -99,18 +125,17 @@ class Trie:
         for n, (keys, piece) in enumerate(self.levels):
             inside = left[start] > n
             start, node = start[inside], node[inside]
-            node, there = _member(node * len(self.letters) + code[start + n], keys)
+            node, there = keys.find(node * len(self.letters) + code[start + n])
             start, node = start[there], node[there]
             own = piece[node]
             yield start[own >= 0], own[own >= 0]
 
     def alone(self, lattice: Lattice, pieces: np.ndarray) -> np.ndarray:
         """Which pieces stay whole where nothing is beside them."""
-        known, distinct = self.known_alone, np.unique(pieces)
-        for i in distinct.tolist():
-            if i not in known:
-                known[i] = lattice.profile(lattice.pieces[i]) is not None
-        return np.array([known[i] for i in pieces.tolist()], bool)
+        known = self.known_alone
+        for i in np.unique(pieces[known[pieces] < 0]).tolist():
+            known[i] = lattice.profile(lattice.pieces[i]) is not None
+        return known[pieces] > 0
 
 
 class Lattice:
@@ -133,9 +158,11 @@ class Lattice:
         #: Two characters in a row of any piece.
         self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.by_space = not any(x[0] != SPACE and x[1] == SPACE for x in self.joins)
-        self.join_keys = np.sort(_joined_keys(_characters("".join(self.joins)))[::2])
+        self.join_keys = Ranks(_joined_keys(_characters("".join(self.joins)))[::2])
         self.trie = Trie(self.ids)
         self.number_pairs: dict[int, bool] = {}
+        #: Some of them by slot: the number, and whether they stay apart as its last bit.
+        self.pair_slots = np.full(1 << PAIR_BITS, -1, np.int64)
         self.profiles: dict[str, tuple | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
@@ -234,7 +261,7 @@ class Lattice:
     def cuts(self, text: str) -> list[int]:
         """Positions between characters that no piece holds in a row."""
         keys = _joined_keys(_characters(text))
-        return (np.flatnonzero(~_member(keys, self.join_keys)[1]) + 1).tolist()
+        return (np.flatnonzero(~self.join_keys.find(keys)[1]) + 1).tolist()
 
     def parts(self, word: str) -> list[str]:
         at = self.cuts(word)
@@ -318,21 +345,29 @@ class Lattice:
 
     def _stable_numbers(self, keys: np.ndarray) -> np.ndarray:
         """Which pairs of pieces stay apart, each as one number."""
-        distinct, place = np.unique(keys, return_inverse=True)
-        known, pieces = self.number_pairs, self.pieces
-        distinct = distinct.tolist()
-        for key in distinct:
-            if key not in known:
-                a, b = divmod(key, len(pieces))
-                known[key] = self._apart(pieces[a], pieces[b])
-        return np.array([known[k] for k in distinct], bool)[place]
+        slot = _slots(keys, PAIR_BITS)
+        found = self.pair_slots[slot]
+        missing = np.flatnonzero(found >> 1 != keys)
+        if len(missing):
+            distinct, place = np.unique(keys[missing], return_inverse=True)
+            known, pieces, own = self.number_pairs, self.pieces, []
+            for key in distinct.tolist():
+                apart = known.get(key)
+                if apart is None:
+                    a, b = divmod(key, len(pieces))
+                    apart = known[key] = self._apart(pieces[a], pieces[b])
+                own.append(2 * key + apart)
+            own = np.array(own, np.int64)
+            self.pair_slots[_slots(distinct, PAIR_BITS)] = own
+            found[missing] = own[place]
+        return (found & 1).astype(bool)
 
     def learn_words(self, words: list[str]) -> None:
         """Remember the ids of words, all that are new in some texts."""
         text = "".join(words).replace(" ", SPACE)
         ends = np.cumsum([len(w) for w in words])
         keys = _joined_keys(_characters(text))
-        cut = ~_member(keys, self.join_keys)[1]
+        cut = ~self.join_keys.find(keys)[1]
         cut[ends[:-1] - 1] = True
         bounds = [0, *(np.flatnonzero(cut) + 1).tolist(), len(text)]
         parts = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]

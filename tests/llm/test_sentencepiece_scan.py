@@ -121,3 +121,53 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         lattice = S.Lattice(file.read())
     for text in ODD_TEXTS * 2 + random_texts(14, 20):
         assert ids(lattice.encode(text)) == library.encode(text)
+
+
+class Counting(dict):
+    """Counts how often it is asked for one key."""
+
+    asked = 0
+
+    def __contains__(self, key):
+        Counting.asked += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        Counting.asked += 1
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        Counting.asked += 1
+        return super().get(key, default)
+
+
+def test_known_pairs_are_looked_up_together():
+    """(Before: each distinct pair of a step one by one, twice.)"""
+    with open(FILE, "rb") as file:
+        lattice = S.Lattice(file.read())
+    words = sorted({f" {w}" for t in random_texts(15, 400, "aeinorst ") for w in t.split()})
+    lattice.learn_words(words)
+    found = dict(lattice.words)
+    lattice.known_parts.clear()
+    lattice.number_pairs = Counting(lattice.number_pairs)
+    lattice.learn_words(words)
+    assert lattice.words == found and len(lattice.number_pairs) > 1000
+    assert Counting.asked < len(lattice.number_pairs) / 10, Counting.asked
+
+
+def test_pairs_that_share_a_slot_keep_their_answers(library, monkeypatch):
+    monkeypatch.setattr(S, "PAIR_BITS", 3)
+    with open(FILE, "rb") as file:
+        lattice = S.Lattice(file.read())
+    texts = random_texts(16, 200) + ODD_TEXTS
+    assert [ids(raw) for raw in lattice.encode_all(texts)] == [library.encode(t) for t in texts]
+
+
+@pytest.mark.parametrize("size", [0, 1, 40, 5000])
+def test_ranks_are_those_of_the_order(size):
+    draw = np.random.default_rng(size)
+    values = np.unique(draw.integers(0, 1 << 45, size)) if size != 40 else np.arange(40)
+    ranks = S.Ranks(draw.permutation(values))
+    asked = np.concatenate([values, values + 1, draw.integers(0, 1 << 45, 99)])
+    at, there = ranks.find(asked)
+    assert (there == np.isin(asked, values)).all() and (values[at[there]] == asked[there]).all()
